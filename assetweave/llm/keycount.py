@@ -125,13 +125,13 @@ def _answer(t: pa.Table) -> pa.Table:
             "kind": t["kind"].cast(pa.string()),
             "shard": t["shard"].cast(pa.int32()),
             "counts": pa.array([[pack(s[p]) for s in sums] for p in places], pa.list_(pa.binary())),
-            "distinct": pa.array([len(all_keys)] + [0] * (n - 1), pa.int64()),
+            "distinct": pa.array([int((sums[0] > 0).sum())] + [0] * (n - 1), pa.int64()),
         }
     )
 
 
 def answers(requests: DataFrame) -> DataFrame:
-    """For each request the corpus-wide sums of its keys' counts, in its own order."""
+    """For each request the corpus-wide sums of its keys' counts, in its own order; ``distinct`` adds up to the keys whose first count isn't 0."""
     return requests.groupBy("shard", "kind").applyInArrow(_answer, "block long, kind string, shard int, counts array<binary>, distinct long")
 
 

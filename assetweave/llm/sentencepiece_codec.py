@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,11 @@ class Vocabulary:
         for c in sorted(chars - self.symbol.keys()):
             self.symbol[c] = n + len(self.symbol)
         self.other = max([n, *self.symbol.values()]) + 1
+        self.of_char = np.full(0x110000, self.other, "i4")
+        for c, i in self.symbol.items():
+            self.of_char[ord(c)] = i
+        #: Neighbours inside some piece; between any others a segment can be cut again.
+        self.joined = {p[k : k + 2] for p in self.piece for k in range(len(p) - 1)}
         self.base = self.other + 1
         known = self.piece | self.symbol
         pairs = {known[p[:k]] * self.base + known[p[k:]]: i for p, i in self.piece.items() for k in range(1, len(p)) if p[:k] in known and p[k:] in known}
@@ -93,14 +99,23 @@ class Vocabulary:
             push(i)
         return [x for i, s in enumerate(sym) if s >= 0 for x in ([s] if s < len(self.score) else self.out(segment[i]))]
 
-    def agendas(self, segments: list[str]) -> list[list[int]]:
-        """Many segments of about the same length, a round of all agendas at a time."""
+    def cut(self, segment: str) -> list[str]:
+        """Parts that no merge can join: no piece holds the two characters around a cut."""
+        joined, parts, at = self.joined, [], 0
+        for i in range(1, len(segment)):
+            if segment[i - 1 : i + 1] not in joined:
+                parts.append(segment[at:i])
+                at = i
+        parts.append(segment[at:])
+        return parts
+
+    def agendas(self, segments: list[str]) -> list[bytes]:
+        """Many segments of about the same length, a round of all agendas at a time; ids as little-endian integers."""
         n, width = len(segments), max(map(len, segments))
-        get, other = self.symbol.get, self.other
         sym = np.full((n, width + 1), -1, "i4")
         lens = np.fromiter(map(len, segments), "i8", n)
         inside = np.arange(width + 1) < lens[:, None]
-        sym[inside] = np.fromiter((get(c, other) for s in segments for c in s), "i4", int(lens.sum()))
+        sym[inside] = self.of_char[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")]
         after = np.tile(np.arange(1, width + 2), (n, 1))
         before = np.tile(np.arange(-1, width), (n, 1))
         into = np.full((n, width + 1), -1, "i4")
@@ -127,16 +142,13 @@ class Vocabulary:
             r, h, i = rows[there], h[there], i[there]
             into[r, h], score[r, h] = self.look_up(sym[r, h], sym[r, i])
         keep = sym >= 0
-        flat, counts = sym[keep].tolist(), keep.sum(axis=1).tolist()
-        out, at, plain = [], 0, len(self.score)
-        places = np.argwhere(sym >= plain)
-        odd: dict[int, None] = dict.fromkeys(places[:, 0].tolist())
-        for r, c in enumerate(counts):
-            ids = flat[at : at + c]
-            at += c
-            if r in odd:
-                ids = [x for i, s in zip(np.flatnonzero(keep[r]).tolist(), ids) for x in ([s] if s < plain else self.out(segments[r][i]))]
-            out.append(ids)
+        raw = sym[keep].astype("<i4").tobytes()
+        ends = (np.cumsum(keep.sum(axis=1)) * 4).tolist()
+        out = [raw[lo:hi] for lo, hi in zip([0, *ends], ends)]
+        plain = len(self.score)
+        for r in np.unique(np.nonzero(sym >= plain)[0]).tolist():
+            ids = [x for i in np.flatnonzero(keep[r]).tolist() for x in ([int(sym[r, i])] if sym[r, i] < plain else self.out(segments[r][i]))]
+            out[r] = np.array(ids, "<i4").tobytes()
         return out
 
 
@@ -144,7 +156,7 @@ class Encoder:
     """A worker's encoder: cache of segments, agendas for what is new, and the check against the library."""
 
     def __init__(self, path: str):
-        self.vocabulary, self.cache, self.differ = Vocabulary(path), {}, 0
+        self.vocabulary, self.cache, self.parts, self.differ = Vocabulary(path), {}, {}, 0
 
     def segments(self, text: str) -> list[str]:
         """Segments without their first mark: the library puts that one before a text by itself."""
@@ -153,30 +165,37 @@ class Encoder:
         return [s[1:] for s in SEGMENT.findall(MARK + text.replace(" ", MARK))]
 
     def learn(self, new: list[str]) -> None:
+        """Encode new segments by their parts, check them all against the library, and keep them."""
         v = self.vocabulary
-        new.sort(key=len)
-        short = [s for s in new if len(s) < LONG]
+        parts = [v.cut(MARK + s) for s in new]
+        fresh = set()
+        for p in parts:
+            fresh.update(p)
+        fresh.difference_update(self.parts)
+        fresh = sorted(fresh, key=len)
+        short = [s for s in fresh if len(s) < LONG]
         for at in range(0, len(short), CHUNK):
-            part = short[at : at + CHUNK]
-            self.check(part, v.agendas([MARK + s for s in part]))
-        long = new[len(short) :]
-        self.check(long, [v.agenda(MARK + s) for s in long])
-
-    def check(self, part: list[str], ids: list[list[int]]) -> None:
-        if not part:
-            return
-        # A segment that is empty stands for a lone space; the library drops it at the start of a text, so it is given behind a letter.
-        theirs = self.vocabulary.library.encode([s.replace(MARK, " ") for s in part], num_threads=1)
-        for s, mine, other in zip(part, ids, theirs):
-            if s and mine != other:
-                self.differ += 1
-                mine = other
-            self.cache[s] = np.array(mine, "<i4").tobytes()
+            some = short[at : at + CHUNK]
+            self.parts.update(zip(some, v.agendas(some)))
+        for s in fresh[len(short) :]:
+            self.parts[s] = np.array(v.agenda(s), "<i4").tobytes()
+        mine = [b"".join(map(self.parts.__getitem__, p)) for p in parts]
+        theirs = v.library.encode([s.replace(MARK, " ") for s in new], num_threads=1)
+        same = np.array_equal(np.frombuffer(b"".join(mine), "<i4"), np.fromiter(chain.from_iterable(theirs), "<i4")) and all(len(m) == 4 * len(t) for m, t in zip(mine, theirs))
+        if not same:
+            for i, (s, t) in enumerate(zip(new, theirs)):
+                # The empty segment is a lone space, which the library gives no ids on its own.
+                if s and mine[i] != (t := np.array(t, "<i4").tobytes()):
+                    self.differ += 1
+                    mine[i] = t
+        self.cache.update(zip(new, mine))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.segments(t) if t else [] for t in texts]
         if len(self.cache) > CACHED:
             self.cache.clear()
+        if len(self.parts) > CACHED:
+            self.parts.clear()
         new = set()
         for p in parts:
             new.update(p)
