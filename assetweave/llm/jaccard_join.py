@@ -6,7 +6,7 @@ into fragments.  Candidate pairs share a rare n-gram of their prefixes and pass
 symmetric-difference bound (both lose nothing); their overlaps are counted fragment by fragment, each on its own, and
 summed for the pair; the exact sum decides.
 
-Only the components are asked for, so no group is expanded into all its pairs: equal word sequences are one class; then
+Only the components are asked for, so no group is expanded into all its pairs: equal sets are one class; then
 each n-gram's texts are compared with one hub text; only texts that are still in different components are compared
 among themselves.
 
@@ -16,8 +16,6 @@ component; rows that repeat a ``doc_id`` are one vertex, with the links of all i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,13 +31,6 @@ FRAGMENTS = ((2, 0), (2, 1), (3, 0), (4, 0), (6, 0), (9, 0), (17, 0), (65, 0))
 LIST_BLOCK = 2048
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        words = [t.lower().split() if t else [] for t in b.column(1).cast(pa.binary()).to_pylist()]
-        fp = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.binary())], ["doc_id", "fp"])
-
-
 def shingle_sets(lens: np.ndarray, vocab: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of each text of a block, sorted by (text, hash): hashes and the texts' numbers.
 
@@ -95,7 +86,7 @@ def _frequency_keys(n: int, bits: int):
     return keys
 
 
-PROFILE = "doc_id long, n long, sketch array<long>, prefix array<long>, segments array<array<long>>"
+PROFILE = "doc_id long, set_id long, n long, sketch array<long>, prefix array<long>, segments array<array<long>>"
 
 
 def _profiles(n: int, percent: int, bits: int):
@@ -103,7 +94,7 @@ def _profiles(n: int, percent: int, bits: int):
     shift = np.uint64(64 - bits)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids_out, sizes, sketches, prefixes, segments = [], [], [], [], []
+        ids_out, sets, sizes, sketches, prefixes, segments = [], [], [], [], [], []
         for row in left.to_pylist():
             doc_ids, lens, vocab, ids = K.block_arrays(row)
             h, d = shingle_sets(lens, vocab, ids, n)
@@ -126,16 +117,15 @@ def _profiles(n: int, percent: int, bits: int):
             ends = np.cumsum(size)
             has = np.bincount(d[in_prefix], minlength=len(lens)) > 0
             for i in np.arange(len(lens)):
-                if doc_ids[i] is None:
-                    continue
+                lo, hi = first[i], ends[i]
                 ids_out.append(doc_ids[i])
+                sets.append(int(K.mix(h[lo:hi]).sum(dtype="u8").view("i8")))
                 sizes.append(int(size[i]))
-                if not has[i]:
+                if not has[i] or doc_ids[i] is None:
                     sketches.append(None)
                     prefixes.append(None)
                     segments.append(None)
                     continue
-                lo, hi = first[i], ends[i]
                 odd = (np.bincount(bit[lo:hi], minlength=SKETCH_WORDS * 64) & 1).astype("u1")
                 sketches.append(np.packbits(odd, bitorder="little").view("<i8"))
                 prefixes.append(signed[lo:hi][in_prefix[lo:hi]])
@@ -144,6 +134,7 @@ def _profiles(n: int, percent: int, bits: int):
         return pa.table(
             {
                 "doc_id": pa.array(ids_out, pa.int64()),
+                "set_id": pa.array(sets, pa.int64()),
                 "n": pa.array(sizes, pa.int64()),
                 "sketch": pa.array(sketches, pa.list_(pa.int64())),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
@@ -154,79 +145,99 @@ def _profiles(n: int, percent: int, bits: int):
     return run
 
 
-def may_link(percent: int) -> Column:
+def may_link(percent: int, a: str = "a", b: str = "b") -> Column:
     """Length filter, and the bound that a parity sketch puts on the symmetric difference; both keep every link of sides a and b."""
-    na, nb = F.col("a.n"), F.col("b.n")
-    differ = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("a.sketch")[0].bitwiseXOR(F.col("b.sketch")[0])))
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    word = lambda i: F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
+    differ = sum((word(i) for i in range(1, SKETCH_WORDS)), word(0))
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
 
 
-def verify(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps for each fragment, summed for the pair."""
-    seg = profiles.where(F.col("prefix").isNotNull()).select("doc_id", "n", F.posexplode("segments").alias("fragment", "segment")).where(F.size("segment") > 0)
-    left = seg.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "fragment", F.col("segment").alias("sa"))
-    right = seg.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "fragment", F.col("segment").alias("sb"))
+def verify(pairs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that link: partial overlaps for each fragment, summed for the pair.
+
+    Only the segments of classes that are in some pair are moved, once for a class.
+    """
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(classes, "set_id").select("set_id", F.col("class_id").alias("doc_id"))
+    mine = profiles.where(F.col("prefix").isNotNull()).select("doc_id", "set_id", "n", "segments").join(wanted, ["doc_id", "set_id"], "left_semi").dropDuplicates(["set_id"])
+    seg = materialise(mine.select(F.col("set_id").alias("node"), "n", F.posexplode("segments").alias("fragment", "segment")).where(F.size("segment") > 0), "segments")
+    left = seg.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("segment").alias("sa"))
+    right = seg.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment", F.col("segment").alias("sb"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("overlap"))
     total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
     return total.where(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent).select("a", "b")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(doc_id, component): the smallest id that can be reached over ``edges`` (a, b); labels spread and jump until none changes."""
+    """(node, component): the smallest node that can be reached over ``edges`` (a, b); labels spread and jump until none changes."""
     both = materialise(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{name}-edges")
-    label = materialise(both.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), name)
+    label = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), name)
     while True:
-        near = both.join(label.select(F.col("doc_id").alias("b"), "component"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("component").alias("near"))
-        step = label.join(near, "doc_id").select("doc_id", F.least("component", "near").alias("to"), F.col("component").alias("was"))
-        jump = label.select(F.col("doc_id").alias("to"), F.col("component").alias("further"))
-        new = materialise(step.join(jump, "to", "left").select("doc_id", F.least("to", F.coalesce("further", "to")).alias("component"), "was"), name)
+        near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        step = label.join(near, "node").select("node", F.least("component", "near").alias("to"), F.col("component").alias("was"))
+        jump = label.select(F.col("node").alias("to"), F.col("component").alias("further"))
+        new = materialise(step.join(jump, "to", "left").select("node", F.least("to", F.coalesce("further", "to")).alias("component"), "was"), name)
         changed = new.where(F.col("component") != F.col("was")).limit(1).count()
-        label = new.select("doc_id", "component")
+        label = new.select("node", "component")
         if not changed:
             return label
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """For each row of ``docs``: doc_id, n_shingles, class_id (smallest id of the same word sequence), component_id.
+    """For each doc_id: n_shingles, class_id (smallest id with the same set) and component_id.
 
     Two texts link if 100 * overlap >= percent * union of their sets of word n-grams.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = materialise(ids.mapInArrow(_fingerprints, "doc_id long, fp binary"), "prints")
-    classes = materialise(prints.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("class_id")), "classes")
-    blocks = materialise(K.token_blocks(ids), "blocks")
+    blocks = materialise(K.token_blocks(docs), "blocks")
     total = blocks.agg(F.sum("n")).first()[0] or 0
     bits = min(64, max(32, int(total).bit_length() + 9))
     asked = K.ask(blocks, _frequency_keys(n, bits), K.shards_for(total))
     told = K.answers(asked)
     profiles = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_profiles(n, percent, bits), PROFILE)
     profiles = materialise(profiles, "profiles")
-    sizes = profiles.select("doc_id", "n")
-    reps = profiles.where(F.col("prefix").isNotNull()).join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    posts = materialise(reps.select("doc_id", "n", "sketch", F.explode("prefix").alias("shingle")), "posts")
-
-    hubs = posts.groupBy("shingle").agg(F.min_by(F.struct("doc_id", "n", "sketch"), "doc_id").alias("b"), F.count("*").alias("size")).where("size > 1")
-    star = posts.alias("a").join(hubs.select("shingle", "b.*").alias("b"), "shingle").where((F.col("a.doc_id") != F.col("b.doc_id")) & may_link(percent))
-    tried = materialise(star.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct(), "star-pairs")
-    links = materialise(verify(tried, reps, percent), "star-links")
+    members = profiles.select("doc_id", "set_id", "n").where("n > 0 and doc_id is not null")
+    classes = materialise(members.groupBy("set_id").agg(F.min("doc_id").alias("class_id")), "classes")
+    own = classes.select("set_id", F.col("class_id").alias("doc_id"))
+    lead = profiles.where(F.col("prefix").isNotNull()).join(own, ["doc_id", "set_id"], "left_semi").select(F.col("set_id").alias("node"), "n", "sketch", "prefix").dropDuplicates(["node"])
+    lead = materialise(lead, "leads")
+    sketches = lead.select("node", "n", "sketch")
+    posts = lead.select("node", "n", F.explode("prefix").alias("shingle"))
+
+    # First round: every n-gram's classes against one hub.
+    lengths = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
+    hubs = posts.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
+    star = posts.join(hubs, "shingle").where((F.col("node") != F.col("hub.node")) & lengths)
+    star = star.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+    side = lambda k: F.struct("n", "sketch").alias(k)
+    star = star.join(sketches.select(F.col("node").alias("a"), side("sa")), "a").join(sketches.select(F.col("node").alias("b"), side("sb")), "b")
+    tried = materialise(star.where(may_link(percent, "sa", "sb")).select("a", "b").distinct(), "star-pairs")
+    links = materialise(verify(tried, profiles, classes, percent), "star-links")
     label = components(links, "star-components")
 
-    member = posts.join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # Second round: what shares a prefix n-gram and is not in one component yet.
+    member = materialise(posts.drop("n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
     open_lists = member.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    member = materialise(member.join(open_lists.select("shingle", parts.alias("parts")), "shingle"), "open-posts")
-    left = member.withColumn("part", F.pmod(F.hash("doc_id"), F.col("parts")))
+    member = materialise(member.join(open_lists.select("shingle", parts.alias("parts")), "shingle").join(sketches, "node"), "open-posts")
+    left = member.withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
     right = member.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cross = left.alias("a").join(right.alias("b"), (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.component") != F.col("b.component")) & may_link(percent))
-    more = cross.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct()
-    links = materialise(links.union(verify(more, reps, percent)), "links")
+    same_list = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.node") < F.col("b.node"))
+    cross = left.alias("a").join(right.alias("b"), same_list & (F.col("a.component") != F.col("b.component")) & may_link(percent))
+    more = materialise(cross.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "cross-pairs")
+    # Texts that share a doc_id are one vertex.
+    several = members.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("hi")).where("a < hi").select("doc_id", "a")
+    same_id = members.join(several, "doc_id").select("a", F.col("set_id").alias("b")).where("a != b")
+    links = materialise(links.union(verify(more, profiles, classes, percent)).union(same_id), "links")
     label = components(links)
 
-    class_component = classes.join(label.withColumnRenamed("doc_id", "class_id"), "class_id", "left").select("fp", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    class_component = materialise(class_component, "class-components")
-    out = prints.join(class_component, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    once = out.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    return once.join(sizes.groupBy("doc_id").agg(F.max("n").alias("n_shingles")), "doc_id", "left").select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), "class_id", "component_id")
+    placed = classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    named = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    of_class = materialise(placed.join(named, "component").select("set_id", "class_id", "component_id"), "class-components")
+    own_set = F.when(F.col("n") > 0, F.col("set_id"))
+    out = profiles.select("doc_id", "n", own_set.alias("set_id")).join(of_class, "set_id", "left")
+    out = out.groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("class_id").alias("class_id"), F.min("component_id").alias("component_id"))
+    known = F.col("doc_id").isNotNull()
+    return out.select("doc_id", "n_shingles", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 SHARD_KEYS = 1_500_000
 BLOCKS = "block long, n long, doc_ids array<long>, lens array<int>, vocab binary, ids binary"
 
