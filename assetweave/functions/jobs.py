@@ -80,7 +80,7 @@ def retry_after_ms(text: Column, now: Column) -> Column:
     t = F.trim(text)
     seconds = F.when(F.char_length(t) > 9, F.lit(MAX_RETRY_AFTER_MS)).otherwise(F.least(t.try_cast("bigint") * 1000, F.lit(MAX_RETRY_AFTER_MS)))
     date = F.try_to_timestamp(F.regexp_replace(t, r"^[A-Za-z]+,\s*", ""), F.lit("dd MMM yyyy HH:mm:ss zzz"))
-    wait = F.least(F.greatest(F.unix_millis(date) - F.unix_millis(now), F.lit(0)), F.lit(MAX_RETRY_AFTER_MS))
+    wait = F.when(date.isNotNull(), F.least(F.greatest(F.unix_millis(date) - F.unix_millis(now), F.lit(0)), F.lit(MAX_RETRY_AFTER_MS)))
     return F.when(t.rlike(r"^\d+$"), seconds).when(t.rlike("[a-zA-Z]"), wait).cast("bigint")
 
 

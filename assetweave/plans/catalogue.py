@@ -17,7 +17,7 @@ from .views import Views, duck
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
 SQL: dict[str, str] = {}
-WINDOWS = F.lit("windows")
+WINDOWS = "windows"
 
 
 def query(sql: str | None = None):
@@ -74,7 +74,7 @@ def _outcomes(v: Views) -> DataFrame:
     e = v.v_entities.select("entity_id", "type").join(v.v_manifests, "entity_id", "left").join(s, "entity_id", "left")
     i, no = F.col("entity_id"), F.lit(False)
     outcome = C.probe_outcome(
-        target=F.when(i % 97 == 0, F.lit("linux")).otherwise(WINDOWS),
+        target=F.when(i % 97 == 0, F.lit("linux")).otherwise(F.lit(WINDOWS)),
         force=i % 7 == 0,
         iss=no,
         converted=F.coalesce((F.coalesce("exit_code", F.lit(0)) == 0) & (F.col("version") == "v48"), no),
@@ -117,7 +117,7 @@ def asset_digest(v):
 def canonical_names(v):
     d = _asset_digests(v).withColumnRenamed("glb", "hash")
     c = v.v_content.where(N.is_probed(F.col("file"))).join(d, ["entity_id", "hash"], "left").where(~F.coalesce("skipped", F.lit(False)))
-    name = N.canonical_name(F.col("hash"), F.col("file"), F.col("digest"), WINDOWS)
+    name = N.canonical_name(F.col("hash"), F.col("file"), F.col("digest"), F.lit(WINDOWS))
     return c.select("entity_id", "hash", name.alias("canonical")).withColumn("object_key", N.canonical_key(F.lit("v48"), F.col("canonical")))
 
 
@@ -176,8 +176,11 @@ def engine_input(v):
     return A.engine_input(v.v_content.select("entity_id", "hash", "file"), dropped.select("entity_id", "hash"), cached, ["entity_id", "hash"])
 
 
-@query("""with b as (select entity_id, concat(hash, '_windows') name from {v_content} where pk % 2 = 0), k as (select distinct c.entity_id, concat(c.hash, '_windows') name from {v_content} c join {v_cache} x on x.hash = c.hash)
-  select entity_id, name, 'built' origin from b union all select k.entity_id, k.name, 'cached' from k anti join b on b.entity_id = k.entity_id and b.name = k.name""")
+MERGE_BUILT = "(select entity_id, concat(hash, '_windows') name from {v_content} where pk % 2 = 0)"
+
+
+@query(f"""select entity_id, name, 'built' origin from {MERGE_BUILT} b union all select k.entity_id, k.name, 'cached' from
+  (select distinct c.entity_id, concat(c.hash, '_windows') name from {{v_content}} c join {{v_cache}} x on x.hash = c.hash) k anti join {MERGE_BUILT} b on b.entity_id = k.entity_id and b.name = k.name""")
 def manifest_merge(v):
     named = v.v_content.withColumn("name", F.concat("hash", F.lit("_windows")))
     return A.merge_manifest(named.where("pk % 2 = 0"), named.join(v.v_cache, "hash", "left_semi"), ["entity_id"], "name")
@@ -332,10 +335,10 @@ def job_version(v):
     return v.v_jobs.join(e, "entity_id", "left").select("job_id", J.job_version(F.col("iss"), F.col("lods"), F.col("type"), F.lit("v48"), F.lit("w7")).alias("version"))
 
 
-@query("""select job_id, concat(cast(j.entity_id as varchar), '-windows') event_key, epoch_ms(ts) ts_ms, lods is_lods, j.entity_id % 3 = 0 is_world, case when force then 0 else 13 end status from {v_jobs} j""")
+@query("""select job_id, concat(cast(j.entity_id as varchar), '-windows') event_key, epoch_us(ts) // 1000 ts_ms, lods is_lods, j.entity_id % 3 = 0 is_world, case when force then 0 else 13 end status from {v_jobs} j""")
 def finished_events(v):
     server = F.when(F.col("entity_id") % 3 == 0, "https://worlds-content-server.example.org/").otherwise("https://peer.example.org/")
-    e = C.finished_event(WINDOWS, F.col("entity_id").cast("string"), F.col("lods"), J.is_world(server), F.when(F.col("force"), 0).otherwise(13), F.lit("v48"), F.unix_millis(F.col("ts").cast("timestamp")))
+    e = C.finished_event(F.lit(WINDOWS), F.col("entity_id").cast("string"), F.col("lods"), J.is_world(server), F.when(F.col("force"), 0).otherwise(13), F.lit("v48"), F.unix_millis(F.col("ts").cast("timestamp")))
     return v.v_jobs.select("job_id", e.alias("e")).select("job_id", F.col("e.key").alias("event_key"), F.col("e.timestamp").alias("ts_ms"), F.col("e.metadata.isLods").alias("is_lods"), F.col("e.metadata.isWorld").alias("is_world"), F.col("e.metadata.statusCode").alias("status"))
 
 
@@ -399,7 +402,7 @@ def nicify(v):
     return v.part.select("p_partkey", N.nicify(F.concat("p_type", F.lit(": "), "p_name")).alias("name"))
 
 
-@query("""select c_nationkey scene, round(min(x) * 16 - 0.05, 6) min_x, round(max(x) * 16 + 16 + 0.05, 6) max_x, round(min(y) * 16 - 0.05, 6) min_z, round(max(y) * 16 + 16 + 0.05, 6) max_z
+@query("""select c_nationkey scene, round(cast(min(x) * 16 - 0.05 as double), 6) min_x, round(cast(max(x) * 16 + 16 + 0.05 as double), 6) max_x, round(cast(min(y) * 16 - 0.05 as double), 6) min_z, round(cast(max(y) * 16 + 16 + 0.05 as double), 6) max_z
   from (select c_nationkey, c_custkey % 300 - 150 x, c_custkey * 7 % 300 - 150 y from {customer}) c group by 1""")
 def scene_planes(v):
     p = G.parcel(F.concat((F.col("c_custkey") % 300 - 150).cast("string"), F.lit(","), (F.col("c_custkey") * 7 % 300 - 150).cast("string")))
@@ -412,7 +415,7 @@ def scene_height(v):
     return v.orders.groupBy(F.col("o_custkey").alias("scene")).agg(F.count("*").alias("parcels")).withColumn("height", F.round(G.scene_height(F.col("parcels")), 6))
 
 
-@query("""select p_partkey, s_suppkey, coalesce(round(s_nationkey + p_size * 2.0, 6), 0) x, coalesce(round(0.0 - p_size, 6), 0) y, coalesce(round(1.0 * s_nationkey * 3, 6), 1) sx from {part} p left join {supplier} s on s_suppkey % 50 = p_partkey % 60""")
+@query("""select p_partkey, s_suppkey, coalesce(round(cast(s_nationkey + p_size * 2.0 as double), 6), 0) x, coalesce(round(cast(0.0 - p_size as double), 6), 0) y, coalesce(round(cast(1.0 * s_nationkey * 3 as double), 6), 1) sx from {part} p left join {supplier} s on s_suppkey % 50 = p_partkey % 60""")
 def placement(v):
     vec = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
     zero, one = F.lit(0.0), F.lit(1.0)

@@ -3,35 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .triage import jobs, shared_dir
 
 TTL_MS = 86_400_000
+STORE = "spark.sql.streaming.stateStore.providerClass"
 OUTPUT = "entity_id long, hits long, probes long"
 
 
-class HitMarkers(StatefulProcessor):
-    """Remembers that a key was seen; a key whose marker is alive is a hit, any other is a probe and sets it."""
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state store that keyed state with a time to live needs; the session's own setting comes back afterwards."""
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STORE)
+        else:
+            spark.conf.set(STORE, before)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "at long", ttlDurationMs=TTL_MS)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = sum(len(x) for x in rows)
-        hit = self.seen.exists()
-        self.seen.update((1,))
-        yield pd.DataFrame({"entity_id": [key[0]], "hits": [n if hit else n - 1], "probes": [0 if hit else 1]})
+def markers(stream: DataFrame) -> DataFrame:
+    """A key whose marker is alive is a hit; any other is a probe, which sets the marker."""
 
-    def close(self) -> None:
-        pass
+    # Defined here, so that it travels by value: the state driver's worker needs no copy of the package.
+    class HitMarkers(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.seen = handle.getValueState("seen", "at long", ttlDurationMs=TTL_MS)
 
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            n = sum(len(x) for x in rows)
+            hit = self.seen.exists()
+            self.seen.update((1,))
+            yield pd.DataFrame({"entity_id": [key[0]], "hits": [n if hit else n - 1], "probes": [0 if hit else 1]})
+
+        def close(self) -> None:
+            pass
 
-def markers(stream: DataFrame) -> DataFrame:
     return stream.groupBy("entity_id").transformWithStateInPandas(statefulProcessor=HitMarkers(), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime")
 
 
@@ -39,9 +55,12 @@ def run_once(v) -> DataFrame:
     """For every entity of the job stream: how often its marker was alive, and how often the store had to be asked."""
     spark = v.spark
     at = shared_dir(spark)
-    v.v_jobs.withColumn("ts", F.col("ts").cast("timestamp")).repartition(4).write.parquet(f"{at}/jobs")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = jobs(spark, f"{at}/jobs")
-    q = markers(stream).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
+    rows = v.v_jobs.withColumn("ts", F.col("ts").cast("timestamp"))
+    # The jobs arrive in two parts, so that the second meets markers of the first.  State with a time to live always asks for
+    # another batch, so a run over what is available has to be a single one.
+    with rocksdb(spark):
+        for part in (F.col("job_id") % 2 == 0, F.col("job_id") % 2 != 0):
+            rows.where(F.coalesce(part, F.lit(False))).repartition(4).write.mode("append").parquet(f"{at}/jobs")
+            out = markers(jobs(spark, f"{at}/jobs")).writeStream.format("parquet").option("path", f"{at}/out")
+            out.option("checkpointLocation", f"{at}/checkpoint").trigger(once=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out").groupBy("entity_id").agg(F.sum("hits").alias("hits"), F.sum("probes").alias("probes"))
