@@ -85,7 +85,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int =
             hit = fingerprints(words, ["doc_id", "th"], k, span).join(_small(marks, n_marks), "fp", "left_semi").select("doc_id", "th").distinct()
             suspects = materialise(hit, "suspects")
             near = docs.join(suspects, (docs["doc_id"].eqNullSafe(suspects["doc_id"])) & (docs["th"] == suspects["th"]), "left_semi")
-            near = with_words(near).drop("text")
+            # Written first: else the filters on the words move below the join, and all documents are cut into words again.
+            near = with_words(materialise(near, "suspect-texts")).drop("text")
         else:
             near = words
         spans = _window_hashes(near, n, ["doc_id", "th"]).join(_small(unique, windows.count()), ["w1", "w2"], "left_semi")
