@@ -29,6 +29,8 @@ SKETCH_WORDS = 16
 #: Lower ends of the fragments of the global order, as (document frequency, half of the hash range).
 FRAGMENTS = ((2, 0), (2, 1), (3, 0), (4, 0), (6, 0), (9, 0), (17, 0), (65, 0))
 LIST_BLOCK = 2048
+#: Rounds of one hub for each list, before what is left is compared pair by pair.
+HUB_ROUNDS = 2
 
 
 def shingle_sets(lens: np.ndarray, vocab: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,12 +91,35 @@ def _frequency_keys(n: int, bits: int):
 PROFILE = "doc_id long, set_id long, n long, sketch array<long>, prefix array<long>, segments array<array<long>>"
 
 
+def _offsets(counts: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
+
+
+def _lists(ok: np.ndarray, counts: np.ndarray, values: pa.Array) -> pa.Array:
+    """A list for each text, null where it isn't ``ok``; ``counts`` and ``values`` are those of the others."""
+    every = np.zeros(len(ok), "i8")
+    every[ok] = counts
+    return pa.ListArray.from_arrays(_offsets(every), values, mask=pa.array(~ok))
+
+
+def _sketches(h: np.ndarray, text: np.ndarray, n: int, at_once: int = 2048) -> np.ndarray:
+    """For each of ``n`` texts, whether an odd number of its n-grams fall on each bit, as words of 64 bits."""
+    bits, out = SKETCH_WORDS * 64, []
+    bit = (h % np.uint64(bits)).astype("i8")
+    for lo in range(0, n, at_once):
+        hi = min(n, lo + at_once)
+        i, j = np.searchsorted(text, [lo, hi])
+        odd = (np.bincount((text[i:j] - lo) * bits + bit[i:j], minlength=(hi - lo) * bits) & 1).astype("u1")
+        out.append(np.packbits(odd, bitorder="little").view("<i8"))
+    return np.concatenate(out) if out else np.zeros(0, "<i8")
+
+
 def _profiles(n: int, percent: int, bits: int):
     """For each text: the size of its set, its parity sketch, its prefix and its segments of shared n-grams."""
     shift = np.uint64(64 - bits)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids_out, sets, sizes, sketches, prefixes, segments = [], [], [], [], [], []
+        out = []
         for row in left.to_pylist():
             doc_ids, lens, vocab, ids = K.block_arrays(row)
             h, d = shingle_sets(lens, vocab, ids, n)
@@ -107,40 +132,33 @@ def _profiles(n: int, percent: int, bits: int):
             order = order[np.argsort(f[order], kind="stable")]
             order = order[np.argsort(d[order], kind="stable")]
             h, f, d = h[order], f[order], d[order]
-            first = np.cumsum(size) - size
+            ends = np.cumsum(size)
+            first = ends - size
             place = np.arange(len(h)) - first[d]
             need = -(-percent * size // 100)
             in_prefix = (f > 1) & (place < (size - need + 1)[d])
             frag = np.searchsorted([a * 2 + b for a, b in FRAGMENTS], f * 2 + np.where(f == 2, (h >> np.uint64(63)).astype("i8"), 0), side="right") - 1
-            signed = h.view("i8")
-            bit = (h % np.uint64(SKETCH_WORDS * 64)).astype("i8")
-            ends = np.cumsum(size)
-            has = np.bincount(d[in_prefix], minlength=len(lens)) > 0
-            for i in np.arange(len(lens)):
-                lo, hi = first[i], ends[i]
-                ids_out.append(doc_ids[i])
-                sets.append(int(K.mix(h[lo:hi]).sum(dtype="u8").view("i8")))
-                sizes.append(int(size[i]))
-                if not has[i] or doc_ids[i] is None:
-                    sketches.append(None)
-                    prefixes.append(None)
-                    segments.append(None)
-                    continue
-                odd = (np.bincount(bit[lo:hi], minlength=SKETCH_WORDS * 64) & 1).astype("u1")
-                sketches.append(np.packbits(odd, bitorder="little").view("<i8"))
-                prefixes.append(signed[lo:hi][in_prefix[lo:hi]])
-                g = frag[lo:hi]
-                segments.append([signed[lo:hi][g == k].tolist() for k in range(len(FRAGMENTS))])
-        return pa.table(
-            {
-                "doc_id": pa.array(ids_out, pa.int64()),
-                "set_id": pa.array(sets, pa.int64()),
-                "n": pa.array(sizes, pa.int64()),
-                "sketch": pa.array(sketches, pa.list_(pa.int64())),
-                "prefix": pa.array(prefixes, pa.list_(pa.int64())),
-                "segments": pa.array(segments, pa.list_(pa.list_(pa.int64()))),
-            }
-        )
+            sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(K.mix(h), dtype="u8")])
+            known = np.array([i is not None for i in doc_ids], bool)
+            ok = known & (np.bincount(d[in_prefix], minlength=len(lens)) > 0)
+            signed, mine, rank, n_ok = h.view("i8"), ok[d], np.cumsum(ok) - 1, int(ok.sum())
+            # In this order the fragments of a text lie one behind the other.
+            shared = mine & (f > 1)
+            inner = np.bincount(rank[d[shared]] * len(FRAGMENTS) + frag[shared], minlength=n_ok * len(FRAGMENTS))
+            parts = pa.ListArray.from_arrays(_offsets(inner), pa.array(signed[shared]))
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": pa.array(doc_ids, pa.int64()),
+                        "set_id": pa.array((sums[ends] - sums[first]).view("i8")),
+                        "n": pa.array(size.astype("i8")),
+                        "sketch": _lists(ok, np.full(n_ok, SKETCH_WORDS), pa.array(_sketches(h[mine], rank[d[mine]], n_ok))),
+                        "prefix": _lists(ok, np.bincount(rank[d[mine & in_prefix]], minlength=n_ok), pa.array(signed[mine & in_prefix])),
+                        "segments": _lists(ok, np.full(n_ok, len(FRAGMENTS)), parts),
+                    }
+                )
+            )
+        return pa.concat_tables(out)
 
     return run
 
@@ -203,20 +221,30 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     sketches = lead.select("node", "n", "sketch")
     posts = lead.select("node", "n", F.explode("prefix").alias("shingle"))
 
-    # First round: every n-gram's classes against one hub.
-    lengths = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
+    # Every n-gram's classes against one hub: first the smallest, then, in lists that still have several components, the one with
+    # the most links so far, which is the likeliest to link with the rest.
     hubs = posts.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    star = posts.join(hubs, "shingle").where((F.col("node") != F.col("hub.node")) & lengths)
-    star = star.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-    side = lambda k: F.struct("n", "sketch").alias(k)
-    star = star.join(sketches.select(F.col("node").alias("a"), side("sa")), "a").join(sketches.select(F.col("node").alias("b"), side("sb")), "b")
-    tried = materialise(star.where(may_link(percent, "sa", "sb")).select("a", "b").distinct(), "star-pairs")
-    links = materialise(verify(tried, profiles, classes, percent), "star-links")
-    label = components(links, "star-components")
-
-    # Second round: what shares a prefix n-gram and is not in one component yet.
-    member = materialise(posts.drop("n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
-    open_lists = member.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    links = None
+    for k in range(HUB_ROUNDS):
+        lengths = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
+        star = (posts if k == 0 else member).join(hubs, "shingle").where((F.col("node") != F.col("hub.node")) & lengths)
+        if k:
+            star = star.where(F.col("component") != F.col("hub.component"))
+        star = star.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+        side = lambda name: F.struct("n", "sketch").alias(name)
+        star = star.join(sketches.select(F.col("node").alias("a"), side("sa")), "a").join(sketches.select(F.col("node").alias("b"), side("sb")), "b")
+        tried = materialise(star.where(may_link(percent, "sa", "sb")).select("a", "b").distinct(), "star-pairs")
+        found = verify(tried, profiles, classes, percent)
+        links = materialise(found if links is None else links.union(found), "star-links")
+        label = components(links, "star-components")
+        # What shares a prefix n-gram and is not in one component yet.
+        degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
+        member = posts.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        lists = member.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle", "size")
+        member = materialise(member.join(lists, "shingle").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))), "members")
+        hubs = member.groupBy("shingle").agg(F.max(F.struct("degree", "node", "n", "component")).alias("hub"))
+    open_lists = member.select("shingle", "size").distinct()
+    member = member.select("node", "shingle", "component")
     parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
     member = materialise(member.join(open_lists.select("shingle", parts.alias("parts")), "shingle").join(sketches, "node"), "open-posts")
     left = member.withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
