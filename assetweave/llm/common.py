@@ -41,6 +41,11 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,8 +61,3 @@ def ascii_lower(c: Column) -> Column:
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the decimal id, mod n; a missing id counts as remainder 0 of the empty string."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
-
-
-def log_fit(spark: SparkSession, **what) -> None:
-    """Keep a stage's fitted figures on the session for tests and reports."""
-    spark.conf.set("assetweave.llm.fit", str(what)[:4000])

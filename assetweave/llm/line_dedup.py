@@ -68,7 +68,7 @@ class LineRuns:
         merged = keys.select(*KEY, (~known).alias("fresh"), F.when(~known, F.col("owner")).alias("owner"), (known | (F.col("owner") < F.col("latest"))).alias("shared"))
         name, path = self._save(merged)
         self.levels[0].append((name, path))
-        owners = self.spark.read.parquet(path).where("shared").select(*KEY, "owner")
+        owners = self.spark.read.schema(merged.schema).parquet(path).where("shared").select(*KEY, "owner")
         gone = lines.join(owners, KEY).where(F.col("owner").isNull() | (F.col("doc") != F.col("owner")))
         out = materialise(gone.groupBy("doc", "th").agg(F.collect_set("pos").alias("dropped")), "line-drops")
         self._compact()

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, new_path
+from .common import make_folder, materialise, new_path
 from .token_counts import load
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
@@ -107,7 +107,7 @@ class ByteLevelEncoder:
 
 
 class ShardWriter:
-    """One Arrow file of sequences; holds a sequence and a batch at a time."""
+    """One Arrow file of sequences; holds a document and a batch at a time."""
 
     def __init__(self, sink, seq_len: int, dtype: str, rows: int = 256):
         self.n, self.type, self.rows = seq_len, np.dtype(dtype), rows
@@ -125,32 +125,31 @@ class ShardWriter:
             self.flush()
 
     def flush(self, last: bool = False) -> None:
-        flat = np.frombuffer(b"".join(self.held), self.type)
-        rows = -(-len(flat) // self.n) if last else len(flat) // self.n
-        used = min(rows * self.n, len(flat))
-        mask = np.arange(rows * self.n) < used
-        ids = np.zeros(rows * self.n, self.type)
-        ids[:used] = flat[:used]
-        at = [[] for _ in range(rows)]
-        rest = []
-        for d, end in self.docs:
-            if end <= used:
-                at[(end - 1) // self.n].append((d, (end - 1) % self.n + 1))
-            else:
-                rest.append((d, end - used))
-        if rows:
+        """Write what is held as batches of just ``rows`` sequences (only a file's last may be shorter), so that a sequence's batch is known from its number."""
+        flat, step = np.frombuffer(b"".join(self.held), self.type), self.n * self.rows
+        stop, k = len(flat) if last else len(flat) // step * step, 0
+        for lo in range(0, stop, step):
+            used = min(step, len(flat) - lo)
+            n = -(-used // self.n)
+            ids = np.zeros(n * self.n, self.type)
+            ids[:used] = flat[lo : lo + used]
+            at = [[] for _ in range(n)]
+            while k < len(self.docs) and self.docs[k][1] <= lo + used:
+                d, end = self.docs[k]
+                at[(end - lo - 1) // self.n].append((d, (end - lo - 1) % self.n + 1))
+                k += 1
             self.file.write_batch(
                 pa.record_batch(
                     [
                         pa.FixedSizeListArray.from_arrays(pa.array(ids, self.kind), self.n),
-                        pa.FixedSizeListArray.from_arrays(pa.array(mask), self.n),
+                        pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(ids)) < used), self.n),
                         pa.array([[d for d, _ in x] for x in at], pa.list_(pa.int64())),
                         pa.array([[e for _, e in x] for x in at], pa.list_(pa.int32())),
                     ],
                     schema=self.schema,
                 )
             )
-        self.held, self.size, self.docs = [flat[used:].tobytes()], len(flat) - used, rest
+        self.held, self.size, self.docs = [flat[stop:].tobytes()], len(flat) - stop, [(d, e - stop) for d, e in self.docs[k:]]
 
     def close(self) -> None:
         self.flush(last=True)
@@ -218,6 +217,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 0, seq_len: int
     """Write the files; returns their folder and the manifest (shard, n_docs, n_ids, start: ids in the shards before)."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "token-files")
+    make_folder(spark, folder)  # a table without rows has no files, but a folder to read
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     order = ["doc_id", F.xxhash64("text")]
