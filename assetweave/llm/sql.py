@@ -1,3 +1,70 @@
-"""DuckDB twins of the corpus queries that SQL can express."""
+"""DuckDB twins of the corpus queries that SQL can express.
 
-SQL: dict[str, str] = {}
+The others hold a learned model, a tokenizer's ids or a signal's features, and are tested against brute force instead.
+"""
+
+from __future__ import annotations
+
+from .common import UPPER
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{UPPER}', '{UPPER.lower()}')"
+
+
+SPACE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+
+OP2 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p, len(w) AS total FROM texts),
+follow AS (
+  SELECT doc_id, p, total, x, lead(x, 1) OVER o AS x1, lead(x, 2) OVER o AS x2, lead(x, 3) OVER o AS x3
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+),
+shingle AS (SELECT DISTINCT doc_id, concat_ws(' ', x, x1, x2, x3) AS s FROM follow WHERE x3 IS NOT NULL OR (total < 4 AND p = 1)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+both_hold AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+pair AS (SELECT a, b FROM both_hold JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b WHERE 100 * common >= 85 * (sa.n + sb.n - common)),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT t.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, least(t.doc_id, coalesce(min(reach.b), t.doc_id)) AS component_id
+FROM texts t LEFT JOIN size ON size.doc_id = t.doc_id LEFT JOIN reach ON reach.a = t.doc_id
+GROUP BY t.doc_id
+"""
+
+OP9 = f"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+line AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM cut),
+keyed AS (SELECT *, {_lower(f"trim(line, {SPACE})")} AS key FROM line),
+shared AS (SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT k.doc_id, k.pos, k.line, coalesce(s.owner <> k.doc_id, false) AS goes FROM keyed k LEFT JOIN shared s ON s.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT goes), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+LEADS = ", ".join(f"lead(x, {k}) OVER o AS x{k}" for k in range(1, 13))
+WINDOW = "array_to_string([x, " + ", ".join(f"x{k}" for k in range(1, 13)) + "][1:n], ' ')"
+
+OP10 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+item_word AS (SELECT item_id, unnest(w) AS x, generate_subscripts(w, 1) AS p, least(len(w), 13) AS n, len(w) AS total FROM i),
+item_follow AS (SELECT *, {LEADS} FROM item_word WINDOW o AS (PARTITION BY item_id ORDER BY p)),
+item_window AS (SELECT DISTINCT item_id, n, {WINDOW} AS win FROM item_follow WHERE p + n - 1 <= total),
+length AS (SELECT DISTINCT n FROM item_window),
+doc_word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p, len(w) AS total FROM d),
+doc_follow AS (SELECT *, {LEADS} FROM doc_word WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+doc_window AS (SELECT doc_id, p, n, {WINDOW} AS win FROM doc_follow JOIN length ON p + n - 1 <= total),
+hit AS (SELECT doc_id, p, n, item_id FROM doc_window JOIN item_window USING (n, win)),
+place AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + n - 1)) AS at FROM (SELECT DISTINCT doc_id, p, n FROM hit)),
+cover AS (SELECT doc_id, count(*) AS n_hit FROM place GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN cover ON cover.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
+"""
+
+SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_benchmark_decontamination": OP10}
