@@ -1,10 +1,11 @@
 """Each operator against its brute-force version, and the edge cases that its docstring defines."""
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from assetweave.llm import chat_format, jaccard_join, line_dedup, media_audio, queries, sentencepiece_codec, token_output, toxicity, winnowing
+from assetweave.llm import chat_format, jaccard_join, line_dedup, media_audio, queries, sentencepiece_codec, sql, token_output, toxicity, winnowing
 
 from . import brute as B
 
@@ -88,6 +89,18 @@ def test_query_on_edge_rows(spark, edge_dir, name):
     same(result(spark, name, at), CASES[name][1](EDGES, items))
 
 
+@pytest.mark.parametrize("name", sql.SQL)
+@pytest.mark.parametrize("edge", [False, True])
+def test_sql_twin(spark, rows, edge_dir, name, edge):
+    at, items = edge_dir if edge else (SF, [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    con, cols = duckdb.connect(), CASES[name][0]
+    for table in ("documents", "benchmark"):
+        files = f"{at}/{table}.parquet" + "/*.parquet" * edge
+        con.execute(f"create view {table} as select * from '{files}'")
+    got = con.execute(f"select doc_id, {', '.join(cols)} from ({sql.SQL[name]})").fetchall()
+    same({r[0]: r[1:] for r in got}, CASES[name][1](EDGES if edge else rows, items))
+
+
 @pytest.mark.parametrize("name", [*CASES, "op3_toxicity"])
 def test_query_on_empty_tables(spark, tmp_path, name):
     spark.createDataFrame([], SCHEMA).write.parquet(f"file://{tmp_path}/documents.parquet")
