@@ -36,6 +36,8 @@ BUCKETS = 32
 #: Texts whose remainder is this are the deleted part.
 DELETED = 1
 GRAM_BITS = 56
+#: Tokens of a block; bounds a task's arrays.
+BLOCK_TOKENS = 500_000
 
 
 def remainder(doc_id: int | None) -> int:
@@ -113,11 +115,11 @@ def _keys(order: int):
     return lambda row: Block(row, order).keys()
 
 
-COUNTED = "block long, doc_ids array<long>, ends binary, counts array<binary>"
+COUNTED = "block long, doc_ids array<long>, ends binary, counts array<binary>, held array<binary>"
 
 
 def _counted(order: int):
-    """Each block with its tokens' counts: for each kind those in all training texts, then those in the deleted part."""
+    """Each block with its tokens' counts in all training texts, for each kind; and, for the tokens of the deleted part, those without that part (``held``)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
@@ -125,9 +127,10 @@ def _counted(order: int):
             b = Block(row, order)
             c = b.counts(right)
             need = b.deleted
-            packed = [K.pack(c[k][0]) for k in b.kinds()] + [K.pack(c[k][1][need]) for k in b.kinds()]
-            rows.append({"block": row["block"], "doc_ids": b.doc_ids, "ends": K.pack(b.ends), "counts": packed})
-        return pa.Table.from_pylist(rows, pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("counts", pa.list_(pa.binary()))]))
+            packed = [K.pack(c[k][0]) for k in b.kinds()]
+            held = [K.pack(c[k][0][need] - c[k][1][need]) for k in b.kinds()]
+            rows.append({"block": row["block"], "doc_ids": b.doc_ids, "ends": K.pack(b.ends), "counts": packed, "held": held})
+        return pa.Table.from_pylist(rows, pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("counts", pa.list_(pa.binary())), ("held", pa.list_(pa.binary()))]))
 
     return run
 
@@ -139,11 +142,8 @@ def _expected(order: int, total: int, types: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((BUCKETS, order + 1))
         for b in batches:
-            for row in b.to_pylist():
-                part = np.array([remainder(d) for d in row["doc_ids"]])
-                ends = K.unpack(row["ends"]).astype("i8")
-                deleted = np.repeat(part == DELETED, np.diff(ends, prepend=0))
-                c = {k: K.unpack(a).astype("i8")[deleted] - K.unpack(d).astype("i8") for k, a, d in zip(kinds, row["counts"], row["counts"][len(kinds) :])}
+            for held in b.column(0).to_pylist():
+                c = {k: K.unpack(a).astype("i8") for k, a in zip(kinds, held)}
                 which, f = estimates(c, total, types, order)
                 mixed = f * weights[which]
                 mixed /= mixed.sum(axis=1, keepdims=True)
@@ -159,7 +159,8 @@ def _scores(order: int, total: int, types: int, weights: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for at in range(b.num_rows):
+                row = b.slice(at, 1).to_pylist()[0]
                 ends = K.unpack(row["ends"]).astype("i8")
                 c = {k: K.unpack(a).astype("i8") for k, a in zip(kinds, row["counts"])}
                 which, f = estimates(c, total, types, order)
@@ -182,7 +183,7 @@ def score_texts(docs: DataFrame, order: int = 2, rounds: int = 12) -> DataFrame:
     Texts whose crc32(doc_id) mod 10 is 0 are held out from all learning; remainder 1 is the deleted part for the weights.
     """
     spark = docs.sparkSession
-    blocks = materialise(K.token_blocks(docs), "lm-blocks")
+    blocks = materialise(K.token_blocks(docs, BLOCK_TOKENS), "lm-blocks")
     at = blocks.inputFiles()
     total_keys = (blocks.agg(F.sum("n")).first()[0] or 0) * 2
     asked = K.ask(blocks, _keys(order), K.shards_for(total_keys))
@@ -196,7 +197,7 @@ def score_texts(docs: DataFrame, order: int = 2, rounds: int = 12) -> DataFrame:
         discard(spark, at[0].rsplit("/", 1)[0])
     weights = np.full((BUCKETS, order + 1), 1 / (order + 1))
     for _ in range(rounds):
-        used = counted.mapInArrow(_expected(order, train - deleted, types, weights), "bucket int, used array<double>")
+        used = counted.select("held").mapInArrow(_expected(order, train - deleted, types, weights), "bucket int, used array<double>")
         sums = used.groupBy("bucket").agg(*[F.sum(F.col("used")[k]).alias(f"u{k}") for k in range(order + 1)]).collect()
         new = np.zeros_like(weights)
         for r in sums:
@@ -209,7 +210,7 @@ def score_texts(docs: DataFrame, order: int = 2, rounds: int = 12) -> DataFrame:
         weights = new
         if done:
             break
-    out = counted.mapInArrow(_scores(order, train, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = counted.drop("held").mapInArrow(_scores(order, train, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
