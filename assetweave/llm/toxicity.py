@@ -8,7 +8,7 @@ labelled rows, with log-odds as arc weights; the weights of the patterns come fr
 
 Defined results: a null or empty text has no clause and gets the model's base rate; a null ``doc_id`` counts as
 training side (never read for labels, as labels join on ``doc_id``); repeated labels of one document count once,
-as toxic if any says so; with no usable label the grammar falls back on its seed lists and prior weights.
+as toxic if any says so, and so do copies of one text; with no usable label the grammar falls back on its seed lists and prior weights.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, materialise
 
 # The grammar's closed word classes, in English, French, German and Spanish.
 TARGET_WORDS = (
@@ -198,22 +198,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 40)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """Labelled texts outside the held-out third; about ``bound`` of them, chosen by a hash of the id, if there are more."""
+    """Labelled texts outside the held-out third; about ``bound`` of them, chosen by a hash of the id, if there are more.
+
+    Copies of a text are one row, toxic if any of them is, wherever they lie: what is learned does not depend on partitions.
+    """
     y = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (crc_mod(F.col("doc_id"), 3) != 1)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     there = y.count()
     if there > bound:
         y = y.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * bound / there))
-    return docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(y, "doc_id").select("text", "toxic")
+    # The labels are bounded, so they go to the texts; only the labelled texts are exchanged.
+    rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(F.broadcast(y), "doc_id")
+    return rows.groupBy(F.md5(F.col("text").cast("binary")).alias("_h")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 def _document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label that hold a word or a stem, summed over the task; a text that repeats in the task counts once."""
-    seen, pos, neg, rows = set(), Counter(), Counter(), [0, 0]
+    """Documents of either label that hold a word or a stem, summed over the task."""
+    pos, neg, rows = Counter(), Counter(), [0, 0]
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if not text or hash(text) in seen:
+            if not text:
                 continue
-            seen.add(hash(text))
             words = {w for w in WORD.findall(text.lower()) if w[0] not in BREAKS}
             rows[1 if toxic else 0] += 1
             keys = set(words)
@@ -256,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_lexicon:
     copied between toxic texts teaches nothing), a quarter as many as texts; a stem also needs three different words.  With log-odds of
     ``strong`` it is an insult, else a suspect, whose weight the regression finds.  ``max_lexicon`` bounds the model.
     """
-    rows = training_rows(docs, labels, max_rows)
+    rows = materialise(training_rows(docs, labels, max_rows), "labelled")
     counts = rows.mapInArrow(_document_features, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counts = counts.where((F.col("pos") >= 3) | (F.col("feature") == ""))
     total = counts.where(F.col("feature") == "").first()
@@ -284,6 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_lexicon:
                 (model.stems if odds >= strong else model.suspect_stems)[k[:-1]] = min(odds, 6.0)
     m = Matcher(model)
     sample = rows.mapInArrow(_features_of(m.model), "x array<double>, toxic int").groupBy("x", "toxic").count().collect()
+    sample.sort(key=lambda r: (r["x"], r["toxic"]))  # sums of floats in one order
     x = np.array([r["x"] for r in sample])
     y = np.array([float(r["toxic"]) for r in sample])
     c = np.array([r["count"] for r in sample])

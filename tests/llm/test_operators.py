@@ -137,6 +137,23 @@ def test_toxicity_clauses():
     assert m.score(None) == m.score("")
 
 
+def test_toxicity_fit_does_not_depend_on_partitions(spark):
+    name = lambda i: chr(97 + i % 26) + chr(97 + i // 26)
+    clean = [(i, f"the weather in {name(i)} was fine and quiet", 0) for i in range(300)]
+    toxic = [(1000 + i, f"you are {name(i)} zorgle really", 1) for i in range(60)]
+    copies = [(2000 + i, "what other zorgle folk and quiet fine company of them", 1) for i in range(600)] + [(3000 + i, "a fine frumple of quiet weather", 0) for i in range(600)]
+    once = [(2000, copies[0][1], 1), (3000, copies[600][1], 0), (3001, copies[600][1], 0), (2001, copies[0][1], 1)]
+
+    def model(rows, parts):
+        docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(parts, "doc_id")
+        g = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+        return g.words, g.stems, g.suspects, g.suspect_stems, g.weights.tolist(), g.bias, g.rows
+
+    one = model(clean + toxic + copies, 1)
+    assert "zorgle" in one[0]
+    assert one == model(clean + toxic + copies, 50) == model(clean + toxic + once, 3)
+
+
 def test_toxicity_without_labels(spark, edge_dir):
     assert queries.op3_toxicity(spark, edge_dir[0]).where("score is null or score < 0 or score > 1").count() == 0
 
