@@ -64,26 +64,59 @@ def previous_deployment(entities: DataFrame) -> DataFrame:
     return entities.select("entity_id", "base", F.lag("entity_id").over(w).alias("previous"))
 
 
-def migration(files: DataFrame, manifests: DataFrame, inventory: DataFrame, version: str, dry_run: bool = False) -> DataFrame:
-    """What becomes of every listed bundle of the manifests that can be migrated.
+def manifest_fates(
+    manifests: DataFrame,
+    version: str,
+    entities: DataFrame | None = None,
+    unreadable: Column | None = None,
+    without_server: Column | None = None,
+    digest_failed: Column | None = None,
+) -> DataFrame:
+    """``manifests`` with ``fate``, the first that holds: error (unreadable), skipped, no-server, no-entity, digest-failed, kept.
+
+    ``entities``: entity_id of those whose content the server still lists; a manifest of any other has no entity.  Flags
+    that are null or not given count as false.
+    """
+    good = (F.col("exit_code") == 0) & (F.col("version") == version)
+    flag = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
+    df, gone = manifests.withColumns({"_unreadable": flag(unreadable), "_no_server": flag(without_server), "_undigested": flag(digest_failed)}), F.lit(False)
+    if entities is not None:
+        df = df.join(entities.select("entity_id").distinct().withColumn("_active", F.lit(True)), "entity_id", "left")
+        gone = F.col("_active").isNull()
+    fate = F.when(F.col("_unreadable"), "error").when(~F.coalesce(good, F.lit(False)), "skipped").when(F.col("_no_server"), "no-server").when(gone, "no-entity").when(F.col("_undigested"), "digest-failed").otherwise("kept")
+    return df.select(*manifests.columns, fate.alias("fate"))
+
 
-    ``files``: entity_id, hash, source_key, is_gltf, digest, skipped; ``inventory``: hash of what the canonical prefix holds; ``manifests``: entity_id, exit_code, version.
-    Columns: the files' own, target_name, action (skipped, canonical, missing-source, copied).
+def migration(files: DataFrame, fates: DataFrame, inventory: DataFrame, dry_run: bool = False, failed: Column | None = None) -> DataFrame:
+    """What becomes of every listed bundle of the manifests that are kept.
+
+    ``files``: entity_id, hash, source_key, is_gltf, digest, skipped; ``fates``: of ``manifest_fates``; ``inventory``: hash of what the
+    canonical prefix holds; ``failed``: on the files' columns, a bundle whose probe or copy fails.
+    Columns: the files' own, target_name, action (skipped, canonical, missing-source, copied, would-copy, error).
     """
-    kept = manifests.where((F.col("exit_code") == 0) & (F.col("version") == version)).select("entity_id")
+    kept = fates.where(F.col("fate") == "kept").select("entity_id")
     there = inventory.select("hash").distinct().withColumn("_there", F.lit(True))
-    out = files.join(kept, "entity_id", "left_semi").join(there, "hash", "left")
+    out = files.withColumn("_failed", F.lit(False) if failed is None else F.coalesce(failed, F.lit(False))).join(kept, "entity_id", "left_semi").join(there, "hash", "left")
     name = F.when(F.col("is_gltf"), F.concat("hash", F.lit("_"), "digest", F.lit("_windows"))).otherwise(F.concat("hash", F.lit("_windows")))
-    action = F.when(F.col("skipped"), "skipped").when(F.col("_there").isNotNull(), "canonical").when(F.col("source_key").isNull(), "missing-source").otherwise("would-copy" if dry_run else "copied")
-    return out.withColumn("target_name", F.when(~F.col("skipped"), name)).withColumn("action", action).drop("_there")
+    # A container without a digest has no canonical name: an error of this bundle only.
+    wrong = F.col("_failed") | (F.col("is_gltf") & F.col("digest").isNull())
+    action = F.when(F.col("skipped"), "skipped").when(wrong, "error").when(F.col("_there").isNotNull(), "canonical")
+    action = action.when(F.lit(dry_run), "would-copy").when(F.col("source_key").isNull(), "missing-source").otherwise("copied")
+    return out.withColumn("target_name", F.when(~F.col("skipped"), name)).withColumn("action", action).drop("_there", "_failed")
 
 
-def migration_stats(manifests: DataFrame, plan: DataFrame, version: str, without_server: Column | None = None) -> DataFrame:
+def migration_stats(fates: DataFrame, plan: DataFrame) -> DataFrame:
     """One row of counters; it is there even without any input."""
-    good = (F.col("exit_code") == 0) & (F.col("version") == version)
-    good = F.coalesce(good, F.lit(False))
-    zero = F.lit(0).cast("long")
-    scanned = manifests.agg(F.count("*").alias("manifests_scanned"), F.count_if(good).alias("manifests_kept"), F.count_if(~good).alias("manifests_skipped"), zero.alias("manifests_missing_content_server"), zero.alias("manifests_entity_fetch_failed"), zero.alias("manifests_digest_failed"))
+    of = lambda x: F.count_if(F.col("fate") == x)
+    scanned = fates.agg(
+        F.count("*").alias("manifests_scanned"),
+        of("kept").alias("manifests_kept"),
+        of("skipped").alias("manifests_skipped"),
+        of("no-server").alias("manifests_missing_content_server"),
+        of("no-entity").alias("manifests_entity_fetch_failed"),
+        of("digest-failed").alias("manifests_digest_failed"),
+        of("error").alias("_unreadable"),
+    )
     copied = F.col("action").isin("copied", "would-copy")
     counted = plan.agg(
         F.count_if(F.col("action") != "skipped").alias("bundles_probed"),
@@ -92,9 +125,9 @@ def migration_stats(manifests: DataFrame, plan: DataFrame, version: str, without
         F.count_if(copied & F.col("is_gltf")).alias("glb_renamed"),
         F.count_if(F.col("action") == "missing-source").alias("bundles_missing_source"),
         F.count_if("skipped").alias("glb_skipped"),
-        zero.alias("errors"),
+        F.count_if(F.col("action") == "error").alias("errors"),
     )
-    return scanned.crossJoin(counted)  # one row each
+    return scanned.crossJoin(counted).withColumn("errors", F.col("errors") + F.col("_unreadable")).drop("_unreadable")  # one row each
 
 
 def histogram(jobs: DataFrame, seconds: str, labels: list[str]) -> DataFrame:

@@ -220,11 +220,15 @@ PLAN = f"""select c.entity_id, c.hash, case when not skipped then case when is_g
   join (select entity_id from {{v_manifests}} where exit_code = 0 and version = 'v48') m on m.entity_id = c.entity_id left join {{v_inventory}} i on i.hash = c.hash"""
 
 
+def _fates(v: Views) -> DataFrame:
+    return C.manifest_fates(v.v_manifests, "v48", v.v_entities)
+
+
 def _plan(v: Views) -> DataFrame:
     d = _asset_digests(v).withColumnRenamed("glb", "hash").select("entity_id", "hash", "digest", "skipped")
     files = v.v_content.where(N.is_probed(F.col("file"))).join(d, ["entity_id", "hash"], "left").withColumn("skipped", F.coalesce("skipped", F.lit(False)))
     files = files.withColumn("is_gltf", N.is_gltf(F.col("file"))).withColumn("source_key", F.when(F.col("pk") % 11 != 0, F.concat(F.lit("v48/"), F.col("entity_id").cast("string"), F.lit("/"), "hash")))
-    return C.migration(files, v.v_manifests, v.v_inventory, "v48")
+    return C.migration(files, _fates(v), v.v_inventory)
 
 
 @query(f"select entity_id, hash, target_name, action from ({PLAN}) p")
@@ -237,7 +241,7 @@ def migration_plan(v):
   (select count(*) filter (where action <> 'skipped') bundles_probed, count(*) filter (where action = 'canonical') bundles_already_canonical, count(*) filter (where action = 'copied') bundles_copied,
    count(*) filter (where action = 'copied' and is_gltf) glb_renamed, count(*) filter (where action = 'missing-source') bundles_missing_source, count(*) filter (where action = 'skipped') glb_skipped from ({PLAN}) q) p""")
 def migration_stats(v):
-    return C.migration_stats(v.v_manifests, _plan(v), "v48")
+    return C.migration_stats(_fates(v), _plan(v))
 
 
 KEYS = "select concat('manifest/', p_brand, '_', cast(p_partkey as string), case p_size % 4 when 0 then '_windows' when 1 then '_mac' when 2 then '_failed' else '' end, '.json') key from {part}"

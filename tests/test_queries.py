@@ -7,9 +7,10 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from assetweave.operators import assets
+from assetweave.operators import assets, control
 from assetweave.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -64,6 +65,21 @@ def test_digest_vectors(spark):
     assert got == {n: d for n, c, d in DIGESTS if c}
 
 
+def test_migration_leaves_out_manifests_that_cannot_be_read_resolved_or_digested(spark):
+    rows = [(1, 0, "v48", "s", False, False), (2, 0, "v48", None, False, False), (3, 0, "v48", "s", False, False), (4, 0, "v48", "s", True, False), (5, None, None, None, False, True), (6, 12, "v48", None, True, False), (7, 0, "v48", None, True, False)]
+    manifests = spark.createDataFrame(rows, "entity_id long, exit_code int, version string, server string, bad boolean, corrupt boolean")
+    fates = control.manifest_fates(manifests, "v48", spark.createDataFrame([(i,) for i in (1, 2, 4, 5, 6)], "entity_id long"), F.col("corrupt"), F.col("server").isNull(), F.col("bad"))
+    files = [(e, f"h{e}{i}", None if i == 3 else "k", i in (0, 1), "d" if i == 0 else None, False, i == 2) for e in range(1, 8) for i in range(6)]
+    files = spark.createDataFrame(files, "entity_id long, hash string, source_key string, is_gltf boolean, digest string, skipped boolean, lost boolean")
+    plan = control.migration(files, fates, spark.createDataFrame([("h14",), ("h24",)], "hash string"), failed=F.col("lost"))
+    assert {r["hash"]: r["action"] for r in plan.collect()} == {"h10": "copied", "h11": "error", "h12": "error", "h13": "missing-source", "h14": "canonical", "h15": "copied"}
+    got = control.migration_stats(fates, plan).first().asDict()
+    want = {"manifests_scanned": 7, "manifests_kept": 1, "manifests_skipped": 1, "manifests_missing_content_server": 2, "manifests_entity_fetch_failed": 1, "manifests_digest_failed": 1}
+    assert got == want | {"bundles_probed": 6, "bundles_already_canonical": 1, "bundles_copied": 2, "glb_renamed": 1, "bundles_missing_source": 1, "glb_skipped": 0, "errors": 3}
+    dry = control.migration(files, fates, spark.createDataFrame([("h14",)], "hash string"), dry_run=True)
+    assert {r["hash"]: r["action"] for r in dry.collect()}["h13"] == "would-copy"
+
+
 def test_entry_module_needs_no_session():
     code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__), timeout=120)
