@@ -56,14 +56,21 @@ MULAW_PCM, ALAW_PCM = mulaw_table(), alaw_table()
 
 
 def decode_adpcm(data: np.ndarray, block: int) -> np.ndarray:
-    """Mono IMA ADPCM: all whole blocks at once; within a block samples depend on each other, blocks do not."""
+    """Mono IMA ADPCM: all whole blocks at once; within a block samples depend on each other, blocks do not.
+
+    A short last block gives the samples of its header and of the bytes that are there; less than a header holds none.
+    """
     n = len(data) // block
-    if not n:
-        return np.zeros(0, "<i2")
-    b = data[: n * block].reshape(n, block)
+    whole, rest = data[: n * block].reshape(n, block), data[n * block :]
+    parts = [_adpcm_blocks(b) for b in (whole, rest.reshape(1, -1)) if len(b) and b.shape[1] >= 4]
+    return np.concatenate(parts) if parts else np.zeros(0, "<i2")
+
+
+def _adpcm_blocks(b: np.ndarray) -> np.ndarray:
+    n = len(b)
     value = b[:, :2].copy().view("<i2").ravel().astype("i4")
     index = np.clip(b[:, 2].astype("i4"), 0, 88)
-    codes = np.empty((n, 2 * (block - 4)), "u1")
+    codes = np.empty((n, 2 * (b.shape[1] - 4)), "u1")
     codes[:, 0::2], codes[:, 1::2] = b[:, 4:] & 15, b[:, 4:] >> 4
     out = np.empty((n, codes.shape[1] + 1), "<i2")
     out[:, 0] = value
@@ -77,9 +84,9 @@ def decode_adpcm(data: np.ndarray, block: int) -> np.ndarray:
     return out.ravel()
 
 
-def wav(data: bytes, tag: int, rate: int = 8000, bits: int = 8, block: int = 1) -> bytes:
-    """A mono RIFF file around encoded samples, padded to an even length as the format asks."""
-    samples = len(data) * 8 // bits
+def wav(data: bytes, tag: int, rate: int = 8000, bits: int = 8, block: int = 1, count: int | None = None) -> bytes:
+    """A mono RIFF file around ``count`` encoded samples (default: all that ``data`` has room for), padded to an even length as the format asks."""
+    samples = len(data) * 8 // bits if count is None else count
     fmt = struct.pack("<HHIIHHH", tag, 1, rate, rate * bits // 8, block, bits, 0)
     body = b"WAVE" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"fact" + struct.pack("<II", 4, samples) + b"data" + struct.pack("<I", len(data)) + data + b"\0" * (len(data) % 2)
     return b"RIFF" + struct.pack("<I", len(body)) + body
@@ -105,14 +112,16 @@ def samples(media: bytes | None) -> tuple[int, np.ndarray] | None:
         return None
     tag, channels, rate, _, block, bits = struct.unpack_from("<HHIIHH", c[b"fmt "])
     data = np.frombuffer(c[b"data"], "u1")
-    if channels != 1:
+    if channels != 1 or not rate:
         return None
     if tag == MULAW and bits == 8:
         return rate, MULAW_PCM[data]
     if tag == ALAW and bits == 8:
         return rate, ALAW_PCM[data]
     if tag == IMA_ADPCM and bits == 4 and block > 4:
-        return rate, decode_adpcm(data, block)
+        # The last block may be padded; how many samples were recorded is in the fact chunk, if its writer came to fill it in.
+        most = struct.unpack_from("<I", c[b"fact"])[0] if len(c.get(b"fact", b"")) >= 4 else 0
+        return rate, decode_adpcm(data, block)[: most or None]
     if tag == PCM and bits == 16:
         return rate, data[: len(data) // 2 * 2].view("<i2")
     return None

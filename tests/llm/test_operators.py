@@ -205,6 +205,54 @@ def test_telephony_codings():
     assert media_audio.samples(b"junk") is None
 
 
+def adpcm_one_by_one(data, block):
+    out = []
+    for lo in range(0, len(data), block):
+        b = data[lo : lo + block]
+        if len(b) < 4:
+            break
+        value, index = int.from_bytes(b[:2], "little", signed=True), min(b[2], 88)
+        out.append(value)
+        for c in (x for byte in b[4:] for x in (byte & 15, byte >> 4)):
+            step = int(media_audio.STEP[index])
+            diff = (step >> 3) + (step >> 2) * (c & 1) + (step >> 1) * (c >> 1 & 1) + step * (c >> 2 & 1)
+            value = max(-32768, min(32767, value - diff if c & 8 else value + diff))
+            index = max(0, min(88, index + (-1, -1, -1, -1, 2, 4, 6, 8)[c & 7]))
+            out.append(value)
+    return out
+
+
+def test_store_pcm_of_each_coding_with_short_and_padded_last_blocks(spark):
+    block, raw = 32, bytes((i * 37 + i // 7) % 89 for i in range(32 * 3))
+    law = bytes(range(256))
+    padded = (block - 4) * 2 * 2 + 2 + 9  # two whole blocks, and nine samples of the third
+    adpcm = lambda data, count: media_audio.wav(data, media_audio.IMA_ADPCM, 8000, 4, block, count)
+    cases = [
+        (media_audio.wav(law, media_audio.MULAW), media_audio.MULAW_PCM.tolist()),
+        (media_audio.wav(law[:255], media_audio.ALAW), media_audio.ALAW_PCM.tolist()[:255]),
+        (adpcm(raw, 57 * 3), adpcm_one_by_one(raw, block)),
+        (adpcm(raw[:77], 57 * 2 + 19), adpcm_one_by_one(raw[:77], block)),
+        (adpcm(raw[:20], 33), adpcm_one_by_one(raw[:20], block)),
+        (adpcm(raw, padded), adpcm_one_by_one(raw, block)[:padded]),
+        (adpcm(raw[:77], 0), adpcm_one_by_one(raw[:77], block)),
+        (media_audio.wav(law, media_audio.MULAW, rate=0), None),
+        (b"junk", None),
+        (None, None),
+    ]
+    assert [len(x) for _, x in cases[3:6]] == [133, 33, padded]
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(cases)], "doc_id long, media binary").repartition(3)
+    got = {r["doc_id"]: r["media"] for r in media_audio.store_pcm(df, "media", 8000).collect()}
+    high = {r["doc_id"]: r["media"] for r in media_audio.store_pcm(df, "media").collect()}
+    for i, (_, want) in enumerate(cases):
+        if want is None:
+            assert got[i] is None and high[i] is None
+        else:
+            rate, pcm = media_audio.samples(bytes(got[i]))
+            assert (rate, pcm.tolist()) == (8000, want)
+            rate, pcm = media_audio.samples(bytes(high[i]))
+            assert (rate, pcm[::2].tolist(), len(pcm)) == (16_000, want, 2 * len(want))
+
+
 def test_sentencepiece_agenda_agrees_with_library(rows):
     e = sentencepiece_codec.Encoder(tokenizer("piece_bpe_32k.model"))
     e.encode([t or "" for _, t in rows] + [t or "" for _, t in EDGES])
