@@ -51,9 +51,11 @@ def list_keys(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFra
 
 
 def whole_files(spark: SparkSession, folder: str, glob: str, most: int = 256 << 20) -> DataFrame:
-    """Contents of files up to a size; larger ones come as null with their length."""
+    """Contents of files up to a size; larger ones come as null with their length.  Spark's reader lists no empty files."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    return df.where(F.col("length") <= most).select("path", "length", "content")
+    # Both filters reach the source, which doesn't open what is larger.
+    larger = df.where(F.col("length") > most).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return df.where(F.col("length") <= most).select("path", "length", "content").unionByName(larger)
 
 
 def lod_urls(setting: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from assetweave.operators import assets, control
 from assetweave.plans import catalogue
+from assetweave.sources import records
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,6 +81,13 @@ def test_migration_leaves_out_manifests_that_cannot_be_read_resolved_or_digested
     assert {r["hash"]: r["action"] for r in dry.collect()}["h13"] == "would-copy"
 
 
+def test_whole_files_keeps_larger_files_without_content(spark, tmp_path):
+    for name, n in (("a.bin", 3), ("b.bin", 4), ("c.bin", 5), ("e.txt", 1)):
+        (tmp_path / name).write_bytes(b"x" * n)
+    got = {r["path"].split("/")[-1]: (r["length"], r["content"] and bytes(r["content"])) for r in records.whole_files(spark, f"file://{tmp_path}", "*.bin", 4).collect()}
+    assert got == {"a.bin": (3, b"xxx"), "b.bin": (4, b"xxxx"), "c.bin": (5, None)}
+
+
 def test_entry_module_needs_no_session():
     code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__), timeout=120)
