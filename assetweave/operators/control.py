@@ -54,6 +54,23 @@ def probe_outcome(
     )
 
 
+def outcome_of_facts(force: Column, iss: Column) -> Column:
+    """``probe_outcome`` over the columns kind, target, converted, fetched, digest_ok, probe_ok, probes, n_missing."""
+    return probe_outcome(
+        target=F.col("target"),
+        force=force,
+        iss=iss,
+        converted=F.col("converted"),
+        fetched=F.col("fetched"),
+        reuse=F.lit(True),
+        kind=F.col("kind"),
+        digest_ok=F.col("digest_ok"),
+        probe_ok=F.col("probe_ok"),
+        probes=F.col("probes"),
+        missing=F.col("n_missing"),
+    )
+
+
 def with_results(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(results(df.sparkSession)), "outcome", "left")
 

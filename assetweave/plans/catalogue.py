@@ -69,24 +69,28 @@ def _asset_digests(v: Views) -> DataFrame:
     return A.asset_digests(glbs, v.v_refs, ["entity_id", "glb"])
 
 
-def _outcomes(v: Views) -> DataFrame:
+def _facts(v: Views) -> DataFrame:
+    """For each entity, what a probe of it finds: one row by entity_id."""
     s = A.probe_summary(_probed(v)).select("entity_id", "probes", "n_missing")
-    e = v.v_entities.select("entity_id", "type").join(v.v_manifests, "entity_id", "left").join(s, "entity_id", "left")
+    e = v.v_entities.select("entity_id", F.col("type").alias("kind")).join(v.v_manifests, "entity_id", "left").join(s, "entity_id", "left")
     i, no = F.col("entity_id"), F.lit(False)
-    outcome = C.probe_outcome(
-        target=F.when(i % 97 == 0, F.lit("linux")).otherwise(F.lit(WINDOWS)),
-        force=i % 7 == 0,
-        iss=no,
-        converted=F.coalesce((F.coalesce("exit_code", F.lit(0)) == 0) & (F.col("version") == "v48"), no),
-        fetched=i % 89 != 0,
-        reuse=F.lit(True),
-        kind=F.col("type"),
-        digest_ok=i % 83 != 0,
-        probe_ok=i % 79 != 0,
-        probes=F.col("probes"),
-        missing=F.col("n_missing"),
+    return e.select(
+        "entity_id",
+        "kind",
+        F.when(i % 97 == 0, F.lit("linux")).otherwise(F.lit(WINDOWS)).alias("target"),
+        F.coalesce((F.coalesce("exit_code", F.lit(0)) == 0) & (F.col("version") == "v48"), no).alias("converted"),
+        (i % 89 != 0).alias("fetched"),
+        (i % 83 != 0).alias("digest_ok"),
+        (i % 79 != 0).alias("probe_ok"),
+        "probes",
+        "n_missing",
     )
-    return e.select("entity_id", F.col("type").alias("kind"), (i % 7 == 0).alias("forced"), outcome.alias("outcome"))
+
+
+def _outcomes(v: Views) -> DataFrame:
+    forced = F.col("entity_id") % 7 == 0
+    outcome = C.outcome_of_facts(forced, F.lit(False))
+    return _facts(v).select("entity_id", "kind", forced.alias("forced"), outcome.alias("outcome"))
 
 
 @query(f"select entity_id, file, hash, {EXT} ext from {{v_content}}")
@@ -514,7 +518,7 @@ def gltf_parse(v):
 def stream_triage(v):
     from assetweave.streaming.triage import run_once
 
-    return run_once(v)
+    return run_once(v, _facts(v))
 
 
 @query()

@@ -59,8 +59,9 @@ def run_once(v) -> DataFrame:
     # The jobs arrive in two parts, so that the second meets markers of the first.  State with a time to live always asks for
     # another batch, so a run over what is available has to be a single one.
     with rocksdb(spark):
-        for part in (F.col("job_id") % 2 == 0, F.col("job_id") % 2 != 0):
-            rows.where(F.coalesce(part, F.lit(False))).repartition(4).write.mode("append").parquet(f"{at}/jobs")
+        even = F.coalesce(F.col("job_id") % 2 == 0, F.lit(False))
+        for part in (even, ~even):
+            rows.where(part).repartition(4).write.mode("append").parquet(f"{at}/jobs")
             out = markers(jobs(spark, f"{at}/jobs")).writeStream.format("parquet").option("path", f"{at}/out")
             out.option("checkpointLocation", f"{at}/checkpoint").trigger(once=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out").groupBy("entity_id").agg(F.sum("hits").alias("hits"), F.sum("probes").alias("probes"))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from assetweave.operators import assets, control
 from assetweave.plans import catalogue
+from assetweave.plans.views import Views
 from assetweave.sources import records
+from assetweave.streaming import triage, ttl
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,6 +83,43 @@ def test_migration_leaves_out_manifests_that_cannot_be_read_resolved_or_digested
     assert {r["hash"]: r["action"] for r in dry.collect()}["h13"] == "would-copy"
 
 
+FACTS = "entity_id long, kind string, target string, converted boolean, fetched boolean, digest_ok boolean, probe_ok boolean, probes long, n_missing long"
+
+
+@pytest.mark.parametrize("queue", [True, False])
+def test_triage_routes_by_probe_and_hands_over(spark, tmp_path, queue):
+    ok = (True, True, True)
+    facts = [(1, "scene", "windows", False, *ok, 3, 0), (2, "scene", "windows", False, *ok, 3, 1), (3, "scene", "windows", True, *ok, 3, 1), (4, "scene", "linux", True, *ok, 3, 0), (5, "scene", "windows", False, True, False, True, 3, 0), (6, "emote", "windows", False, *ok, 3, 0)]
+    peer, lod = ["https://peer.example.org/content"], ["https://lods.example.com/a.fbx"]
+    want, rows = {}, []
+    cases = [(1, 0, 0, 0, peer, "fast_path"), (2, 0, 0, 0, peer, "conversion"), (3, 0, 0, 0, peer, "fast_path"), (3, 0, 1, 0, peer, "conversion"), (4, 0, 0, 0, peer, "failed"), (5, 0, 0, 0, peer, "failed"), (6, 0, 0, 0, peer, "conversion"), (7, 0, 0, 0, peer, "conversion")]
+    cases += [(1, 1, 0, 0, peer, "conversion"), (1, 0, 0, 1, peer, "conversion"), (1, 0, 1, 0, peer, "conversion"), (None, 0, 0, 0, peer, "dropped"), (1, 0, 0, 0, [], "dropped"), (1, 0, 0, 0, ["https://evil.test/"], "dropped"), (1, None, None, None, peer, "fast_path")]
+    for j, (e, lods, force, iss, servers, route) in enumerate(cases):
+        rows.append((j, None, e, *(None if x is None else bool(x) for x in (lods, force, iss)), "x", float(j), servers, lod if lods else None))
+        want[j] = route
+    df = spark.createDataFrame(rows, triage.JOB_SCHEMA)
+
+    def broken(rows, path):
+        raise triage.PublishError(path)
+
+    routed, converted = triage.run(spark, df, spark.createDataFrame(facts, FACTS), f"file://{tmp_path}/run", *([] if queue else [broken]))
+    assert {r["job_id"]: r["route"] for r in routed.collect()} == want
+    assert sorted(r["job_id"] for r in converted.collect()) == [j for j, x in want.items() if x == "conversion"]
+    assert [f.startswith("queue") for f in os.listdir(tmp_path / "run" / "converted")].count(queue) >= 1
+
+
+def test_streams_equal_their_batch_twins(spark):
+    v = Views(spark, SF)
+    batch = triage.triage(triage.addressed(v.v_jobs), catalogue._facts(v)).groupBy("lane", "route").agg(F.count("*").alias("n"), F.min("job_id").alias("first_job"))
+    assert sorted(map(tuple, triage.run_once(v, catalogue._facts(v)).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_ttl_keeps_jobs_without_id(spark):
+    v = Views(spark, SF)
+    v.made["v_jobs"] = spark.createDataFrame([(i if i % 3 else None, 5) for i in range(9)], "job_id long, entity_id long").selectExpr("job_id", "timestamp'2024-01-01' ts", "entity_id", "false lods", "false force", "false iss", "'x' event_type", "1D value")
+    assert [r["hits"] + r["probes"] for r in ttl.run_once(v).collect()] == [9]
+
+
 def test_whole_files_keeps_larger_files_without_content(spark, tmp_path):
     for name, n in (("a.bin", 3), ("b.bin", 4), ("c.bin", 5), ("e.txt", 1)):
         (tmp_path / name).write_bytes(b"x" * n)
