@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -14,10 +15,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, a laptop) gets a folder of its own.
+    Only a local session without that setting (tests, a laptop) gets a folder of its own; on a cluster it has to be set.
     """
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="assetweave-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -35,12 +38,62 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Bucketed:
+    """``df`` written to the shared folder in buckets of ``column``: joins and groups by it don't move its rows again."""
+
+    def __init__(self, df: DataFrame, name: str, column: str):
+        self.spark, self.name, self.path = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}", new_path(df.sparkSession, name)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("path", self.path).option("compression", "zstd").bucketBy(buckets, column).sortBy(column).saveAsTable(self.name)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        discard(self.spark, self.path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a working table that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete working tables that ``materialise`` wrote and nothing reads any more, and let Spark free the shuffles of finished jobs.
+
+    Spark's context cleaner deletes a shuffle's files when the driver has collected the plan that made them; so this asks for that.
+    """
+    for t in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            discard(t.sparkSession, folder)
+    gc.collect()
+    if spark := SparkSession.getActiveSession():
+        spark._jvm.java.lang.System.gc()
+
+
+#: A written table of ids or hashes is broadcast if it has no more rows than this; beyond, both sides are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def small(table: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` (written before) with a broadcast hint if its counted rows are within the bound."""
+    return F.broadcast(table) if table.count() <= bound else table
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)

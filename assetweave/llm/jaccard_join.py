@@ -6,16 +6,23 @@ into fragments.  Candidate pairs share a rare n-gram of their prefixes and pass
 symmetric-difference bound (both lose nothing); their overlaps are counted fragment by fragment, each on its own, and
 summed for the pair; the exact sum decides.
 
-Only the components are asked for, so no group is expanded into all its pairs: equal sets are one class; then
-each n-gram's texts are compared with one hub text; only texts that are still in different components are compared
-among themselves.
+Only the components are asked for, so no group is expanded into all its pairs: equal sets are one class; then, round
+after round, each n-gram's texts are compared with one hub text, until a round joins next to nothing; only texts that are still in
+different components and pass all bounds are compared among themselves.  The hub is the text with the fewest n-grams of its own,
+which in a group of copies is the one nearest to what they were copied from.
 
-Defined results: null or empty texts have an empty set and link with nothing; a null ``doc_id`` takes no part and has no
-component; rows that repeat a ``doc_id`` are one vertex, with the links of all its texts.
+A set's identity is a 128-bit sum over its n-grams; an n-gram is a 64-bit hash.
+
+Defined results: null or empty texts have an empty set and link with nothing; very long texts are whole sets like others; equal
+texts and repeated rows are one class; ties in the global order go to the smaller hash; a null ``doc_id`` takes no part and has
+no component; rows that repeat a ``doc_id`` are one vertex, with the links of all its texts; an empty table gives an empty
+table; columns other than ``doc_id`` and ``text`` are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,14 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import keycount as K
-from .common import materialise
+from .common import drop_tables, materialise, small
 
 SKETCH_WORDS = 16
 #: Lower ends of the fragments of the global order, as (document frequency, half of the hash range).
 FRAGMENTS = ((2, 0), (2, 1), (3, 0), (4, 0), (6, 0), (9, 0), (17, 0), (65, 0))
 LIST_BLOCK = 2048
-#: Rounds of one hub for each list, before what is left is compared pair by pair.
-HUB_ROUNDS = 2
+#: Rounds of one hub for each list at most, before what is left is compared pair by pair.  A round that joins less than one in
+#: ``WORTH`` of the classes in its lists is the last.  Neither can change a result.
+HUB_ROUNDS, WORTH = 6, 200
 
 
 def shingle_sets(lens: np.ndarray, vocab: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +96,8 @@ def _frequency_keys(n: int, bits: int):
     return keys
 
 
-PROFILE = "doc_id long, set_id long, n long, sketch array<long>, prefix array<long>, segments array<array<long>>"
+PROFILE = "doc_id long, set_id binary, n long, alone long, sketch array<long>, prefix array<long>, segments array<array<long>>"
+SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _offsets(counts: np.ndarray) -> pa.Array:
@@ -114,18 +123,28 @@ def _sketches(h: np.ndarray, text: np.ndarray, n: int, at_once: int = 2048) -> n
     return np.concatenate(out) if out else np.zeros(0, "<i8")
 
 
+def _set_ids(h: np.ndarray, first: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """16 bytes for each text's set: two sums of differently mixed hashes."""
+    halves = []
+    for x in (K.mix(h), K.mix(h ^ SECOND)):
+        sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(x, dtype="u8")])
+        halves.append(sums[ends] - sums[first])
+    raw = np.column_stack(halves).astype(">u8").tobytes()
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(ends), [None, pa.py_buffer(raw)]).cast(pa.binary())
+
+
 def _profiles(n: int, percent: int, bits: int):
-    """For each text: the size of its set, its parity sketch, its prefix and its segments of shared n-grams."""
+    """For each text: the size of its set, how many of its n-grams no other text has, its parity sketch, its prefix and its segments of shared n-grams."""
     shift = np.uint64(64 - bits)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        out, told = [], K.Answers(right)
         for row in left.to_pylist():
             doc_ids, lens, vocab, ids = K.block_arrays(row)
             h, d = shingle_sets(lens, vocab, ids, n)
             distinct = _distinct_texts(lens, ids)
             keys = np.unique(h[distinct[d]] >> shift)
-            (df,) = K.answered(right, "df", 1)
+            (df,) = told.counts("df", 1)
             f = df[np.searchsorted(keys, h >> shift)].astype("i8")
             size = np.bincount(d, minlength=len(lens))
             order = np.argsort(h)
@@ -138,7 +157,6 @@ def _profiles(n: int, percent: int, bits: int):
             need = -(-percent * size // 100)
             in_prefix = (f > 1) & (place < (size - need + 1)[d])
             frag = np.searchsorted([a * 2 + b for a, b in FRAGMENTS], f * 2 + np.where(f == 2, (h >> np.uint64(63)).astype("i8"), 0), side="right") - 1
-            sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(K.mix(h), dtype="u8")])
             known = np.array([i is not None for i in doc_ids], bool)
             ok = known & (np.bincount(d[in_prefix], minlength=len(lens)) > 0)
             signed, mine, rank, n_ok = h.view("i8"), ok[d], np.cumsum(ok) - 1, int(ok.sum())
@@ -150,8 +168,9 @@ def _profiles(n: int, percent: int, bits: int):
                 pa.table(
                     {
                         "doc_id": pa.array(doc_ids, pa.int64()),
-                        "set_id": pa.array((sums[ends] - sums[first]).view("i8")),
+                        "set_id": _set_ids(h, first, ends),
                         "n": pa.array(size.astype("i8")),
+                        "alone": pa.array(np.bincount(d[f <= 1], minlength=len(lens)).astype("i8")),
                         "sketch": _lists(ok, np.full(n_ok, SKETCH_WORDS), pa.array(_sketches(h[mine], rank[d[mine]], n_ok))),
                         "prefix": _lists(ok, np.bincount(rank[d[mine & in_prefix]], minlength=n_ok), pa.array(signed[mine & in_prefix])),
                         "segments": _lists(ok, np.full(n_ok, len(FRAGMENTS)), parts),
@@ -164,11 +183,12 @@ def _profiles(n: int, percent: int, bits: int):
 
 
 def may_link(percent: int, a: str = "a", b: str = "b") -> Column:
-    """Length filter, and the bound that a parity sketch puts on the symmetric difference; both keep every link of sides a and b."""
+    """Bounds that keep every link of sides a and b: on the lengths, on what each side could share at all, and on the symmetric difference of their parity sketches."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    most = F.least(na - F.col(f"{a}.alone"), nb - F.col(f"{b}.alone"))
     word = lambda i: F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
     differ = sum((word(i) for i in range(1, SKETCH_WORDS)), word(0))
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
+    return (most * (100 + percent) >= (na + nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
 
 
 def verify(pairs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -213,50 +233,58 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     told = K.answers(asked)
     profiles = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_profiles(n, percent, bits), PROFILE)
     profiles = materialise(profiles, "profiles")
+    drop_tables(blocks)
     members = profiles.select("doc_id", "set_id", "n").where("n > 0 and doc_id is not null")
     classes = materialise(members.groupBy("set_id").agg(F.min("doc_id").alias("class_id")), "classes")
     own = classes.select("set_id", F.col("class_id").alias("doc_id"))
-    lead = profiles.where(F.col("prefix").isNotNull()).join(own, ["doc_id", "set_id"], "left_semi").select(F.col("set_id").alias("node"), "n", "sketch", "prefix").dropDuplicates(["node"])
+    lead = profiles.where(F.col("prefix").isNotNull()).join(own, ["doc_id", "set_id"], "left_semi").select(F.col("set_id").alias("node"), "n", "alone", "sketch", "prefix").dropDuplicates(["node"])
     lead = materialise(lead, "leads")
-    sketches = lead.select("node", "n", "sketch")
-    posts = lead.select("node", "n", F.explode("prefix").alias("shingle"))
-
-    # Every n-gram's classes against one hub: first the smallest, then, in lists that still have several components, the one with
-    # the most links so far, which is the likeliest to link with the rest.
-    hubs = posts.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    links = None
-    for k in range(HUB_ROUNDS):
-        lengths = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
-        star = (posts if k == 0 else member).join(hubs, "shingle").where((F.col("node") != F.col("hub.node")) & lengths)
-        if k:
-            star = star.where(F.col("component") != F.col("hub.component"))
-        star = star.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-        side = lambda name: F.struct("n", "sketch").alias(name)
-        star = star.join(sketches.select(F.col("node").alias("a"), side("sa")), "a").join(sketches.select(F.col("node").alias("b"), side("sb")), "b")
-        tried = materialise(star.where(may_link(percent, "sa", "sb")).select("a", "b").distinct(), "star-pairs")
-        found = verify(tried, profiles, classes, percent)
-        links = materialise(found if links is None else links.union(found), "star-links")
+    bounds = lead.select("node", F.struct("n", "alone", "sketch").alias("side"))
+    posts = lead.select("node", "alone", F.explode("prefix").alias("shingle"))
+    side = lambda name: bounds.select(F.col("node").alias(name), F.col("side").alias(f"s{name}"))
+
+    lists = posts.groupBy("shingle").agg(F.count("*").alias("size")).where("size > 1")
+    member = materialise(posts.join(lists, "shingle").select("shingle", "size", "node", "alone", F.col("node").alias("component"), F.lit(False).alias("used")), "members")
+    links = label = None
+    for _ in range(HUB_ROUNDS):
+        # A hub for each list that has several components: the least of those that were none before.
+        hubs = member.where(~F.col("used")).groupBy("shingle").agg(F.min(F.struct("alone", "node", "component")).alias("hub"))
+        star = member.join(hubs, "shingle").where(F.col("component") != F.col("hub.component")).select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+        star = star.join(side("a"), "a").join(side("b"), "b").where(may_link(percent, "sa", "sb"))
+        tried = materialise(star.select("a", "b"), "star-pairs")
+        if tried.isEmpty():
+            break
+        found = materialise(verify(tried, profiles, classes, percent), "star-links")
+        links = found if links is None else links.union(found)
         label = components(links, "star-components")
         # What shares a prefix n-gram and is not in one component yet.
-        degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-        member = posts.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        lists = member.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle", "size")
-        member = materialise(member.join(lists, "shingle").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))), "members")
-        hubs = member.groupBy("shingle").agg(F.max(F.struct("degree", "node", "n", "component")).alias("hub"))
-    open_lists = member.select("shingle", "size").distinct()
-    member = member.select("node", "shingle", "component")
+        marked = member.join(hubs.select("shingle", F.col("hub.node").alias("hub")), "shingle", "left").join(label.withColumnRenamed("component", "now"), "node", "left")
+        marked = marked.select("shingle", "size", "node", "alone", F.coalesce("now", "node").alias("component"), F.coalesce(F.col("used") | (F.col("node") == F.col("hub")), F.col("used")).alias("used"))
+        still = marked.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+        there, joined = member.select("node").distinct().count(), found.count()
+        before, member = member, materialise(marked.join(still, "shingle"), "members")
+        drop_tables(before, tried)
+        if joined * WORTH < there:
+            break
     parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    member = materialise(member.join(open_lists.select("shingle", parts.alias("parts")), "shingle").join(sketches, "node"), "open-posts")
-    left = member.withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
-    right = member.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    open_posts = materialise(member.select("node", "shingle", "component", parts.alias("parts")).join(bounds, "node"), "open-posts")
+    drop_tables(member)
+    left = open_posts.withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
+    right = open_posts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     same_list = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.node") < F.col("b.node"))
-    cross = left.alias("a").join(right.alias("b"), same_list & (F.col("a.component") != F.col("b.component")) & may_link(percent))
+    cross = left.alias("a").join(right.alias("b"), same_list & (F.col("a.component") != F.col("b.component")) & may_link(percent, "a.side", "b.side"))
     more = materialise(cross.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "cross-pairs")
+    drop_tables(open_posts)
     # Texts that share a doc_id are one vertex.
     several = members.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("hi")).where("a < hi").select("doc_id", "a")
     same_id = members.join(several, "doc_id").select("a", F.col("set_id").alias("b")).where("a != b")
-    links = materialise(links.union(verify(more, profiles, classes, percent)).union(same_id), "links")
-    label = components(links)
+    more = [t for t in (more, same_id) if not t.isEmpty()]
+    if more:
+        rest = [verify(t, profiles, classes, percent) if t is not same_id else t for t in more]
+        links = materialise(reduce(DataFrame.union, rest if links is None else [links, *rest]), "links")
+        label = components(links)
+    if label is None:
+        label = classes.select(F.col("set_id").alias("node"), F.col("set_id").alias("component"))
 
     placed = classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     named = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
@@ -269,6 +297,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: the one whose id names it.  Rows without an id all stay."""
-    own = jaccard_components(docs, n, percent).where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id"))).select("doc_id")
-    return docs.join(own, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """``docs`` with the rows of one ``doc_id`` of each component: the id that names it (all its rows, if it repeats).  Rows without an id all stay."""
+    gone = jaccard_components(docs.select("doc_id", "text"), n, percent).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    # An anti-join: rows without an id match nothing and stay.
+    return docs.join(small(materialise(gone, "near-copies")), "doc_id", "left_anti").select(*docs.columns)

@@ -14,12 +14,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_TOKENS = 2_000_000
 SHARD_KEYS = 1_500_000
-BLOCKS = "block long, n long, doc_ids array<long>, lens array<int>, vocab binary, ids binary"
+#: Texts of a block at most, however few words they have.
+BLOCK_TEXTS = 200_000
+BLOCKS = "block long, part int, n long, doc_ids array<long>, lens array<int>, vocab binary, ids binary"
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -51,36 +53,46 @@ def mix(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _blocks(max_tokens: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, chunk = TaskContext.get().partitionId() << 24, 0
-        ids, lens, words = [], [], []
+class _Open:
+    """A block that is being filled."""
+
+    def __init__(self):
+        self.ids, self.lens, self.words = [], [], []
+
+    def add(self, doc_id: int | None, words: list[bytes]) -> None:
+        self.ids.append(doc_id)
+        self.lens.append(len(words))
+        self.words += words
+
+    def row(self, block: int, part: int) -> pa.RecordBatch:
+        h = np.fromiter(map(xxhash.xxh64_intdigest, self.words), "u8", len(self.words))
+        vocab, local = np.unique(h, return_inverse=True)
+        row = [[block], [part], [len(self.words)], [self.ids], [self.lens], [pack_sorted(vocab)], [pack(local)]]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds)], ["block", "part", "n", "doc_ids", "lens", "vocab", "ids"])
 
-        def flush() -> pa.RecordBatch:
-            h = np.fromiter(map(xxhash.xxh64_intdigest, words), "u8", len(words))
-            vocab, local = np.unique(h, return_inverse=True)
-            row = [[base + chunk], [len(words)], [ids], [lens], [pack_sorted(vocab)], [pack(local)]]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()))], ["block", "n", "doc_ids", "lens", "vocab", "ids"])
 
+def _blocks(max_tokens: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = TaskContext.get().partitionId() << 24, {}
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                w = t.lower().split() if t else []
-                ids.append(i)
-                lens.append(len(w))
-                words += w
-                if len(words) >= max_tokens:
-                    yield flush()
-                    chunk += 1
-                    ids, lens, words = [], [], []
-        if ids:
-            yield flush()
+            for i, t, part in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
+                one = parts.setdefault(part, _Open())
+                one.add(i, t.lower().split() if t else [])
+                if len(one.words) >= max_tokens or len(one.ids) >= BLOCK_TEXTS:
+                    yield parts.pop(part).row(2 * block + part, part)
+                    block += 1
+        for part, one in parts.items():
+            yield one.row(2 * block + part, part)
+            block += 1
 
     return run
 
 
-def token_blocks(docs: DataFrame, max_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of whole texts: A-Z lower-cased, words between white space (0x20, 0x09-0x0D), as hashes."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_blocks(max_tokens), BLOCKS)
+def token_blocks(docs: DataFrame, max_tokens: int = BLOCK_TOKENS, part: Column | None = None) -> DataFrame:
+    """Blocks of whole texts: A-Z lower-cased, words between white space (0x20, 0x09-0x0D), as hashes.  A block has texts of one ``part`` (0 or 1) only, which is also the last bit of its number."""
+    part = (F.lit(0) if part is None else part).cast("int").alias("part")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), part).mapInArrow(_blocks(max_tokens), BLOCKS)
 
 
 def block_arrays(row: dict) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,10 +147,19 @@ def answers(requests: DataFrame) -> DataFrame:
     return requests.groupBy("shard", "kind").applyInArrow(_answer, "block long, kind string, shard int, counts array<binary>, distinct long")
 
 
-def answered(t: pa.Table, kind: str, arrays: int) -> list[np.ndarray]:
-    """A block's answers of one kind, its shards put together again."""
-    rows = sorted((r for r in t.to_pylist() if r["kind"] == kind), key=lambda r: r["shard"])
-    return [np.concatenate([unpack(r["counts"][i]) for r in rows]) if rows else np.zeros(0, "u8") for i in range(arrays)]
+class Answers:
+    """A block's answers, its shards put together again."""
+
+    def __init__(self, t: pa.Table):
+        order = np.argsort(t["shard"].to_numpy(), kind="stable").tolist()
+        kinds, counts = t["kind"].to_pylist(), t["counts"].combine_chunks()
+        self.of: dict[str, list] = {}
+        for i in order:
+            self.of.setdefault(kinds[i], []).append(counts[i].as_py())
+
+    def counts(self, kind: str, arrays: int) -> list[np.ndarray]:
+        rows = self.of.get(kind, [])
+        return [np.concatenate([unpack(r[i]) for r in rows]) if rows else np.zeros(0, "u8") for i in range(arrays)]
 
 
 def shards_for(n_keys: int) -> int:

@@ -8,8 +8,10 @@ into one run of the next.
 Rule: a line's key is the line stripped of white space with A-Z lower-cased.  A key of at least ``min_chars``
 code points that occurs in two documents keeps its lines in the first document only: first by batch, then by doc_id.
 
-Defined results: null text is one empty line; a null ``doc_id`` comes after all others, so it never owns a shared line;
-rows that repeat a ``doc_id`` are one document (their shared lines stay in each of them).
+Defined results: null and empty texts are one empty line; very long texts and lines are taken whole; a null ``doc_id`` comes
+after all others, so it never owns a shared line that another document has; rows that repeat a ``doc_id`` are one document (their shared
+lines stay in each of them); a line that repeats inside its owner stays there every time; an empty table gives an empty table; other
+columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, discard, materialise, new_path
+from .common import ascii_lower, discard, fresh, materialise, new_path
 
 SPACE = " \t\n\x0b\f\r"
 LAST = (1 << 63) - 1
@@ -115,26 +117,30 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 3, fanout:
     """``docs`` with columns line_total, line_dropped and line_kept (the text without its dropped lines)."""
     index = LineRuns(docs.sparkSession, fanout, min_chars)
     drops = None
-    for part in in_batches(docs, batches):
-        d = index.add(part)
-        drops = d if drops is None else drops.unionByName(d)
-    index.close()
+    try:
+        for part in in_batches(docs, batches):
+            d = index.add(part)
+            drops = d if drops is None else drops.unionByName(d)
+    finally:
+        index.close()
+    doc, th, dropped, lines = (fresh(docs, "_doc", "_th", "_dropped", "_lines"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_th", F.xxhash64(text))
-    drops = drops.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("dropped").alias("_dropped"))
-    both = keyed.join(drops, ["_doc", "_th"], "left").withColumn("_lines", F.split(text, "\n", -1))
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
-    kept = F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(F.transform(F.array_sort(places), lambda i: F.get(F.col("_lines"), i)), "\n"))
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(th, F.xxhash64(text))
+    drops = drops.select(F.col("doc").alias(doc), F.col("th").alias(th), F.col("dropped").alias(dropped))
+    both = keyed.join(drops, [doc, th], "left").withColumn(lines, F.split(text, "\n", -1))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
+    kept = F.when(F.col(dropped).isNull(), text).otherwise(F.array_join(F.transform(F.array_sort(places), lambda i: F.get(F.col(lines), i)), "\n"))
     return both.select(
         *[F.col(c) for c in docs.columns],
-        F.size("_lines").cast("long").alias("line_total"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("line_dropped"),
+        F.size(lines).cast("long").alias("line_total"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("line_dropped"),
         kept.alias("line_kept"),
     )
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """``docs`` with its own columns, ``text`` without repeated lines and ``n_chars`` counted again."""
-    out = dedup_lines(docs, min_chars)
-    new = {"text": F.col("line_kept"), "n_chars": F.char_length("line_kept").cast("long")}
-    return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    (total, gone, kept), own = fresh(docs, "line_total", "line_dropped", "line_kept"), docs.columns
+    out = dedup_lines(docs, min_chars).toDF(*own, total, gone, kept)
+    new = {"text": F.col(kept), "n_chars": F.char_length(kept).cast("long")}
+    return out.select(*[new.get(c, F.col(c)).alias(c) for c in own])

@@ -4,17 +4,24 @@ The probability of a token w after its context mixes maximum-likelihood estimate
 
     p(w | h) = l_n(b) f(w | h_n) + ... + l_1(b) f(w) + l_0(b) / (V + 1),
 
-with weights l(b) that depend on the bucket b of how often the longest context was seen (powers of two).  They
-are learned by expectation-maximisation on a deleted part of the training texts: there the counts of everything but that part
-give the estimates.  The final model uses the counts of all training texts.
+with weights l(b) that depend on the bucket b of the longest context that was seen: its order, and how often (powers of two).
+Orders whose context was never seen have no weight there, so that the mixture always sums to one over the vocabulary and one unknown
+token.  The weights are learned by expectation-maximisation on a deleted part of the training texts: there the counts of
+everything but that part give the estimates.  The final model uses the counts of all training texts.
 
 All counts are corpus-wide: blocks of texts ask for the counts of their own distinct n-grams (see ``keycount``), so what is gathered
-grows with the corpus and a frequent n-gram is one entry for a block.  Nothing but the weights and four totals reaches the driver.
+grows with the corpus and a frequent n-gram is one entry for a block.  A context's count is that of the n-gram one shorter before the
+token, as every word is followed by one token.  Blocks lie in buckets and the answers come to them.  Nothing but the weights and a few
+totals reaches the driver.
+
+Words are 64-bit hashes; longer n-grams are cut to 17 bits more than their number needs (at most 64), so that about one in a hundred
+thousand meets another.
 
 Tokens: A-Z lower-cased; words between white space (0x20, 0x09-0x0D); one end token for each text.
 
-Defined results: null and empty texts are the end token alone; a null ``doc_id`` counts as the id '' (training side or not by the same
-rule); with no training texts the scores are those of the uniform share.
+Defined results: null and empty texts are the end token alone; very long texts are scored whole; repeated rows count and are
+scored each; a null ``doc_id`` counts as the id '' (training side or not by the same rule); with no training texts the scores are those
+of the uniform share; an empty table gives an empty table; only ``doc_id`` and ``text`` are looked at, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,202 +37,226 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import keycount as K
-from .common import discard, materialise
+from .common import Bucketed, crc_mod, drop_tables, materialise
 
 END, BEGIN = np.uint64(0x1D0C5E11F00DFEED), np.uint64(0x5EA7B0A4C0FFEE11)
-BUCKETS = 32
+#: Powers of two for each order.
+BUCKETS = 48
 #: Texts whose remainder is this are the deleted part.
 DELETED = 1
-GRAM_BITS = 56
 #: Tokens of a block; bounds a task's arrays.
 BLOCK_TOKENS = 500_000
+ORDER = 3
 
 
 def remainder(doc_id: int | None) -> int:
     return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 10
 
 
+@dataclass
+class Totals:
+    """What the whole corpus says besides its n-grams' counts: tokens and texts of the training side, and of its deleted part."""
+
+    tokens: int
+    texts: int
+    deleted_tokens: int
+    deleted_texts: int
+    types: int
+
+
 class Block:
     """The token stream of a block: texts with their end tokens, and its n-grams as keys."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, orders: list[int], bits: int):
         self.doc_ids, lens, vocab, ids = K.block_arrays(row)
-        n = lens + 1
-        self.ends = np.cumsum(n)
-        self.doc = np.repeat(np.arange(len(lens)), n)
-        token = np.empty(int(n.sum()), "u8")
+        self.lens = lens + 1
+        ends = np.cumsum(self.lens)
+        self.doc = np.repeat(np.arange(len(lens)), self.lens)
+        token = np.empty(int(self.lens.sum()), "u8")
         is_end = np.zeros(len(token), bool)
-        is_end[self.ends - 1] = True
+        is_end[ends - 1] = True
         token[is_end] = END
         token[~is_end] = vocab[ids] if len(ids) else np.zeros(0, "u8")
-        part = np.array([remainder(d) for d in self.doc_ids])
-        self.trains = (part != 0)[self.doc] if len(lens) else np.zeros(0, bool)
-        self.deleted = (part == DELETED)[self.doc] if len(lens) else np.zeros(0, bool)
-        first = np.ones(len(token), bool)
-        first[1:] = is_end[:-1]
-        self.tokens, self.first = token, first
-        # context[k]: key of the k tokens before each token; gram[k]: that context and the token.
+        self.part = np.array([remainder(d) for d in self.doc_ids])
+        self.first = np.concatenate([[True], is_end[:-1]]) if len(token) else is_end
         self.grams = {1: token}
-        context = np.zeros(len(token), "u8")
-        before = token
-        start = first.copy()
-        for k in range(2, order + 1):
-            before = np.concatenate([[BEGIN], before[:-1]]) if len(before) else before
-            before = np.where(start, BEGIN, before)
+        context, before, start, cut = np.zeros(len(token), "u8"), token, self.first, np.uint64(64 - bits)
+        for k in range(2, max(orders) + 1):
+            before = np.where(start, BEGIN, np.concatenate([[BEGIN], before[:-1]]))
             context = K.mix(context * np.uint64(3) + before)
-            start = start | np.concatenate([[True], start[:-1]]) if len(start) else start
-            self.grams[k] = K.mix(context ^ (token * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(64 - GRAM_BITS) << np.uint64(64 - GRAM_BITS)
-            # A context is counted as an n-gram of its own kind, so that its count is that of all tokens behind it.
-            self.grams[-k] = context >> np.uint64(64 - GRAM_BITS) << np.uint64(64 - GRAM_BITS)
-
-    def kinds(self) -> list[int]:
-        return sorted(self.grams)
+            start = start | np.concatenate([[True], start[:-1]])
+            self.grams[k] = K.mix(context ^ (token * np.uint64(0x9E3779B97F4A7C15))) >> cut << cut
+        self.grams = {k: self.grams[k] for k in orders}
 
     def keys(self) -> dict[str, tuple[np.ndarray, list[np.ndarray]]]:
-        out = {}
-        for k in self.kinds():
-            keys, at = np.unique(self.grams[k], return_inverse=True)
-            out[str(k)] = (keys, [np.bincount(at, self.trains, len(keys)).astype("u8"), np.bincount(at, self.deleted, len(keys)).astype("u8")])
+        out, trains, deleted = {}, (self.part != 0)[self.doc], (self.part == DELETED)[self.doc]
+        for k, grams in self.grams.items():
+            keys, at = np.unique(grams, return_inverse=True)
+            out[str(k)] = (keys, [np.bincount(at, w, len(keys)).astype("u8") for w in (trains, deleted)])
         return out
 
-    def counts(self, told: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """For every token: the count of each of its n-grams and contexts in all training texts, and in the deleted part."""
+    def counts(self, told: K.Answers, without_deleted: bool) -> dict[int, np.ndarray]:
+        """For every token: the count of each of its n-grams in the training texts, or in those without the deleted part."""
         out = {}
-        for k in self.kinds():
-            keys = np.unique(self.grams[k])
-            at = np.searchsorted(keys, self.grams[k])
-            out[k] = tuple(c[at].astype("i8") for c in K.answered(told, str(k), 2))
+        for k, grams in self.grams.items():
+            _, at = np.unique(grams, return_inverse=True)
+            every, deleted = told.counts(str(k), 2)
+            out[k] = (every - deleted if without_deleted else every)[at].astype("i8")
         return out
 
 
-def bucket(context_count: np.ndarray) -> np.ndarray:
-    """0 for a context that was never seen, else 1 and the power of two."""
-    return np.minimum(np.where(context_count > 0, 1 + np.log2(np.maximum(context_count, 1)).astype("i8"), 0), BUCKETS - 1)
-
-
-def estimates(c: dict[int, np.ndarray], total: int, types: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket of each token's longest context, and a column of estimates for each order from 0 up."""
-    cols = [np.full(len(c[1]), 1 / (types + 1)), c[1] / max(total, 1)]
-    for k in range(2, order + 1):
-        cols.append(c[k] / np.maximum(c[-k], 1))
-    longest = c[-order] if order > 1 else np.full(len(c[1]), total)
-    return bucket(longest), np.column_stack(cols)
+def estimates(c: dict[int, np.ndarray], first: np.ndarray, tokens: int, texts: int, types: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's bucket, and a column of estimates for each order from 0 up; orders without a seen context have none."""
+    n = len(first)
+    cols, order, seen = [np.full(n, 1 / (types + 1)), c[1] / max(tokens, 1)], np.full(n, int(tokens > 0)), np.zeros(n, "i8")
+    for k in range(2, len(c) + 1):
+        context = np.where(first, texts, np.concatenate([[0], c[k - 1][:-1]]))
+        cols.append(c[k] / np.maximum(context, 1))
+        order, seen = np.where(context > 0, k, order), np.where(context > 0, context, seen)
+    power = np.where(seen > 0, np.minimum(np.log2(np.maximum(seen, 1)).astype("i8"), BUCKETS - 1), 0)
+    return order * BUCKETS + power, np.column_stack(cols)
 
 
-def _keys(order: int):
-    return lambda row: Block(row, order).keys()
+def start_weights(order: int) -> np.ndarray:
+    """Equal shares of the orders that a bucket has."""
+    w = np.array([[float(k <= j) for k in range(order + 1)] for j in range(order + 1) for _ in range(BUCKETS)])
+    return w / w.sum(axis=1, keepdims=True)
 
 
-COUNTED = "block long, doc_ids array<long>, ends binary, counts array<binary>, held array<binary>"
+def next_weights(used: np.ndarray, order: int) -> np.ndarray:
+    """The M-step: shares of expected use.  One token's worth of the mean over the buckets of an order keeps those without deleted tokens usable."""
+    prior = start_weights(order)
+    for j in range(order + 1):
+        rows = slice(j * BUCKETS, (j + 1) * BUCKETS)
+        mean = used[rows].sum(axis=0) + 1e-6 * prior[rows][0]
+        prior[rows] = mean / mean.sum()
+    new = used + prior
+    return new / new.sum(axis=1, keepdims=True)
 
 
-def _counted(order: int):
-    """Each block with its tokens' counts in all training texts, for each kind; and, for the tokens of the deleted part, those without that part (``held``)."""
+def _held(order: int, bits: int, t: Totals):
+    """For the blocks of the deleted part: their tokens' buckets and estimates from the counts of everything else."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
+        out, told = [], K.Answers(right)
         for row in left.to_pylist():
-            b = Block(row, order)
-            c = b.counts(right)
-            need = b.deleted
-            packed = [K.pack(c[k][0]) for k in b.kinds()]
-            held = [K.pack(c[k][0][need] - c[k][1][need]) for k in b.kinds()]
-            rows.append({"block": row["block"], "doc_ids": b.doc_ids, "ends": K.pack(b.ends), "counts": packed, "held": held})
-        return pa.Table.from_pylist(rows, pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("counts", pa.list_(pa.binary())), ("held", pa.list_(pa.binary()))]))
+            b = Block(row, list(range(1, order + 1)), bits)
+            which, f = estimates(b.counts(told, True), b.first, t.tokens - t.deleted_tokens, t.texts - t.deleted_texts, t.types)
+            out.append(pa.table({"which": pa.array(which, pa.int32()), **{f"f{k}": pa.array(f[:, k]) for k in range(order + 1)}}))
+        return pa.concat_tables(out) if out else pa.table({"which": pa.array([], pa.int32()), **{f"f{k}": pa.array([], pa.float64()) for k in range(order + 1)}})
 
     return run
 
 
-def _expected(order: int, total: int, types: int, weights: np.ndarray):
-    """One E-step: for each bucket the expected use of each order over the deleted part, with that part's counts taken out."""
-    kinds = sorted([1] + [s * k for k in range(2, order + 1) for s in (1, -1)])
+def _expected(order: int, weights: np.ndarray):
+    """One E-step over a task's share of the deleted part: for each bucket the expected use of each order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((BUCKETS, order + 1))
+        sums = np.zeros_like(weights)
         for b in batches:
-            for held in b.column(0).to_pylist():
-                c = {k: K.unpack(a).astype("i8") for k, a in zip(kinds, held)}
-                which, f = estimates(c, total, types, order)
-                mixed = f * weights[which]
-                mixed /= mixed.sum(axis=1, keepdims=True)
-                for k in range(order + 1):
-                    sums[:, k] += np.bincount(which, mixed[:, k], BUCKETS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS), pa.int32()), pa.array(sums.tolist(), pa.list_(pa.float64()))], ["bucket", "used"])
+            which, n = b.column(0).to_numpy(), b.column(order + 2).to_numpy()
+            mixed = np.column_stack([b.column(k + 1).to_numpy() for k in range(order + 1)]) * weights[which]
+            mixed *= (n / mixed.sum(axis=1))[:, None]
+            for k in range(order + 1):
+                sums[:, k] += np.bincount(which, mixed[:, k], len(sums))
+        full = np.flatnonzero(sums.sum(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(sums[full].tolist(), pa.list_(pa.float64()))], ["which", "used"])
 
     return run
 
 
-def _scores(order: int, total: int, types: int, weights: np.ndarray):
-    kinds = sorted([1] + [s * k for k in range(2, order + 1) for s in (1, -1)])
+def fit_weights(held: DataFrame, order: int, rounds: int) -> np.ndarray:
+    """Expectation-maximisation over the deleted part, of which equal (bucket, estimates) are one row with their number."""
+    weights = start_weights(order)
+    for _ in range(rounds):
+        used = held.mapInArrow(_expected(order, weights), "which int, used array<double>")
+        sums = used.groupBy("which").agg(*[F.sum(F.col("used")[k]).alias(f"u{k}") for k in range(order + 1)]).collect()
+        total = np.zeros_like(weights)
+        for r in sums:
+            total[r["which"]] = [r[f"u{k}"] for k in range(order + 1)]
+        new = next_weights(total, order)
+        done = np.abs(new - weights).max() < 1e-3
+        weights = new
+        if done:
+            break
+    return weights
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(b.num_rows):
-                row = b.slice(at, 1).to_pylist()[0]
-                ends = K.unpack(row["ends"]).astype("i8")
-                c = {k: K.unpack(a).astype("i8") for k, a in zip(kinds, row["counts"])}
-                which, f = estimates(c, total, types, order)
-                n = np.diff(ends, prepend=0)
-                doc = np.repeat(np.arange(len(n)), n)
-                add = lambda x: np.bincount(doc, x, len(n))
-                score = add(np.log10(np.maximum((f * weights[which]).sum(axis=1), 1e-300)))
-                base = add(np.log10((c[1] + 0.1) / (total + 0.1 * (types + 1))))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array([remainder(d) == 0 for d in row["doc_ids"]]), pa.array(n, pa.int64()), pa.array(add(c[1] > 0).astype("i8")), pa.array(base), pa.array(score)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-                )
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _scores(order: int, bits: int, t: Totals, weights: np.ndarray):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, told = [], K.Answers(right)
+        for row in left.to_pylist():
+            b = Block(row, list(range(1, order + 1)), bits)
+            c = b.counts(told, False)
+            which, f = estimates(c, b.first, t.tokens, t.texts, t.types)
+            add = lambda x: np.bincount(b.doc, x, len(b.lens))
+            score = add(np.log10((f * weights[which]).sum(axis=1)))
+            base = add(np.log10((c[1] + 0.1) / (t.tokens + 0.1 * (t.types + 1))))
+            columns = [pa.array(b.doc_ids, pa.int64()), pa.array(b.part == 0), pa.array(b.lens, pa.int64()), pa.array(add(c[1] > 0).astype("i8")), pa.array(base), pa.array(score)]
+            out.append(pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
+        return pa.concat_tables(out)
 
     return run
 
 
-def score_texts(docs: DataFrame, order: int = 2, rounds: int = 12) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = ORDER, rounds: int = 12) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed unigrams) and score (log10 probability) of every text.
 
     Texts whose crc32(doc_id) mod 10 is 0 are held out from all learning; remainder 1 is the deleted part for the weights.
     """
-    spark = docs.sparkSession
-    blocks = materialise(K.token_blocks(docs, BLOCK_TOKENS), "lm-blocks")
-    at = blocks.inputFiles()
-    total_keys = (blocks.agg(F.sum("n")).first()[0] or 0) * 2
-    asked = K.ask(blocks, _keys(order), K.shards_for(total_keys))
-    answers = K.answers(asked)
-    answers = materialise(answers, "lm-answers")
-    totals = _totals(blocks)
-    types = answers.where("kind = '1'").agg(F.sum("distinct")).first()[0] or 0
-    counted = materialise(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted(order), COUNTED), "lm-counted")
-    train, deleted = totals
-    if at:
-        discard(spark, at[0].rsplit("/", 1)[0])
-    weights = np.full((BUCKETS, order + 1), 1 / (order + 1))
-    for _ in range(rounds):
-        used = counted.select("held").mapInArrow(_expected(order, train - deleted, types, weights), "bucket int, used array<double>")
-        sums = used.groupBy("bucket").agg(*[F.sum(F.col("used")[k]).alias(f"u{k}") for k in range(order + 1)]).collect()
-        new = np.zeros_like(weights)
-        for r in sums:
-            new[r["bucket"]] = [r[f"u{k}"] for k in range(order + 1)]
-        # A little of the mean keeps buckets without deleted tokens usable.
-        mean = new.sum(axis=0) + 1e-9
-        new = new + mean / mean.sum()
-        new /= new.sum(axis=1, keepdims=True)
-        done = np.abs(new - weights).max() < 1e-3
-        weights = new
-        if done:
-            break
-    out = counted.drop("held").mapInArrow(_scores(order, train, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _totals(blocks: DataFrame) -> tuple[int, int]:
-    """Training tokens, and those of the deleted part."""
+    deleted = (crc_mod(F.col("doc_id").cast("long"), 10) == DELETED).cast("int")
+    blocks = Bucketed(K.token_blocks(docs, BLOCK_TOKENS, deleted), "lm-blocks", "block")
+    try:
+        return _score_blocks(blocks.rows(), order, rounds)
+    finally:
+        blocks.drop()
+
+
+def _score_blocks(blocks: DataFrame, order: int, rounds: int) -> DataFrame:
+    total = (blocks.agg(F.sum(F.col("n") + F.size("lens"))).first()[0] or 0)
+    bits = min(64, max(40, int(total).bit_length() + 17))
+    # Each exchange on its own, so that no two of them lie on disk at once.
+    told = []
+    for orders in [[1, 2], *[[k] for k in range(3, order + 1)]]:
+        orders = [k for k in orders if k <= order]
+        asked = K.ask(blocks, lambda row, orders=orders: Block(row, orders, bits).keys(), K.shards_for(total * len(orders)))
+        told.append(materialise(K.answers(asked), "lm-answers"))
+        drop_tables()
+    types = told[0].where("kind = '1'").agg(F.sum("distinct")).first()[0] or 0
+    t = Totals(*_totals(blocks), types)
+    answers = told[0]
+    for more in told[1:]:
+        answers = answers.union(more)
+
+    of_deleted = "block % 2 = 1"
+    held = blocks.where(of_deleted).groupBy("block").cogroup(answers.where(of_deleted).groupBy("block"))
+    fs = [f"f{k}" for k in range(order + 1)]
+    held = held.applyInArrow(_held(order, bits, t), "which int, " + ", ".join(f"{f} double" for f in fs))
+    held = materialise(held.groupBy("which", *fs).count(), "lm-held")
+    weights = fit_weights(held, order, rounds)
+
+    scores = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(order, bits, t, weights), SCORES)
+    scores = materialise(scores, "lm-scores")
+    drop_tables(held, *told)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _totals(blocks: DataFrame) -> tuple[int, int, int, int]:
+    """Training tokens and texts, and those of the deleted part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, lens in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 part, n = np.array([remainder(d) for d in ids]), np.array(lens) + 1
-                yield pa.RecordBatch.from_arrays([pa.array([int(n[part != 0].sum())]), pa.array([int(n[part == DELETED].sum())])], ["train", "deleted"])
+                found = [n[part != 0].sum(), (part != 0).sum(), n[part == DELETED].sum(), (part == DELETED).sum()]
+                yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in found], ["tokens", "texts", "deleted_tokens", "deleted_texts"])
 
-    r = blocks.select("doc_ids", "lens").mapInArrow(run, "train long, deleted long").agg(F.sum("train"), F.sum("deleted")).first()
-    return r[0] or 0, r[1] or 0
+    names = ["tokens", "texts", "deleted_tokens", "deleted_texts"]
+    r = blocks.select("doc_ids", "lens").mapInArrow(run, ", ".join(f"{n} long" for n in names)).agg(*[F.sum(n) for n in names]).first()
+    return tuple(x or 0 for x in r)
 
 
 def perplexity(score: float, n_tokens: int) -> float:

@@ -24,13 +24,14 @@ follow AS (
   FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY p)
 ),
 shingle AS (SELECT DISTINCT doc_id, concat_ws(' ', x, x1, x2, x3) AS s FROM follow WHERE x3 IS NOT NULL OR (total < 4 AND p = 1)),
-size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+size AS (SELECT doc_id, count(*) AS n, string_agg(s, chr(10) ORDER BY s) AS whole FROM shingle GROUP BY doc_id),
+class AS (SELECT whole, min(doc_id) AS class_id FROM size GROUP BY whole),
 both_hold AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 pair AS (SELECT a, b FROM both_hold JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b WHERE 100 * common >= 85 * (sa.n + sb.n - common)),
 link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
 reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
-SELECT t.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, least(t.doc_id, coalesce(min(reach.b), t.doc_id)) AS component_id
-FROM texts t LEFT JOIN size ON size.doc_id = t.doc_id LEFT JOIN reach ON reach.a = t.doc_id
+SELECT t.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, coalesce(any_value(class.class_id), t.doc_id) AS class_id, least(t.doc_id, coalesce(min(reach.b), t.doc_id)) AS component_id
+FROM texts t LEFT JOIN size ON size.doc_id = t.doc_id LEFT JOIN class ON class.whole = size.whole LEFT JOIN reach ON reach.a = t.doc_id
 GROUP BY t.doc_id
 """
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialise
+from .common import crc_mod, drop_tables, fresh, materialise
 
 # The grammar's closed word classes, in English, French, German and Spanish.
 TARGET_WORDS = (
@@ -293,6 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_lexicon:
     y = np.array([float(r["toxic"]) for r in sample])
     c = np.array([r["count"] for r in sample])
     model.weights, model.bias = logistic(np.repeat(x, c, axis=0), np.repeat(y, c))
+    drop_tables(rows)
     return model
 
 
@@ -321,4 +322,5 @@ def score(docs: DataFrame, model: Grammar, text: str = "text", out: str = "toxic
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Documents whose score is under ``threshold``, with their own columns."""
     model = fit(docs, labels)
-    return score(docs, model, out="_toxicity").where(F.col("_toxicity") < threshold).select(*docs.columns)
+    (out,) = fresh(docs, "_toxicity")
+    return score(docs, model, out=out).where(F.col(out) < threshold).select(*docs.columns)

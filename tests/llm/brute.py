@@ -24,6 +24,58 @@ def lm_base(rows):
     return {i: (crc(i) == 0, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)) for i, ws in toks}
 
 
+def lm_scores(rows, order=3, rounds=12, powers=48):
+    """doc_id: log10 probability by deleted interpolation; weights by the same rule, from dictionaries of counts."""
+    crc = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 10
+    toks = [(i, crc(i), ["<s>"] * (order - 1) + words(t) + [None]) for i, t in rows]
+    grams = lambda ws, k: [tuple(ws[p - k + 1 : p + 1]) for p in range(order - 1, len(ws))]
+    every, without = ([Counter(g for _, c, ws in toks if c not in skip for g in grams(ws, k)) for k in range(1, order + 1)] for skip in ((0,), (0, 1)))
+    types = len(every[0])
+
+    def contexts(counts):
+        out = [Counter() for _ in counts]
+        for k, c in enumerate(counts):
+            for g, n in c.items():
+                out[k][g[:-1]] += n
+        return out
+
+    def model(counts):
+        behind = contexts(counts)
+
+        def tokens(ws):
+            for p in range(order - 1, len(ws)):
+                f, bucket = [1 / (types + 1), 0, *[0] * (order - 1)], (0, 0)
+                for k in range(1, order + 1):
+                    g = tuple(ws[p - k + 1 : p + 1])
+                    if n := behind[k - 1][g[:-1]]:
+                        f[k], bucket = counts[k - 1][g] / n, (k, min(n.bit_length() - 1, powers - 1) if k > 1 else 0)
+                yield f, bucket
+
+        return tokens
+
+    share = lambda x: [v / sum(x) for v in x]
+    equal = {j: share([float(k <= j) for k in range(order + 1)]) for j in range(order + 1)}
+    weights = {(j, p): equal[j] for j in range(order + 1) for p in range(powers)}
+    held = [x for _, c, ws in toks if c == 1 for x in model(without)(ws)]
+    for _ in range(rounds):
+        used = {b: [0.0] * (order + 1) for b in weights}
+        for f, b in held:
+            mixed = [x * w for x, w in zip(f, weights[b])]
+            for k, x in enumerate(mixed):
+                used[b][k] += x / sum(mixed)
+        new = {}
+        for j in equal:
+            of_j = [b for b in used if b[0] == j]
+            prior = share([sum(used[b][k] for b in of_j) + 1e-6 * equal[j][k] for k in range(order + 1)])
+            for b in of_j:
+                new[b] = share([x + p for x, p in zip(used[b], prior)])
+        done = max(abs(x - y) for b in new for x, y in zip(new[b], weights[b])) < 1e-3
+        weights = new
+        if done:
+            break
+    return {i: sum(math.log10(sum(x * w for x, w in zip(f, weights[b]))) for f, b in model(every)(ws)) for i, _, ws in toks}
+
+
 def shingles(text, n):
     w = words(text)
     return {tuple(w)} if 0 < len(w) < n else {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from assetweave.llm import chat_format, jaccard_join, line_dedup, media_audio, queries, sentencepiece_codec, sql, token_output, toxicity, winnowing
+from assetweave.llm import chat_format, jaccard_join, line_dedup, lm_scoring, media_audio, queries, sentencepiece_codec, sql, token_output, toxicity, winnowing
 
 from . import brute as B
 
@@ -122,6 +122,36 @@ def test_lm_scores_beat_unigrams_on_held_out(spark):
     assert (held.score < 0).all() and held.score.sum() > held.base_score.sum()
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores_equal_brute_force(spark, rows, order):
+    some = rows[:120] + EDGES[:8]
+    some = [(i, t) for i, (_, t) in enumerate(some)]
+    docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs, order).collect()}
+    want = B.lm_scores(some, order)
+    assert got.keys() == want.keys()
+    for i, x in want.items():
+        assert got[i] == pytest.approx(x, rel=1e-6), i
+
+
+def test_lm_mixture_sums_to_one():
+    """Over all words after any context, seen or not, together with one unknown word."""
+    words = {"a": 6, "b": 3, None: 1}
+    texts, tokens, types = 1, 10, len(words)
+    weights = lm_scoring.next_weights(np.random.default_rng(1).random((4 * lm_scoring.BUCKETS, 4)) * (lm_scoring.start_weights(3) > 0), 3)
+    follow = {"seen": {"a": 4, "b": 2}, "never": {}}
+    for context, after in follow.items():
+        total = 0.0
+        for w in [*words, "unknown"]:
+            # Two tokens: the context's word, then w; their counts as a block would be told.
+            c1 = np.array([sum(after.values()), words.get(w, 0)])
+            c2, c3 = np.array([1, after.get(w, 0)]), np.array([1, after.get(w, 0)])
+            c2[0] = c1[0] if c1[0] else 0
+            which, f = lm_scoring.estimates({1: c1, 2: c2, 3: c3}, np.array([True, False]), tokens, texts, types)
+            total += float((f * weights[which]).sum(axis=1)[1])
+        assert total == pytest.approx(1.0), context
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     scored = queries.op3_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
