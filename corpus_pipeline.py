@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from assetweave.llm import jaccard_join, line_dedup, sentencepiece_codec, toxicity, winnowing
-from assetweave.llm.common import materialise, read_table
+from assetweave.llm.common import drop_tables, materialise, read_table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +45,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            drop_tables(before)
     return STAGES[-1][1](spark, docs, sf_dir)
