@@ -220,8 +220,7 @@ def _score_blocks(blocks: DataFrame, order: int, rounds: int) -> DataFrame:
     bits = min(64, max(40, int(total).bit_length() + 17))
     # Each exchange on its own, so that no two of them lie on disk at once.
     told = []
-    for orders in [[1, 2], *[[k] for k in range(3, order + 1)]]:
-        orders = [k for k in orders if k <= order]
+    for orders in [[k] for k in range(1, order + 1)]:
         asked = K.ask(blocks, lambda row, orders=orders: Block(row, orders, bits).keys(), K.shards_for(total * len(orders)))
         told.append(materialise(K.answers(asked), "lm-answers"))
         drop_tables()
