@@ -100,3 +100,14 @@ def scaled_side(side: Column, width: Column, height: Column, most: int = MAX_SID
     """A side after shrinking the longer one to ``most``, truncated."""
     longest = F.greatest(width, height)
     return F.when(longest <= most, side).otherwise((side * (F.lit(float(most)) / longest)).cast("int"))
+
+
+def parcel_offset(x: Column, y: Column, side: int = 16) -> Column:
+    """Where the base parcel lies: (16 x, 0, 16 y)."""
+    return F.struct((x * side).alias("x"), F.lit(0).alias("y"), (y * side).alias("z"))
+
+
+def merged_bounds(least: Column, most: Column) -> Column:
+    """Aggregate: the smallest box around all boxes (structs x, y, z of their corners); null boxes don't count."""
+    ends = [f(c[a]).alias(f"{n}_{a}") for n, f, c in (("min", F.min, least), ("max", F.max, most)) for a in "xyz"]
+    return F.struct(*ends)

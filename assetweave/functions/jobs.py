@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Hosts that must not be reached, identifiers, versions.
 INTERNAL_SUFFIXES = (".localhost", ".local", ".internal", ".corp", ".home", ".arpa", ".onion")
 CID = r"^[a-zA-Z0-9]+$"
-IPV4 = r"^(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)$"
+#: A host whose last label is a number (decimal, octal or hex) is an IPv4 address in one of its spellings, or none at all.
+NUMERIC_HOST = r"(?i)(?:^|\.)(?:[0-9]+|0x[0-9a-f]*)\.?$"
 STATIC_SCENE_VERSION = "v2004"
 TRUE_WORDS, FALSE_WORDS = ("true", "1", "yes", "on"), ("false", "0", "no", "off")
 MAX_RETRY_AFTER_MS = 30_000
@@ -25,7 +26,8 @@ def url_scheme(url: Column) -> Column:
 
 
 def is_ip(host: Column) -> Column:
-    return host.rlike(IPV4) | host.contains(":")
+    """Whether an address's host is an IP address in any spelling that address parsers take (127.1, 2130706433, 0x7f000001)."""
+    return host.rlike(NUMERIC_HOST) | host.contains(":")
 
 
 def is_safe_url(url: Column) -> Column:
@@ -94,12 +96,12 @@ def content_length(text: Column) -> Column:
 
 
 def fetch_outcome(status: Column, declared: Column, actual: Column, most: int = 256 << 20) -> Column:
-    """ok, retryable or fatal, from a response's status and lengths."""
+    """ok, retryable or fatal, from a response's status and lengths; a body shorter than declared was cut off."""
     return (
         F.when(is_retryable(status), "retryable")
         .when((status < 200) | (status >= 300), "fatal")
         .when((declared > most) | (actual > most), "fatal")
-        .when((declared >= 0) & (declared != actual), "retryable")
+        .when((declared >= 0) & (actual < declared), "retryable")
         .otherwise("ok")
     )
 
@@ -110,10 +112,10 @@ def with_retry_param(url: Column, n: Column) -> Column:
     return F.concat(bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("_retry="), n.cast("string"))
 
 
-def contents_url(base: Column) -> Column:
-    """The address of the contents of a server: ends in '/', and in 'contents/' unless it is an IPFS gateway."""
+def contents_url(base: Column, exempt: tuple[str, ...] = ()) -> Column:
+    """The address of the contents of a server: ends in '/', and in 'contents/' unless it is one of the ``exempt`` addresses."""
     slash = F.when(base.endswith("/"), base).otherwise(F.concat(base, F.lit("/")))
-    return F.when(slash.endswith("contents/") | slash.contains("/ipfs/"), slash).otherwise(F.concat(slash, F.lit("contents/")))
+    return F.when(slash.endswith("contents/") | slash.isin(*exempt), slash).otherwise(F.concat(slash, F.lit("contents/")))
 
 
 def is_world(url: Column) -> Column:
@@ -158,3 +160,37 @@ def option_values(args: Column, name: str, n: int) -> Column:
 def net_ticks(ts: Column) -> Column:
     """100 ns ticks since year 1."""
     return F.unix_micros(ts) * 10 + F.lit(621355968000000000)
+
+
+def at_least(value: Column, least: float, default: float | None = None) -> Column:
+    """A setting with a lower bound (milliseconds, workers); ``default`` stands for a missing one."""
+    return F.greatest(value if default is None else F.coalesce(value, F.lit(default)), F.lit(least))
+
+
+def clamp(value: Column, low: float, high: float) -> Column:
+    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+
+
+def disk_is_low(free: Column, least: int = 1_000_000_000) -> Column:
+    return F.coalesce(free < least, F.lit(False))
+
+
+def megabytes(size: Column) -> Column:
+    """Whole mebibytes."""
+    return F.floor(size / (1 << 20)).cast("bigint")
+
+
+def per_asset_seconds(total: Column, n: Column) -> Column:
+    """Seconds for each asset; null if there are none."""
+    return F.when(n > 0, total / n)
+
+
+def lod_exit_code(n_outputs: Column, exit_code: Column, empty: int = 5) -> Column:
+    """A level-of-detail run that leaves no file ends with its own code, whatever the engine said."""
+    return F.when(F.coalesce(n_outputs, F.lit(0)) == 0, F.lit(empty)).otherwise(exit_code)
+
+
+def content_server(tld: Column, worlds: Column, domain: str, contents: str = "/content") -> Column:
+    """Address of the content server of ``domain`` under a top-level domain: the peer's contents, or the worlds server."""
+    zone = F.when(tld.isin("today", "zone"), tld).otherwise("org")
+    return F.when(worlds, F.concat(F.lit(f"https://worlds-content-server.{domain}."), zone)).otherwise(F.concat(F.lit(f"https://peer.{domain}."), zone, F.lit(contents)))

@@ -13,6 +13,10 @@ PROBE_EXT = GLTF_EXT + TEXTURE_EXT
 DEP_EXT = BUFFER_EXT + TEXTURE_EXT
 THUMBNAIL = r"(?i)(?:^|/)autogenerated-thumbnail\.png$"
 TARGETS = ("windows", "mac")
+# Texture slots with their flags, texture properties of a material, compressed formats.
+SLOT_FLAGS = {"_MainTex": 1, "_BaseMap": 2, "_BumpMap": 4, "_MetallicGlossMap": 8, "_ParallaxMap": 16, "_OcclusionMap": 32, "_EmissionMap": 64, "_SpecGlossMap": 128}
+BASE_PROPERTIES, NORMAL_PROPERTIES, METALLIC_PROPERTIES = ("_BaseMap", "baseColorTexture"), ("_BumpMap", "normalTexture"), ("_MetallicGlossMap", "metallicRoughnessTexture")
+COMPRESSED_FORMATS = ("DXT1", "DXT5", "BC7", "ETC_RGB4", "ETC2_RGB", "ETC2_RGBA8", "ASTC_4x4", "ASTC_5x5", "ASTC_6x6", "ASTC_8x8", "ASTC_10x10", "ASTC_12x12")
 DIGEST_CHARS = 32
 MAX_DETAIL = 256
 
@@ -59,13 +63,14 @@ def is_metadata_only(file: Column) -> Column:
 def json_digest(pairs: Column) -> Column:
     """32 hex digits of the SHA-256 of ``[[file,hash],...]`` over an array of structs (file, hash), sorted: order of arrival doesn't matter.
 
-    Control characters are escaped in lower-case hex, as JSON.stringify does.
+    The order is that of UTF-16 code units, and control characters are escaped in lower-case hex, both as in JavaScript.
     """
-    rows = F.transform(F.array_sort(pairs), lambda e: F.array(e["file"], e["hash"]))
-    text = F.to_json(rows)
-    text = F.regexp_replace(text, r"\\u00([01])A", r"\\u00$1a")
-    for big in "BCDEF":
-        text = F.regexp_replace(text, rf"\\u00([01]){big}", rf"\\u00$1{big.lower()}")
+    units = lambda c: F.hex(F.encode(c, "UTF-16BE"))
+    keyed = F.transform(pairs, lambda e: F.struct(units(e["file"]).alias("f"), units(e["hash"]).alias("h"), e["file"].alias("file"), e["hash"].alias("hash")))
+    text = F.to_json(F.transform(F.array_sort(keyed), lambda e: F.array(e["file"], e["hash"])))
+    for big in "ABCDEF":
+        # Behind an even number of backslashes only: else it is a backslash and plain text.
+        text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\u00([01]){big}", rf"$1\\u00$2{big.lower()}")
     return F.substring(F.sha2(text, 256), 1, DIGEST_CHARS)
 
 
@@ -109,17 +114,21 @@ def leading_hash(name: Column) -> Column:
     return null_if_empty(F.regexp_extract(name, r"^([^_.]+)[_.]", 1))
 
 
-def asset_path(hash_: Column, file: Column, root: str = "Assets/_Downloaded/") -> Column:
-    """Derived paths of a content entry."""
-    base = F.element_at(F.split(file, "/"), -1)
-    ext = extension(file)
+def asset_path(hash_: Column, file: Column, base: str = "Assets/_Downloaded/", sep: str = "/") -> Column:
+    """Derived paths of a content entry: its file name and folder, its place beside its siblings under its hash, and its place in a folder of its own."""
+    file = F.replace(file, F.lit("\\"), F.lit("/"))
+    name = F.element_at(F.split(file, "/"), -1)
+    folder = F.concat(F.substring(file, F.lit(1), F.greatest(F.char_length(file) - F.char_length(name) - 1, F.lit(0))), F.lit("/"))
+    dotted = F.regexp_extract(name, r"(\.[^.]*)$", 1)
+    dotted = F.when(dotted == ".", "").otherwise(dotted)
+    own = F.concat(F.lit(base), hash_, F.lit(sep))
     return F.struct(
-        F.regexp_replace(base, r"\.[^.]*$", "").alias("file_name"),
-        F.regexp_replace(file, r"[^/]*$", "").alias("file_root_path"),
-        F.concat(F.lit(root), hash_, ext).alias("hash_path"),
-        F.concat(F.lit(root), hash_, F.lit("/"), hash_, ext).alias("final_path"),
-        F.concat(F.lit(root), hash_).alias("asset_folder"),
-        F.concat(F.lit(root), hash_, F.lit("/"), hash_, ext, F.lit(".meta")).alias("final_meta_path"),
+        name.alias("file_name"),
+        folder.alias("file_root_path"),
+        F.concat(folder, hash_, F.lit("."), F.element_at(F.split(name, r"\."), -1)).alias("hash_path"),
+        F.concat(own, hash_, dotted).alias("final_path"),
+        own.alias("asset_folder"),
+        F.concat(own, hash_, F.lit(".meta")).alias("final_meta_path"),
     )
 
 
@@ -172,14 +181,8 @@ def without_space(c: Column) -> Column:
 
 
 def mime_type(file: Column) -> Column:
-    f = F.lower(file)
-    return (
-        F.when(f.endswith(".json"), "application/json")
-        .when(f.endswith(".js"), "application/javascript")
-        .when(f.endswith(".crdt"), "application/octet-stream")
-        .when(f.endswith(".manifest"), "text/cache-manifest")
-        .otherwise("application/octet-stream")
-    )
+    """By the end of the name, letter case kept."""
+    return F.when(file.endswith(".js"), "application/javascript").when(file.endswith(".json"), "application/json").otherwise("application/octet-stream")
 
 
 def skip_detail(text: Column, most: int = MAX_DETAIL) -> Column:
@@ -202,3 +205,51 @@ def name_from_url(url: Column, stamp: Column) -> Column:
     base = F.element_at(F.split(F.regexp_replace(url, r"[?#].*$", ""), "/"), -1)
     named = F.when(F.trim(base) == "", F.concat(F.lit("asset_"), stamp)).otherwise(base)
     return F.when(is_gltf(named), named).otherwise(F.concat(named, F.lit(".glb")))
+
+
+def is_emote_file(file: Column) -> Column:
+    return file.endswith("_emote.glb")
+
+
+def same_name(a: Column, b: Column) -> Column:
+    """Equal, letter case aside."""
+    return F.lower(a) == F.lower(b)
+
+
+def is_ignored_lod(bundle: Column) -> Column:
+    return bundle.contains("_ignore")
+
+
+def slot_flag(slot: Column) -> Column:
+    """The flag of a texture slot, 0 for an unknown one."""
+    table = F.create_map(*[F.lit(x) for kv in SLOT_FLAGS.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, slot), F.lit(0))
+
+
+def property_class(name: Column) -> Column:
+    return F.when(name.isin(*BASE_PROPERTIES), "base").when(name.isin(*NORMAL_PROPERTIES), "normal").when(name.isin(*METALLIC_PROPERTIES), "metallic")
+
+
+def is_compressed(texture_format: Column) -> Column:
+    return texture_format.isin(*COMPRESSED_FORMATS)
+
+
+def rebuilt_path(url: Column, hash_: Column, root: Column) -> Column:
+    """Where a container's dependency lies: its folder, and what follows the container's hash and one more character in the request."""
+    rest = F.substring(url, F.position(hash_, url) + F.char_length(hash_) + 1, F.char_length(url))
+    return F.replace(F.concat(root, rest), F.lit("\\"), F.lit("/"))
+
+
+def with_separator(path: Column, sep: str = "/") -> Column:
+    return F.translate(path, "/\\", sep * 2)
+
+
+def project_path(full: Column) -> Column:
+    """From the first folder Assets on; the whole path if there is none."""
+    path = with_separator(full)
+    found = F.regexp_extract(path, r"^.*?/(Assets/.*)$", 1)
+    return F.when(found == "", path).otherwise(found)
+
+
+def full_path(asset: Column, data: Column) -> Column:
+    return F.concat(F.replace(with_separator(data), F.lit("/Assets"), F.lit("")), F.lit("/"), with_separator(asset))

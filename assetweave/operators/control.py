@@ -76,9 +76,16 @@ def with_results(df: DataFrame) -> DataFrame:
 
 
 def previous_deployment(entities: DataFrame) -> DataFrame:
-    """For each entity the latest earlier deployment of the same base."""
-    w = Window.partitionBy("base").orderBy("ts", "entity_id")
-    return entities.select("entity_id", "base", F.lag("entity_id").over(w).alias("previous"))
+    """For each entity the newest other deployment of the same base: the newest of all, or for that one the newest but one.
+
+    Two aggregates instead of a window: a base with a large share of the rows is combined before the shuffle.
+    """
+    newest = F.max(F.struct("ts", "entity_id"))["entity_id"]
+    top = entities.groupBy("base").agg(newest.alias("_top"))
+    marked = entities.join(top, "base", "left")
+    second = marked.where(F.col("entity_id") != F.col("_top")).groupBy("base").agg(newest.alias("_second"))
+    previous = F.when(F.col("entity_id") == F.col("_top"), F.col("_second")).otherwise(F.col("_top"))
+    return marked.join(second, "base", "left").select("entity_id", "base", F.when(F.col("base").isNotNull(), previous).alias("previous"))
 
 
 def manifest_fates(

@@ -41,9 +41,14 @@ ASSET_DIGEST = f"""select g.entity_id, g.hash,
   count(*) filter (where r.uri_file is not null and r.dep is null) > 0 skipped,
   min(r.uri_file) filter (where r.dep is null) detail
   from (select * from {{v_content}} where pk % 4 = 0) g left join {{v_refs}} r on r.entity_id = g.entity_id and r.glb = g.hash group by g.entity_id, g.hash"""
-PROBED = f"""select c.entity_id, c.hash, c.pk, c.file, {EXT.replace('file', 'c.file')} in ('.glb', '.gltf') skippable, k.hash is not null cache_hit, k.hash is null and i.hash is not null in_store,
-  k.hash is not null or i.hash is not null cached
-  from {{v_content}} c left join {{v_cache}} k on k.hash = c.hash left join {{v_inventory}} i on i.hash = c.hash where {EXT.replace('file', 'c.file')} in {PROBES}"""
+OBJECT_KEY = "concat('v48/assets/', c.hash, case when c.pk % 4 = 0 then concat('_', d.digest) else '' end, '_windows')"
+#: What is probed, by its object key: a glTF file's key holds the digest of what it refers to, one without a digest is left out.
+KEYED = f"""select c.entity_id, c.hash, c.pk, c.file, {EXT.replace('file', 'c.file')} in ('.glb', '.gltf') skippable, {OBJECT_KEY} object_key from {{v_content}} c
+  left join ({ASSET_DIGEST}) d on d.entity_id = c.entity_id and d.hash = c.hash where {EXT.replace('file', 'c.file')} in {PROBES} and (c.pk % 4 <> 0 or d.digest is not null)"""
+#: Two entities of three were converted before: the store has their objects, and of one of them the cache knows it.
+PROBED = f"""select c.*, k.object_key is not null cache_hit, k.object_key is null and i.object_key is not null in_store, k.object_key is not null or i.object_key is not null cached
+  from ({KEYED}) c left join (select distinct n.object_key from ({KEYED}) n join {{v_cache}} h on h.hash = n.hash where n.entity_id % 3 = 1) k on k.object_key = c.object_key
+  left join (select distinct n.object_key from ({KEYED}) n join {{v_inventory}} h on h.hash = n.hash where n.entity_id % 3 <> 0) i on i.object_key = c.object_key"""
 SUMMARY = f"""select entity_id, count(*) probes, count(*) filter (where cached) n_cached, count(*) filter (where not cached) n_missing,
   count(*) filter (where cached and skippable) n_skippable, count(*) filter (where not cache_hit) n_head, count(*) filter (where not cached) = 0 full_hit from ({PROBED}) p group by entity_id"""
 OUTCOME = f"""select e.entity_id, e.type kind, e.entity_id % 7 = 0 forced,
@@ -60,8 +65,15 @@ RESULT_ROWS = ", ".join("(" + ", ".join("null" if x is None else f"'{x}'" if isi
 RESULT_TABLE = f"(select * from (values {RESULT_ROWS}) t(outcome, triage, triage_exit, triage_metric, conversion_exit)) r"
 
 
+def _keyed(v: Views) -> DataFrame:
+    return A.probe_rows(v.v_content, F.col("pk"), _asset_digests(v).withColumnRenamed("glb", "hash"), "v48", WINDOWS)
+
+
 def _probed(v: Views) -> DataFrame:
-    return A.probe(A.probe_rows(v.v_content, F.col("pk")), v.v_inventory, v.v_cache)
+    rows, i = _keyed(v), F.col("entity_id")
+    store = rows.where(i % 3 != 0).join(v.v_inventory, "hash", "left_semi")
+    cache = rows.where(i % 3 == 1).join(v.v_cache, "hash", "left_semi")
+    return A.probe(rows, store, cache, "object_key")
 
 
 def _asset_digests(v: Views) -> DataFrame:
@@ -205,17 +217,79 @@ def migratable(v):
     return A.migratable(v.v_manifests, "v48").select("entity_id", "version")
 
 
-@query("select entity_id, base, lag(entity_id) over (partition by base order by ts, entity_id) previous from {v_entities}")
+@query("""select e.entity_id, e.base, (case when n.entity_id = e.entity_id then s.entity_id else n.entity_id end) previous from {v_entities} e
+  left join (select *, row_number() over (partition by base order by ts desc, entity_id desc) k from {v_entities}) n on n.base = e.base and n.k = 1
+  left join (select *, row_number() over (partition by base order by ts desc, entity_id desc) k from {v_entities}) s on s.base = e.base and s.k = 2""")
 def previous_deployment(v):
     return C.previous_deployment(v.v_entities)
 
 
-@query("""select e.entity_id, bool_and(c.hash is null or i.hash is not null) unchanged from {v_entities} e left join {v_content} c on c.entity_id = e.entity_id
-  left join {v_inventory} i on i.hash = c.hash group by e.entity_id""")
+NAMES = """select c.entity_id, case c.pk % 3 when 0 then concat(c.hash, '7_windows') when 1 then concat(c.hash, '_windows') else concat(c.hash, '.br') end name
+  from {v_content} c join {v_inventory} i on i.hash = c.hash"""
+
+
+@query(f"""select e.entity_id, not exists (select 1 from {{v_content}} c where c.entity_id = e.entity_id and {EXT} in ('.glb', '.gltf', '.bin', {TEXTURES[1:-1]})
+  and not exists (select 1 from ({NAMES}) n where n.entity_id = c.entity_id and starts_with(n.name, c.hash))) unchanged from {{v_entities}} e""")
 def content_changed(v):
-    c = v.v_content.select("entity_id", "hash")
-    listed = c.join(v.v_inventory, "hash", "left_semi").select("entity_id", F.concat("hash", F.lit("_windows")).alias("name"))
-    return A.hashes_in_manifest(listed, v.v_entities.select("entity_id").join(c, "entity_id", "left"), ["entity_id"])
+    content = v.v_entities.select("entity_id").join(v.v_content.select("entity_id", "file", "hash"), "entity_id", "left")
+    return A.hashes_in_manifest(v.sql(NAMES), content, ["entity_id"])
+
+
+@query(f"""select e.entity_id, not exists (select 1 from {{v_content}} c where c.entity_id = e.entity_id and {EXT} in ('.glb', '.gltf', '.bin', {TEXTURES[1:-1]})
+  and not exists (select 1 from ({NAMES}) n where n.entity_id = c.entity_id and n.name = concat(c.hash, '_windows'))) copied from {{v_entities}} e""")
+def previous_copy(v):
+    content = v.v_entities.select("entity_id").join(v.v_content.select("entity_id", "file", "hash"), "entity_id", "left")
+    return A.can_copy_previous(v.sql(NAMES), content, ["entity_id"], WINDOWS)
+
+
+@query("""select entity_id, count(*) total, count(*) filter (where built) skipped, count(*) > count(*) filter (where built) to_do from
+  (select c.entity_id, i.hash is not null built from {v_content} c left join {v_inventory} i on i.hash = c.hash where c.pk % 4 = 0) t group by 1""")
+def build_decision(v):
+    return A.build_decision(v.v_content.where(N.is_gltf(F.col("file"))), v.v_inventory, ["hash"], "entity_id")
+
+
+SKIPS = f"select entity_id, hash, concat('models/', substr(hash, 2), '.glb') file, case when cast(substr(hash, 2) as bigint) % 3 = 0 then 'unparseable' else 'missing-deps' end reason, detail from ({ASSET_DIGEST}) a where skipped"
+
+
+def _skips(v: Views) -> DataFrame:
+    lost = _asset_digests(v).where("skipped").withColumnRenamed("glb", "hash")
+    number = F.substring("hash", 2, 20)
+    return lost.select("entity_id", "hash", F.concat(F.lit("models/"), number, F.lit(".glb")).alias("file"), F.when(number.cast("bigint") % 3 == 0, "unparseable").otherwise("missing-deps").alias("reason"), "detail")
+
+
+@query(f"select reason, count(*) skipped from ({SKIPS}) s group by 1")
+def skip_counts(v):
+    return A.skip_counts(_skips(v), ["reason"])
+
+
+@query(f"""select base, count(*) n, string_agg(case when k <= 5 then concat(hash, ':', reason, ':', detail) end, ',' order by k) samples from
+  (select s.*, e.base, row_number() over (partition by e.base order by concat(cast(s.entity_id as varchar), '/', s.hash)) k from ({SKIPS}) s join {{v_entities}} e on e.entity_id = s.entity_id) t group by 1""")
+def skip_samples(v):
+    rows = _skips(v).join(v.v_entities.select("entity_id", "base"), "entity_id").withColumn("place", F.concat(F.col("entity_id").cast("string"), F.lit("/"), F.col("hash")))
+    out = A.skip_samples(rows, "base", "place")
+    return out.select("base", F.col("count").alias("n"), F.array_join(F.transform("samples", lambda x: F.concat(x["hash"], F.lit(":"), x["reason"], F.lit(":"), x["detail"])), ",").alias("samples"))
+
+
+@query("""select p.pk, p.p_brand, case when p.p_size > 40 then false else true end listed, coalesce(s.s_suppkey * 1.0, 0) x from
+  (select p_partkey pk, p_brand, p_size from {part}) p left join {supplier} s on s.s_suppkey = p.pk and p.p_size <= 40""")
+def static_placement(v):
+    at = lambda *x: F.array(*[F.lit(float(i)) for i in x])
+    d = v.supplier.select(F.concat(F.lit("h"), F.col("s_suppkey").cast("string")).alias("hash"), F.array(F.col("s_suppkey") * F.lit(1.0), F.lit(0.0), F.lit(0.0)).alias("position"), at(0, 0, 0, 1).alias("rotation"), at(1, 1, 1).alias("scale"))
+    a = v.part.select(F.col("p_partkey").alias("pk"), "p_brand", F.when(F.col("p_size") <= 40, F.concat(F.lit("h"), F.col("p_partkey").cast("string"))).otherwise(F.concat(F.lit("none"), F.col("p_partkey").cast("string"))).alias("hash"))
+    return A.place(a, d).select("pk", "p_brand", (~F.col("hash").startswith("none")).alias("listed"), F.col("position")[0].alias("x"))
+
+
+@query("""select pk, file, hash, is_static, case when is_static then 'staticScene_s1_windows' else concat(hash, '_windows') end bundle from (
+  select *, min(case when is_static then pk end) over (partition by hash) first from (
+    select c.*, c.pk % 5 <> 0 and i.hash is not null is_static from (select p_partkey pk, concat('h', cast(p_size as varchar)) hash,
+      concat('m/', cast(p_partkey as varchar), case when p_partkey % 7 = 0 then '.bin' when p_partkey % 5 = 0 then '_emote.glb' else '.glb' end) file from {part}) c
+    left join (select distinct concat('h', cast(p_size as varchar)) hash from {part} where p_size % 2 = 0) i on i.hash = c.hash where c.pk % 7 <> 0) a) b where first is null or pk <= first""")
+def static_members(v):
+    i = F.col("p_partkey")
+    ending = F.when(i % 7 == 0, ".bin").when(i % 5 == 0, "_emote.glb").otherwise(".glb")
+    rows = v.part.select(i.alias("pos"), F.concat(F.lit("m/"), i.cast("string"), ending).alias("file"), F.concat(F.lit("h"), F.col("p_size").cast("string")).alias("hash"))
+    listed = v.part.where(F.col("p_size") % 2 == 0).select(F.concat(F.lit("h"), F.col("p_size").cast("string")).alias("hash"))
+    return A.static_members(rows, listed, "s1", WINDOWS).withColumnRenamed("pos", "pk")
 
 
 PLAN = f"""select c.entity_id, c.hash, case when not skipped then case when is_gltf then concat(c.hash, '_', digest, '_windows') else concat(c.hash, '_windows') end end target_name,
@@ -311,10 +385,11 @@ def url_host(v):
 
 
 GUARD = """select page_id, case page_id % 8 when 0 then url when 1 then concat('https://10.0.0.', cast(page_id % 256 as string), '/x') when 2 then 'https://localhost/a' when 3 then 'https://db.internal/' when 4 then 'http://example.org/'
-  when 5 then 'https://example.org/a?b' when 6 then 'https://[2001:db8::1]/z' else 'not a url' end u from {pages}"""
+  when 5 then 'https://example.org/a?b' when 6 then (case page_id % 3 when 0 then 'https://[2001:db8::1]/z' when 1 then 'https://0x7f000001/' else 'https://user@127.1:8443/' end)
+  else (case page_id % 3 when 0 then 'https://2130706433/' when 1 then 'https://1password.example/' else 'not a url' end) end u from {pages}"""
 
 
-@query(f"""select page_id, u, case when regexp_matches(u, '^https://') and not regexp_matches(u, '^https://(localhost|[0-9.]+|\\[[^]]*\\]|[^/]*\\.(localhost|local|internal|corp|home|arpa|onion))([/:?#]|$)') then true else false end safe from ({GUARD}) g""")
+@query(f"""select page_id, u, case when regexp_matches(u, '^https://') and not regexp_matches(u, '^https://([^/?#@]*@)?(localhost|([^/?#:]*[.])?([0-9]+|0x[0-9a-f]*)[.]?|\\[[^]]*\\]|[^/]*\\.(localhost|local|internal|corp|home|arpa|onion))([/:?#]|$)') then true else false end safe from ({GUARD}) g""")
 def url_guard(v):
     return v.sql(GUARD).select("page_id", "u", J.is_safe_url(F.col("u")).alias("safe"))
 
