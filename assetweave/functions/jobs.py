@@ -143,7 +143,7 @@ def default_unknown(text: Column) -> Column:
 
 
 def split_list(text: Column, sep: str = ";") -> Column:
-    return F.filter(F.transform(F.split(text, sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def join_hashes(hashes: Column) -> Column:

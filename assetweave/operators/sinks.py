@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assetweave.functions import names as N
+
 VARIANTS = ("", ".br")
 
 
@@ -19,9 +21,34 @@ def write_manifests(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def missing_only(files: DataFrame, there: DataFrame, key: str, force: bool = False) -> DataFrame:
-    """What has to be uploaded: each file raw and compressed, unless its key is there already."""
-    both = files.withColumn("variant", F.explode(F.array(*map(F.lit, VARIANTS)))).withColumn(key, F.concat(F.col(key), F.col("variant")))
-    return both if force else both.join(there.select(key).distinct(), key, "left_anti")
+    """What has to be uploaded: each file raw and compressed, with its content type.
+
+    A bundle's manifest always is, any other file unless its key is there already; all with ``force``.
+    """
+    manifest = F.col(key).endswith(".manifest")
+    kind = F.when(manifest, "text/cache-manifest").otherwise("application/wasm")
+    both = files.withColumn("content_type", kind).withColumn("_always", manifest | F.lit(force)).withColumn("variant", F.explode(F.array(*map(F.lit, VARIANTS)))).withColumn(key, F.concat(F.col(key), F.col("variant")))
+    known = there.select(key).distinct().withColumn("_there", F.lit(True))
+    return both.join(known, key, "left").where(F.col("_always") | F.col("_there").isNull()).drop("_always", "_there")
+
+
+def lod_uploads(files: DataFrame, there: DataFrame, key: str, force: bool = False) -> DataFrame:
+    """Level-of-detail files under LOD/<level>/, as ``missing_only`` takes them."""
+    placed = files.withColumn(key, F.concat(F.lit("LOD/"), F.col("level").cast("string"), F.lit("/"), F.col(key)))
+    return missing_only(placed, there, key, force)
+
+
+def failed_sentinels(failures: DataFrame) -> DataFrame:
+    """(key, body) of the mark that a failed conversion leaves: entity_id, target, server, version, error or log, date; missing fields are left out."""
+    body = F.to_json(F.struct(F.col("entity_id").cast("string").alias("entityId"), F.col("server").alias("contentServerUrl"), "version", "error", "log", "date"))
+    key = F.concat(F.lit("manifest/"), F.col("entity_id").cast("string"), F.coalesce(F.concat(F.lit("_"), F.col("target")), F.lit("")), F.lit("_failed.json"))
+    return failures.select(key.alias("key"), body.alias("body"))
+
+
+def queue_messages(jobs: DataFrame, job: Column, prioritize: Column, queue: str, priority_queue: str | None = None) -> DataFrame:
+    """(queue, body) of jobs: the job as JSON inside a JSON envelope; the priority lane only if there is one."""
+    lane = F.when(F.coalesce(prioritize, F.lit(False)) & F.lit(bool(priority_queue)), F.lit(priority_queue)).otherwise(F.lit(queue))
+    return jobs.select(lane.alias("queue"), F.to_json(F.struct(F.to_json(job).alias("Message"))).alias("body"))
 
 
 def scene_sources(content: DataFrame, mains: DataFrame) -> DataFrame:
@@ -30,12 +57,13 @@ def scene_sources(content: DataFrame, mains: DataFrame) -> DataFrame:
     return content.join(wanted, ["entity_id", "file"]).groupBy("entity_id", "file").agg(F.min_by("hash", "pos").alias("hash"))
 
 
-def copies(plan: DataFrame) -> DataFrame:
-    """Source key to target key of a server-side copy, for rows that were decided to be copied."""
-    return plan.where(F.col("action") == "copied").select("source_key", F.concat(F.lit("v48/assets/"), "target_name").alias("target_key"))
+def copies(plan: DataFrame, version: str) -> DataFrame:
+    """Source key (encoded, but for '/') to target key of a server-side copy, for rows that were decided to be copied; a ``variant`` column is kept at the end of the name."""
+    name = F.concat(F.col("target_name"), F.coalesce("variant", F.lit(""))) if "variant" in plan.columns else F.col("target_name")
+    return plan.where(F.col("action") == "copied").select(N.url_encoded_key(F.col("source_key")).alias("source_key"), N.canonical_key(F.lit(version), name).alias("target_key"))
 
 
-def publish(contents: DataFrame, manifests: DataFrame, path: str) -> None:
-    """Contents first, manifests last: a reader that sees a manifest finds all that it names."""
-    contents.write.mode("append").parquet(f"{path}/contents")
-    manifests.write.mode("append").parquet(f"{path}/manifests")
+def publish(contents: DataFrame, manifests: DataFrame, path: str, batch: int) -> None:
+    """Contents first, manifests last: a reader that sees a manifest finds all that it names.  A batch that is tried again replaces itself."""
+    for name, df in (("contents", contents), ("manifests", manifests)):
+        df.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")

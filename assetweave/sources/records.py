@@ -59,7 +59,7 @@ def whole_files(spark: SparkSession, folder: str, glob: str, most: int = 256 <<
 
 
 def lod_urls(setting: Column) -> Column:
-    return F.filter(F.transform(F.split(setting, ";"), F.trim), lambda u: u != "")
+    return F.filter(F.transform(F.split(setting, ";"), lambda x: F.trim(x)), lambda u: u != "")
 
 
 def digest_sidecar(text: Column) -> Column:
