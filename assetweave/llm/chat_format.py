@@ -4,13 +4,16 @@ Legal conversations are an optional system turn, then user and assistant turns i
 program over this automaton chooses for each turn, at least total cost, whether it keeps its role, is relabelled, is merged into the
 turn before, or gets an empty turn inserted before it; then the repaired turns are rendered.
 
-A step of the program is a (min, +) matrix over the automaton's states, and such matrices multiply in any grouping.  So a
-conversation of any length is cut into parts by its turn numbers: each part's matrix is computed on its own, the short list of
-matrices of a conversation gives the state at each cut, and every part then renders itself.  No task holds a whole long conversation.
+A step of the program is a (min, +) matrix over the automaton's states, and such matrices multiply in any grouping.  The turns are
+sorted over the cluster and cut, wherever they lie, into parts of at most ``part`` turns or 16 MB of text; a part brings its matrix.  A
+conversation that is one part inside a partition, as almost all are, is rendered at once.  Of the others only the matrices meet: those
+of a conversation's parts in one partition, then one for each partition it reaches into; so no task holds a whole long conversation.
 
 Defined results: rows that repeat in all of (conv_id, turn, role, text) count once; turns with equal numbers are ordered by role, then
-text; null turns come first; a null text is empty; an unknown or null role has to be relabelled; rows with a null ``conv_id`` are one
-conversation.  Among equal costs keeping beats merging, merging beats relabelling, relabelling beats inserting.
+text; null turns come first; null and empty texts are empty turns; very long texts are kept whole; an unknown or null role has to be
+relabelled; rows with a null ``conv_id`` are one conversation; an empty table gives an empty table; other columns are not looked at.
+Among equal costs keeping beats merging, merging beats relabelling, relabelling beats inserting, summed over the conversation; what then is
+still equal goes to the lower role at a cut and to the first action elsewhere.
 """
 
 from __future__ import annotations
@@ -19,19 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise, small
+
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = ("system", "user", "assistant")
-INF = 1 << 40
+#: Costs stand above the sums of preferences in one number, so that both are minimised at once.
+INF, COST = 1 << 61, 1 << 31
 # Costs of the repairs.
 MERGE, INSERT = 1, 2
 RELABEL = {("system", "user"): 2, ("system", "assistant"): 3, ("user", "assistant"): 3, ("user", "system"): 4, ("assistant", "user"): 3, ("assistant", "system"): 4}
 UNKNOWN = {"user": 1, "assistant": 1, "system": 4}
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-#: Turns of one part: a part covers this many turn numbers.
-PART = 256
+#: Turns and characters of one part at most.
+PART, PART_TEXT = 256, 16 << 20
+SPACE = " \t\n\x0b\f\r"
 
 
 def _inserts(a: int, b: int) -> tuple[int, ...] | None:
@@ -67,8 +75,8 @@ CLOSING = {START: (USER, ASSISTANT), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT
 def step_matrix(role: str | None) -> np.ndarray:
     m = np.full((4, 4), INF, "i8")
     for s in range(4):
-        for cost, _, _, _, t in STEPS[role if role in ROLES else None, s]:
-            m[s, t] = min(m[s, t], cost)
+        for cost, preference, _, _, t in STEPS[role if role in ROLES else None, s]:
+            m[s, t] = min(m[s, t], cost * COST + preference)
     return m
 
 
@@ -96,7 +104,7 @@ def repair(turns: list[tuple[str | None, str]], enter: int, leave: int) -> list[
     to_go = costs_to_go(roles, end)
     out, state = [], enter
     for i, (r, text) in enumerate(turns):
-        cost, _, action, filled, nxt = min(((c + to_go[i + 1][t], p, a, f, t) for c, p, a, f, t in STEPS[r if r in ROLES else None, state]))
+        cost, _, action, filled, nxt = min(((c * COST + p + int(to_go[i + 1][t]), p, a, f, t) for c, p, a, f, t in STEPS[r if r in ROLES else None, state]))
         out += [(k, "", "inserted") for k in filled]
         out.append((nxt, text, action))
         state = nxt
@@ -114,79 +122,183 @@ def render(rows: list[tuple[int, str, str]], closing: tuple[int, ...], first: bo
     return "".join(out)
 
 
-def _matrices(t: pa.Table) -> pa.Table:
-    t = t.sort_by([("turn", "ascending"), ("role", "ascending"), ("text", "ascending")])
+CLOSE = np.array([INSERT * len(CLOSING[s]) * COST for s in range(4)], "i8")
+
+
+def product_of(roles: list[str | None]) -> np.ndarray:
     m = None
-    for r in t["role"].to_pylist():
+    for r in roles:
         x = MATRIX[r if r in ROLES else None]
         m = x if m is None else multiply(m, x)
-    return pa.table({"conv": t["conv"][:1].combine_chunks(), "part": t["part"][:1].combine_chunks(), "m": pa.array([m.ravel().tolist()], pa.list_(pa.int64()))})
+    return m
 
 
-def _states(t: pa.Table) -> pa.Table:
-    """For the parts of one conversation: states at the cuts of the cheapest way through, and the whole cost."""
-    t = t.sort_by("part")
-    ms = [np.array(x, "i8").reshape(4, 4) for x in t["m"].to_pylist()]
-    to_go = [np.array([INSERT * len(CLOSING[s]) for s in range(4)], "i8")]
+class _Cutter:
+    """Cuts the sorted turns of a partition into parts."""
+
+    def __init__(self, most: int):
+        self.most, self.before, self.rows, self.text = most, None, [], 0
+        self.run, self.seq, self.cut, self.out = -1, 0, False, []
+
+    def add(self, row: tuple) -> None:
+        if row == self.before:
+            return
+        if self.before is None or row[0] != self.before[0]:
+            # What lies at an edge of the partition may go on in the next one.
+            self.flush(alone=self.run > 0 and not self.cut)
+            self.run, self.cut = self.run + 1, False
+        elif len(self.rows) >= self.most or self.text + len(row[3]) > PART_TEXT:
+            self.cut = True
+            self.flush(alone=False)
+        self.before = row
+        self.rows.append(row)
+        self.text += len(row[3])
+
+    def flush(self, alone: bool) -> None:
+        if self.rows:
+            roles = [r[2] for r in self.rows]
+            self.out.append((self.rows[0][0], self.run, self.seq, alone, roles, [r[3] for r in self.rows], product_of(roles).ravel().tolist()))
+            self.seq += 1
+        self.rows, self.text = [], 0
+
+
+def _parts(most: int, conv: pa.DataType):
+    kinds = [conv, pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
+    names = ["conv", "pid", "run", "seq", "alone", "roles", "texts", "m"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, pid = _Cutter(most), TaskContext.get().partitionId()
+
+        def told() -> pa.RecordBatch:
+            rows, cutter.out = cutter.out, []
+            cols = list(zip(*rows))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([cols[0], [pid] * len(rows), *cols[1:]], kinds)], names)
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                cutter.add(row)
+                if len(cutter.out) >= 512:
+                    yield told()
+            if cutter.out:
+                yield told()
+        cutter.flush(alone=False)
+        if cutter.out:
+            yield told()
+
+    return run
+
+
+def way(ms: list[np.ndarray], enter: int, end: np.ndarray) -> tuple[list[tuple[int, int]], int]:
+    """The states at both ends of each matrix on the cheapest way from ``enter`` through all, if the states after the last cost ``end``; and its cost."""
+    to_go = [end]
     for m in reversed(ms):
-        to_go.insert(0, np.minimum((m + to_go[0]).min(axis=1), INF))
-    state, enter, leave = START, [], []
+        to_go.append(np.minimum((m + to_go[-1]).min(axis=1), INF))
+    to_go.reverse()
+    state, out = enter, []
     for i, m in enumerate(ms):
         nxt = int((m[state] + to_go[i + 1]).argmin())
-        enter.append(state)
-        leave.append(nxt)
+        out.append((state, nxt))
         state = nxt
-    n = len(ms)
+    return out, int(to_go[0][enter])
+
+
+def _matrix_list(t: pa.Table) -> list[np.ndarray]:
+    return [np.array(x, "i8").reshape(4, 4) for x in t["m"].to_pylist()]
+
+
+def _run_products(t: pa.Table) -> pa.Table:
+    """One matrix for a conversation's parts in one partition."""
+    m = None
+    for x in _matrix_list(t.sort_by("seq")):
+        m = x if m is None else multiply(m, x)
+    return pa.table({"conv": t["conv"][:1].combine_chunks(), "pid": t["pid"][:1].combine_chunks(), "run": t["run"][:1].combine_chunks(), "m": pa.array([m.ravel().tolist()], pa.list_(pa.int64()))})
+
+
+def _run_states(t: pa.Table) -> pa.Table:
+    """For the partitions that a conversation reaches into: its states where it goes from one to the next, and its cost."""
+    t = t.sort_by("pid")
+    states, cost = way(_matrix_list(t), START, CLOSE)
+    n = len(states)
     return pa.table(
         {
-            "conv": t["conv"].combine_chunks(),
-            "part": t["part"].combine_chunks(),
-            "enter": pa.array(enter, pa.int32()),
-            "leave": pa.array(leave, pa.int32()),
-            "last": pa.array([i == n - 1 for i in range(n)]),
+            "pid": t["pid"].combine_chunks(),
+            "run": t["run"].combine_chunks(),
+            "enter": pa.array([s for s, _ in states], pa.int32()),
+            "leave": pa.array([s for _, s in states], pa.int32()),
             "first": pa.array([i == 0 for i in range(n)]),
-            "cost": pa.array([int(to_go[0][START])] * n, pa.int64()),
+            "last": pa.array([i == n - 1 for i in range(n)]),
+            "cost": pa.array([cost // COST] * n, pa.int64()),
         }
     )
 
 
-def _rendered(left: pa.Table, right: pa.Table) -> pa.Table:
-    left = left.sort_by([("turn", "ascending"), ("role", "ascending"), ("text", "ascending")])
-    s = right.to_pylist()[0]
-    rows = repair(list(zip(left["role"].to_pylist(), left["text"].to_pylist())), s["enter"], s["leave"])
-    closing = CLOSING[s["leave"]] if s["last"] else ()
-    text = render(rows, closing, s["first"]) + ("<|end|>\n" if s["last"] else "")
-    actions = [a for _, _, a in rows]
+def _part_states(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The same for the parts within one partition, between the states at its ends."""
+    left, s = left.sort_by("seq"), right.to_pylist()[0]
+    end = np.full(4, INF, "i8")
+    end[s["leave"]] = 0
+    states, _ = way(_matrix_list(left), s["enter"], end)
+    n = len(states)
     return pa.table(
         {
-            "conv": pa.array([s["conv"]], left.schema.field("conv").type),
-            "part": pa.array([s["part"]], pa.int64()),
-            "n_turns": pa.array([len(actions) - actions.count("inserted")], pa.int64()),
-            "n_merged": pa.array([sum(a.endswith("merge") for a in actions)], pa.int64()),
-            "n_relabelled": pa.array([sum(a.startswith("relabel") for a in actions)], pa.int64()),
-            "n_inserted": pa.array([actions.count("inserted") + len(closing)], pa.int64()),
-            "cost": pa.array([s["cost"]], pa.int64()),
-            "rendered": pa.array([text], pa.string()),
+            "pid": left["pid"].combine_chunks(),
+            "seq": left["seq"].combine_chunks(),
+            "enter": pa.array([a for a, _ in states], pa.int32()),
+            "leave": pa.array([b for _, b in states], pa.int32()),
+            "first": pa.array([s["first"] and i == 0 for i in range(n)]),
+            "last": pa.array([s["last"] and i == n - 1 for i in range(n)]),
+            "cost": pa.array([s["cost"]] * n, pa.int64()),
         }
     )
 
 
+def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["conv_id", "part", "n_turns", "n_merged", "n_relabelled", "n_inserted", "cost", "rendered"]
+    for b in batches:
+        for lo in range(0, b.num_rows, 256):
+            some, out = b.slice(lo, 256), []
+            for r in some.to_pylist():
+                if r["enter"] is None:
+                    ((enter, leave),), cost = way([np.array(r["m"], "i8").reshape(4, 4)], START, CLOSE)
+                    r |= {"enter": enter, "leave": leave, "first": True, "last": True, "cost": cost // COST}
+                rows = repair(list(zip(r["roles"], r["texts"])), r["enter"], r["leave"])
+                closing = CLOSING[r["leave"]] if r["last"] else ()
+                text = render(rows, closing, r["first"]) + ("<|end|>\n" if r["last"] else "")
+                actions = [x for _, _, x in rows]
+                added = actions.count("inserted")
+                out.append((r["pid"] << 40 | r["seq"], len(actions) - added, sum(x.endswith("merge") for x in actions), sum(x.startswith("relabel") for x in actions), added + len(closing), r["cost"], text))
+            kinds = [pa.int64()] * 6 + [pa.string()]
+            yield pa.RecordBatch.from_arrays([some.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
+
+
+STATES = "enter int, leave int, first boolean, last boolean, cost long"
+
+
 def format_chats(chats: DataFrame, part: int = PART) -> DataFrame:
     """Repair and render every conversation of (conv_id, turn, role, text).
 
-    A row for each part of a conversation (``part`` turn numbers; almost always one): conv_id, part, n_turns, n_merged, n_relabelled,
-    n_inserted, cost (of the whole conversation) and rendered.  The parts' texts in order are the conversation.
+    A row for each part of a conversation (almost always one): conv_id, part, n_turns, n_merged, n_relabelled, n_inserted, cost (of
+    the whole conversation) and rendered.  The texts of a conversation's parts, in the order of ``part``, are the conversation.
     """
-    turn = F.col("turn").cast("long")
+    spark = chats.sparkSession
     rows = chats.select(
         F.col("conv_id").alias("conv"),
-        F.coalesce(F.floor(turn / part), F.lit(-(1 << 40))).cast("long").alias("part"),
-        F.coalesce(turn, F.lit(-(1 << 62))).alias("turn"),
-        F.coalesce(F.lower(F.trim(F.col("role").cast("string"))), F.lit("")).alias("role"),
+        F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))).alias("turn"),
+        F.coalesce(F.lower(F.btrim(F.col("role").cast("string"), F.lit(SPACE))), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).distinct()
+    )
     kind = dict(rows.dtypes)["conv"]
-    matrices = rows.groupBy("conv", "part").applyInArrow(_matrices, f"conv {kind}, part long, m array<long>")
-    states = matrices.groupBy("conv").applyInArrow(_states, f"conv {kind}, part long, enter int, leave int, last boolean, first boolean, cost long")
-    out = rows.groupBy("conv", "part").cogroup(states.groupBy("conv", "part")).applyInArrow(_rendered, f"conv {kind}, part long, n_turns long, n_merged long, n_relabelled long, n_inserted long, cost long, rendered string")
-    return out.withColumnRenamed("conv", "conv_id")
+    arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    if arrow == pa.string() and kind != "string":
+        rows, kind = rows.withColumn("conv", F.col("conv").cast("string")), "string"
+    order = ["conv", "turn", "role", "text"]
+    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    schema = f"conv {kind}, pid int, run long, seq long, alone boolean, roles array<string>, texts array<string>, m array<long>"
+    parts = materialise(rows.mapInArrow(_parts(part, arrow), schema), "chat-parts")
+    opened = parts.where(~F.col("alone")).select("conv", "pid", "run", "seq", "m")
+    runs = opened.groupBy("pid", "run").applyInArrow(_run_products, f"conv {kind}, pid int, run long, m array<long>")
+    ends = runs.groupBy("conv").applyInArrow(_run_states, f"pid int, run long, {STATES}")
+    states = opened.groupBy("pid", "run").cogroup(ends.groupBy("pid", "run")).applyInArrow(_part_states, f"pid int, seq long, {STATES}")
+    states = small(materialise(states, "chat-states"))
+    out = parts.join(states, ["pid", "seq"], "left").select("conv", "pid", "seq", "roles", "texts", "m", "enter", "leave", "first", "last", "cost")
+    return out.mapInArrow(_rendered, f"conv_id {kind}, part long, n_turns long, n_merged long, n_relabelled long, n_inserted long, cost long, rendered string")

@@ -205,6 +205,57 @@ def test_chat_query(spark):
     assert {r["conv_id"]: r["cost"] for r in queries.op8_chat_formatting(spark, SF).collect()} == want
 
 
+def test_chat_rendering(spark):
+    """Whatever the parts, the repaired conversation is legal, keeps all texts in order, and its counts add up to the least cost."""
+    rng = np.random.default_rng(5)
+    names = ["system", "user", "assistant", "tool", None, " User\t"]
+    chats = {c: [(t // 2 if c % 3 else None, names[rng.integers(6)], f"{c}.{t:03d}") for t in range(int(rng.integers(1, 40)))] for c in range(40)}
+    chats[None] = [(1, "user", "n.000"), (1, "user", "n.000"), (2, "user", "n.001")]
+    rows = [(c, t, r, x, "clash") for c, turns in chats.items() for t, r, x in turns]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part string").repartition(5)
+    texts = {}
+    for part in (3, 256):
+        out = chat_format.format_chats(df, part).toPandas().sort_values("part")
+        assert out.groupby("conv_id", dropna=False).part.count().max() > (10 if part == 3 else 0)
+        for c, turns in chats.items():
+            mine = out[out.conv_id.isna()] if c is None else out[out.conv_id == c]
+            text = "".join(mine.rendered)
+            clean = lambda r: (r or "").strip().lower()
+            ordered = sorted({(-1 if t is None else t, clean(r), x) for t, r, x in turns})
+            assert text.endswith("<|end|>\n")
+            blocks = [b.split("\n", 1) for b in text.removesuffix("<|end|>\n").split("<|end|>\n")]
+            roles = [b[0].strip("<|>") for b in blocks]
+            body = roles[1:] if roles[0] == "system" else roles
+            assert body == ["user", "assistant"] * (len(body) // 2) and body
+            assert [x for b in blocks for x in b[1].split("\n") if x] == [x for _, _, x in ordered]
+            assert set(mine.cost) == {B.chat_cost([r for _, r, _ in ordered], chat_format)}
+            assert mine.n_turns.sum() == len(ordered)
+            assert texts.setdefault(c, sum(mine.n_inserted)) == sum(mine.n_inserted)
+
+
+def test_chats_of_an_empty_table(spark):
+    assert chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_filters_keep_columns_whatever_their_names(spark):
+    schema = "doc_id long, text string, _key string, _d long, _t long, _th string, _doc long, _dropped long, _lines string, _toxicity double, line_kept string, component_id long"
+    text = "a shared line of some length\nmore words here to keep it going on and on and on until there are thirteen of them"
+    own = ("k", 1, 2, "th", 3, 4, "lines", 0.5, "kept", 9)
+    docs = spark.createDataFrame([(i, text if i < 3 else t, *own) for i, t in [(1, ""), (2, ""), (3, None), (4, "")]], schema)
+    items = spark.createDataFrame([(1, "more words here to keep it going on and on and on until there are thirteen of them")], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    made = {
+        "toxicity": (toxicity.reject_toxic(docs, labels), {1, 2, 3, 4}),
+        "lines": (line_dedup.drop_repeated_lines(docs), {1, 2, 3, 4}),
+        "copies": (jaccard_join.keep_one(docs), {1, 3, 4}),
+        "benchmark": (winnowing.drop_contaminated(docs, items), {3, 4}),
+    }
+    for name, (df, ids) in made.items():
+        rows = df.collect()
+        assert df.columns == docs.columns, name
+        assert {r["doc_id"] for r in rows} == ids and all(tuple(r)[2:] == own for r in rows), name
+
+
 def test_arrow_file_random_access(tmp_path):
     path = str(tmp_path / "shard.arrow")
     with pa.OSFile(path, "wb") as sink:
