@@ -127,7 +127,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 3, fanout:
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(th, F.xxhash64(text))
     drops = drops.select(F.col("doc").alias(doc), F.col("th").alias(th), F.col("dropped").alias(dropped))
-    both = keyed.join(drops, [doc, th], "left").withColumn(lines, F.split(text, "\n", -1))
+    # Merged at every size: the drops grow with the documents and their lists have no bound, so no estimate may broadcast them.
+    both = keyed.join(drops.hint("merge"), [doc, th], "left").withColumn(lines, F.split(text, "\n", -1))
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
     kept = F.when(F.col(dropped).isNull(), text).otherwise(F.array_join(F.transform(F.array_sort(places), lambda i: F.get(F.col(lines), i)), "\n"))
     return both.select(
