@@ -1,11 +1,12 @@
 """Token counts by a two-tier lookup on the map side, without any shuffle of pre-tokens.
 
 Tier 1 is a compact table of frequent pre-tokens and their lengths in tokens, fitted on a bounded sample and broadcast.  Tier 2
-is each worker's cache; what neither tier holds is encoded by the library, once for each distinct pre-token of a batch.
+is each worker's cache, which serves all its tasks; what neither tier holds is encoded by the library, once for each distinct pre-token of a batch.
 Texts are cut at spaces and line ends, which the vocabulary's pre-tokenizer always drops, so the lengths of the parts add up.
 
 Defined results: null is the empty text: 0 bytes, 0 tokens.  Strings of special tokens inside texts count as the library
-takes them by default (one token).
+takes them by default (one token).  Very long texts are counted whole; each row is counted by itself, so ties, repeated rows and repeated
+ids change nothing; an empty table gives an empty table; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED = 1_000_000
+#: Bounds of a worker's cache: entries, and characters of an entry; longer parts are encoded anew in each batch.
+CACHED, LONGEST = 1_000_000, 128
 
 
 def load(path: str):
@@ -54,33 +58,46 @@ def frequent_lengths(docs: DataFrame, path: str, entries: int = 50_000, sample_r
     return " ".join(words), bytes(min(n, 255) for n in lens)
 
 
-def counter(path: str, frequent: tuple[str, bytes]):
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t, whole = load(path), not drops_spaces(path)
-        tier1 = {w: n for w, n in zip(frequent[0].split(" "), frequent[1]) if n < 255}
-        tier1[""] = 0
-        cache = dict(tier1)
-
-        def count(texts: list[str]) -> list[int]:
-            nonlocal cache
-            if whole:
-                return [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
-            parts = [x.replace("\n", " ").split(" ") for x in texts]
-            new = set()
-            for p in parts:
-                new.update(p)
-            if len(cache) > CACHED:
-                cache = dict(tier1)
-            new.difference_update(cache)
-            if new:
-                new = list(new)
-                cache.update(zip(new, [len(e.ids) for e in t.encode_batch(new, add_special_tokens=False)]))
-            return [sum(map(cache.__getitem__, p)) for p in parts]
+class WorkerLengths:
+    """What a worker holds for all its tasks: the library, tier 1, and tier 2, the lengths of what it had to encode."""
+
+    def __init__(self, path: str, frequent: tuple[str, bytes]):
+        self.t, self.whole = load(path), not drops_spaces(path)
+        self.tier1 = {w: n for w, n in zip(frequent[0].split(" "), frequent[1]) if n < 255}
+        self.tier1[""] = 0
+        self.cache = dict(self.tier1)
+
+    def encoded(self, texts: list[str]) -> list[int]:
+        return [len(e.ids) for e in self.t.encode_batch(texts, add_special_tokens=False)]
+
+    def count(self, texts: list[str]) -> list[int]:
+        if self.whole:
+            return self.encoded(texts)
+        parts = [x.replace("\n", " ").split(" ") for x in texts]
+        if len(self.cache) > CACHED:
+            self.cache = dict(self.tier1)
+        new = list(set().union(*parts).difference(self.cache))
+        lengths = dict(zip(new, self.encoded(new)))
+        self.cache.update(lengths)
+        out = [sum(map(self.cache.__getitem__, p)) for p in parts]
+        for w in lengths:
+            if len(w) > LONGEST:
+                del self.cache[w]
+        return out
 
+
+@lru_cache(maxsize=2)
+def worker_lengths(path: str, frequent: Broadcast) -> WorkerLengths:
+    return WorkerLengths(path, frequent.value)
+
+
+def counter(path: str, frequent: Broadcast):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = worker_lengths(path, frequent)
         for s in batches:
             texts, out = [x or "" for x in s], []
             for lo in range(0, len(texts), 1024):
-                out += count(texts[lo : lo + 1024])
+                out += held.count(texts[lo : lo + 1024])
             yield pd.Series(out, dtype="int64")
 
     return run
@@ -89,7 +106,7 @@ def counter(path: str, frequent: tuple[str, bytes]):
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, frequent: tuple[str, bytes] | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) of every whole text."""
     frequent = frequent_lengths(docs, path) if frequent is None else frequent
-    lengths = F.pandas_udf(_typed(counter(path, frequent)), "long")
+    lengths = F.pandas_udf(_typed(counter(path, docs.sparkSession.sparkContext.broadcast(frequent))), "long")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     out = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), lengths(text).alias("n_tokens"))
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
