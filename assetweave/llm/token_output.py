@@ -7,7 +7,8 @@ ends (the documents that end in the sequence, and where).  Buffers are not compr
 gets any sequence without a copy.  A file is written under a temporary name and moved, so a task that runs again does no harm.
 
 Defined results: null is the empty text and has the end id only; a null ``doc_id`` comes first; rows that repeat a ``doc_id`` are
-ordered by a hash of their text.
+ordered by a hash of their text; very long texts are encoded whole and cross sequences; an empty table gives a folder without shards
+and an empty table; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -157,9 +158,9 @@ class ShardWriter:
         self.file.close()
 
 
-def documents_of(content: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
-    """The documents of a shard, in order: id, and all its ids with the end id."""
-    f = pa.ipc.open_file(pa.BufferReader(content))
+def documents_of(source) -> Iterator[tuple[int | None, np.ndarray]]:
+    """The documents of a shard, in order: id, and all its ids with the end id.  Holds a batch and a document at a time."""
+    f = pa.ipc.open_file(source)
     open_part = []
     for i in range(f.num_record_batches):
         b = f.get_batch(i)
@@ -228,19 +229,29 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 0, seq_len: int
     return folder, manifest.withColumn("start", F.coalesce(before, F.lit(0)))
 
 
-def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            shard, out, at = int(name.rsplit("-", 1)[1].split(".")[0]), [], 0
-            for d, ids in documents_of(content):
-                out.append((d, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                at += len(ids)
-            cols = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(out), pa.int32()), *(pa.array(c, pa.int64()) for c in cols)], ["shard", "doc_id", "place", "n_tokens", "ids_crc32"])
+def _read_shards(folder: str, rows: int = 4096):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+        fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+        for b in batches:
+            for shard, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with fs.open_input_file(f"{at}/shard-{shard:06d}.arrow") as source:
+                    docs = documents_of(source)
+                    while part := list(islice(docs, rows)):
+                        out = []
+                        for d, ids in part:
+                            out.append((d, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                            start += len(ids)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
+
+    return run
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and crc32 of its ids (as 32-bit integers), from the files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.arrow").load(folder).select("path", "content")
-    docs = files.mapInArrow(_read_shards, "shard int, doc_id long, place long, n_tokens long, ids_crc32 long")
-    return docs.join(manifest.select("shard", "start"), "shard").select("doc_id", (F.col("start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    """doc_id, start (ids of all documents before it), n_tokens and crc32 of its ids (as 32-bit integers), from the files.
+
+    Tasks open the shards that the manifest names and read them batch by batch, so a shard may be larger than memory.
+    """
+    shards = manifest.select("shard", "start")
+    dealt = shards.repartition(max(shards.count(), 1))
+    return dealt.mapInArrow(_read_shards(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
