@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,19 @@ class ByteLevelEncoder:
     def learn(self, parts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.t.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def fill(self, cache: dict[str, bytes], new: set[str], lead: str) -> None:
+        """Add the ids of new parts; punctuation behind a letter is a pre-token of its own, so such a part is its stem's ids and its tail's."""
+        stems = {}
+        for p in new:
+            stem = p.rstrip(punctuation)
+            if stem and len(stem) < len(p) and stem[-1] < "\u0250" and stem[-1].isalpha():
+                stems[p] = stem
+        whole = list(new.difference(stems).union(set(stems.values()).difference(cache)))
+        cache.update(zip(whole, self.learn([lead + x for x in whole])))
+        tails = list({p[len(stem) :] for p, stem in stems.items()})
+        ids = dict(zip(tails, self.learn(tails)))
+        cache.update((p, cache[stem] + ids[p[len(stem) :]]) for p, stem in stems.items())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self.plain(x) for x in texts]
         lines = [[p.split(" ") for p in x.split("\n")] if ok else None for x, ok in zip(texts, plain)]
@@ -76,9 +90,8 @@ class ByteLevelEncoder:
             for p in doc or ():
                 heads.add(p[0])
                 tails.update(p[1:])
-        heads, tails = list(heads.difference(self.first)), list(tails.difference(self.after))
-        self.first.update(zip(heads, self.learn(heads)))
-        self.after.update(zip(tails, self.learn([" " + x for x in tails])))
+        self.fill(self.first, heads.difference(self.first), "")
+        self.fill(self.after, tails.difference(self.after), " ")
         first, after, out = self.first, self.after, []
         for text, doc in zip(texts, lines):
             if doc is None:

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from assetweave.llm import chat_format, jaccard_join, line_dedup, lm_scoring, media_audio, queries, sentencepiece_codec, sql, token_output, toxicity, winnowing
+from assetweave.llm import chat_format, jaccard_join, line_dedup, lm_scoring, media_audio, queries, sentencepiece_codec, sql, token_counts, token_output, toxicity, winnowing
 
 from . import brute as B
 
@@ -269,10 +269,28 @@ def test_arrow_file_random_access(tmp_path):
         ids, mask = token_output.sequence_at(source, 3, rows=2)
         assert ids.tolist() == flat[24:32].tolist() and mask.all()
     with open(path, "rb") as f:
-        again = dict(token_output.documents_of(f.read()))
+        again = dict(token_output.documents_of(f))
     assert all((again[i] == x).all() for i, x in docs)
 
 
+def test_byte_level_encoder_equals_library():
+    path = tokenizer("byte_bpe_50k.json")
+    e, library = token_output.ByteLevelEncoder(path), token_output.load(path)
+    texts = ["Word, word. word!! it's its' 'tis don't, don't", "été, Ünï... naïve$$$\n12, a1, 1a. x\u0301, \u4e2d, ?!", "(word) [a], , . ... word'", " word,  word", "a<|endoftext|>, b", ""]
+    for _ in range(2):  # the second time from the cache
+        got = [np.frombuffer(x, e.type).tolist() for x in e.encode(texts)]
+        assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_worker_lengths_equal_library_and_stay_bounded():
+    path = tokenizer("word_bpe_49k.json")
+    w, library = token_counts.WorkerLengths(path, ("the of", bytes([1, 1]))), token_counts.load(path)
+    texts = ["The of\nthe", "x" * 1000 + " of", "x" * 1000 + " " + "y" * 500, "<|endoftext|> a<|endoftext|>b", "\u00a0 a\tb", ""]
+    for _ in range(2):
+        assert w.count(texts) == [len(library.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert max(map(len, w.cache)) <= token_counts.LONGEST
+
+
 def test_telephony_codings():
     codes = np.arange(256, dtype="u1").tobytes()
     for tag, table in ((media_audio.MULAW, media_audio.MULAW_PCM), (media_audio.ALAW, media_audio.ALAW_PCM)):
