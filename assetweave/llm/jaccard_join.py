@@ -96,6 +96,8 @@ def _frequency_keys(n: int, bits: int):
     return keys
 
 
+#: Bounds what a task holds of texts and n-grams at once.
+BLOCK_TOKENS = 1_000_000
 PROFILE = "doc_id long, set_id binary, n long, alone long, sketch array<long>, prefix array<long>, segments array<array<long>>"
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -226,7 +228,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     Two texts link if 100 * overlap >= percent * union of their sets of word n-grams.
     """
-    blocks = materialise(K.token_blocks(docs), "blocks")
+    blocks = materialise(K.token_blocks(docs, BLOCK_TOKENS), "blocks")
     total = blocks.agg(F.sum("n")).first()[0] or 0
     bits = min(64, max(32, int(total).bit_length() + 9))
     asked = K.ask(blocks, _frequency_keys(n, bits), K.shards_for(total))

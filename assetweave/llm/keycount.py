@@ -57,17 +57,17 @@ class _Open:
     """A block that is being filled."""
 
     def __init__(self):
-        self.ids, self.lens, self.words = [], [], []
+        self.ids, self.lens, self.hashes, self.n = [], [], [], 0
 
     def add(self, doc_id: int | None, words: list[bytes]) -> None:
         self.ids.append(doc_id)
         self.lens.append(len(words))
-        self.words += words
+        self.hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, words), "u8", len(words)))
+        self.n += len(words)
 
     def row(self, block: int, part: int) -> pa.RecordBatch:
-        h = np.fromiter(map(xxhash.xxh64_intdigest, self.words), "u8", len(self.words))
-        vocab, local = np.unique(h, return_inverse=True)
-        row = [[block], [part], [len(self.words)], [self.ids], [self.lens], [pack_sorted(vocab)], [pack(local)]]
+        vocab, local = np.unique(np.concatenate(self.hashes), return_inverse=True)
+        row = [[block], [part], [self.n], [self.ids], [self.lens], [pack_sorted(vocab)], [pack(local)]]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds)], ["block", "part", "n", "doc_ids", "lens", "vocab", "ids"])
 
@@ -79,7 +79,7 @@ def _blocks(max_tokens: int):
             for i, t, part in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
                 one = parts.setdefault(part, _Open())
                 one.add(i, t.lower().split() if t else [])
-                if len(one.words) >= max_tokens or len(one.ids) >= BLOCK_TEXTS:
+                if one.n >= max_tokens or len(one.ids) >= BLOCK_TEXTS:
                     yield parts.pop(part).row(2 * block + part, part)
                     block += 1
         for part, one in parts.items():
