@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, jaccard_join, line_dedup, lm_scoring, media_audio, sentencepiece_codec, token_counts, token_output, toxicity, winnowing
+from . import chat_format, harmonic_packing, jaccard_join, line_dedup, lm_scoring, media_audio, merkle_manifest, sentencepiece_codec, token_counts, token_output, toxicity, winnowing, yinyang_clusters
 from .common import crc_mod, read_table
 
 
@@ -68,6 +68,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.tamper_check(read_table(spark, sf_dir, "documents"))
+
+
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = harmonic_packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op13_yinyang_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yinyang_clusters.clusters_with_inertia(read_table(spark, sf_dir, "embeddings")).drop("scans")
+
+
 def queries() -> dict:
     ops = (
         op1_lm_scoring,
@@ -80,5 +93,8 @@ def queries() -> dict:
         op8_chat_formatting,
         op9_line_dedup,
         op10_benchmark_decontamination,
+        op11_merkle_manifest,
+        op12_harmonic_packing,
+        op13_yinyang_clusters,
     )
     return {f.__name__: f for f in ops}

@@ -68,4 +68,69 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN cover ON cover.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
 """
 
-SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_benchmark_decontamination": OP10}
+FIELD = "coalesce(concat(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR), ':', CAST({0} AS VARCHAR)), '-')"
+LEAF = "sha256(concat(" + ", ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + "))"
+#: crc32 of short ASCII text: eight shifts for each byte, by the reflected polynomial.
+SHIFTED = "list_reduce(list_concat([xor(a, b)], [CAST(0 AS BIGINT) for i in range(8)]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+CRC = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(ord(x) AS BIGINT) for x in string_split({{0}}, '')]), lambda a, b: {SHIFTED}), 4294967295)"
+
+OP11 = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {LEAF.format(text="text")} AS leaf,
+    CASE WHEN doc_id IS NULL OR {CRC.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {LEAF.format(text=_lower("text"))} END AS tampered
+  FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaf),
+node AS (
+  SELECT 0 AS lvl, g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM placed
+  UNION ALL
+  SELECT lvl + 1, g, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM node WHERE n > 1 GROUP BY lvl, g, pos // 16, n
+),
+sub AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS gpos FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, gpos AS pos, subroot AS h, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, pos // 16, n
+),
+every AS (SELECT lvl, g, pos, h FROM node WHERE n > 1 UNION ALL SELECT 1000 + lvl, NULL, pos, h FROM top WHERE n > 1),
+sibling AS (
+  SELECT a.lvl, a.g, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM every a JOIN every b ON a.lvl = b.lvl AND a.g IS NOT DISTINCT FROM b.g AND a.pos // 16 = b.pos // 16 GROUP BY ALL
+),
+step AS (
+  SELECT p.g, p.pos, row_number() OVER (PARTITION BY p.g, p.pos ORDER BY s.lvl) AS k, s.l, s.r FROM placed p JOIN sub USING (g) JOIN sibling s
+    ON (s.g = p.g AND s.pos = p.pos // CAST(pow(16, least(s.lvl, 15)) AS BIGINT)) OR (s.g IS NULL AND s.pos = sub.gpos // CAST(pow(16, least(s.lvl - 1000, 15)) AS BIGINT))
+),
+folded AS (
+  SELECT g, pos, CAST(0 AS BIGINT) AS k, coalesce(tampered, leaf) AS h FROM placed
+  UNION ALL
+  SELECT f.g, f.pos, s.k, sha256(concat(s.l, f.h, s.r)) FROM folded f JOIN step s ON s.g = f.g AND s.pos = f.pos AND s.k = f.k + 1
+),
+proof AS (SELECT g, pos, sha256(string_agg(concat(l, r), '' ORDER BY k)) AS proof, max(k) AS steps FROM step GROUP BY g, pos)
+SELECT p.doc_id, p.leaf, sub.subroot, (SELECT h FROM top WHERE n = 1) AS root, coalesce(proof.proof, sha256('')) AS proof_sha256, f.h AS folded_root,
+  f.h = (SELECT h FROM top WHERE n = 1) AS verified
+FROM placed p JOIN sub USING (g) LEFT JOIN proof ON proof.g = p.g AND proof.pos = p.pos JOIN folded f ON f.g = p.g AND f.pos = p.pos AND f.k = coalesce(proof.steps, 0)
+"""
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """The rounds written out, each with all distances; whole numbers in doubles, which hold them exactly."""
+    dot = "list_inner_product({0}, {1})"
+    nearest = f"SELECT vec_no, min({{{{'d': {dot.format('v.x', 'v.x')} - 2 * {dot.format('v.x', 'c.x')} + {dot.format('c.x', 'c.x')}, 'c': c.c}}}}) AS best FROM vec v CROSS JOIN centre{{0}} c GROUP BY vec_no"
+    out = [
+        "vec AS MATERIALIZED (SELECT row_number() OVER () AS vec_no, vec_id, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: coalesce(isfinite(e), false))) = 64)",
+        f"centre0 AS MATERIALIZED (SELECT c, x FROM (SELECT row_number() OVER (ORDER BY sha256(concat('2:', coalesce(CAST(vec_id AS VARCHAR), ''))), x) - 1 AS c, x FROM vec) WHERE c < {k})",
+    ]
+    for i in range(rounds):
+        out.append(f"near{i} AS MATERIALIZED ({nearest.format(i)})")
+        out.append(f"sum{i} AS (SELECT c, p, floor(sum(v) / count(*)) AS v FROM (SELECT n.best.c AS c, unnest(x) AS v, generate_subscripts(x, 1) AS p FROM vec JOIN near{i} n USING (vec_no)) GROUP BY c, p)")
+        out.append(f"centre{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM centre{i} c LEFT JOIN (SELECT c, list(v ORDER BY p) AS x FROM sum{i} GROUP BY c) m ON m.c = c.c)")
+    out.append(f"last AS MATERIALIZED ({nearest.format(rounds)})")
+    return f"""
+WITH {", ".join(out)}
+SELECT vec_id, CAST(l.best.c AS INTEGER) AS cluster, CAST(l.best.d AS BIGINT) AS distance, CAST(sum(l.best.d) OVER (PARTITION BY l.best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(l.best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c.x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM vec JOIN last l USING (vec_no) JOIN centre{rounds} c ON c.c = l.best.c
+"""
+
+
+SQL: dict[str, str] = {"op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_benchmark_decontamination": OP10, "op11_merkle_manifest": OP11, "op13_yinyang_clusters": _clusters()}
