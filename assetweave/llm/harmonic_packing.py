@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .token_output import encoder_of
+from .byte_pairs import rank_encoder
 
 CAPACITY, WASTE = 2048, 0.01
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
@@ -101,15 +101,13 @@ class Bins:
 
 def _pack(path: str, end_id: int, capacity: int, waste: float, flush: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of(path), np.array([end_id], "<u4")
+        encoder, end = rank_encoder(path), np.array([end_id], "<u4")
         bins = Bins(capacity, waste, TaskContext.get().partitionId() << 33)
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                for d, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
-                    bins.add(d, np.concatenate([np.frombuffer(ids, encoder.type).astype("<u4"), end]))
-                    if bins.size >= flush:
-                        yield bins.taken()
+            for d, text in zip(b.column(0), b.column(1)):
+                bins.add(d.as_py(), np.concatenate([encoder.encode(text.as_py()), end]))
+                if bins.size >= flush:
+                    yield bins.taken()
         bins.finish()
         if bins.done:
             yield bins.taken()

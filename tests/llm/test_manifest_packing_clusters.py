@@ -12,7 +12,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from assetweave.llm import harmonic_packing, merkle_manifest, queries, sql, yinyang_clusters
+from assetweave.llm import byte_pairs, harmonic_packing, merkle_manifest, queries, sql, yinyang_clusters
 
 from .brute import UP
 
@@ -171,6 +171,20 @@ def test_packing_of_edge_rows(spark, tmp_path, partitions):
     check_packing(queries.op12_harmonic_packing(spark, str(tmp_path)).collect(), encoded(rows))
 
 
+def test_rank_encoder_gives_the_librarys_ids():
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    e, t = byte_pairs.RankEncoder(path), tokenizers.Tokenizer.from_file(path)
+    assert e.by_rank is not None
+    letters = [*map(chr, range(0x250)), *map(chr, range(0x2010, 0x203B)), "\u20ac", "\u0416", "\U0001f600", "\u4e2d", "\u3000"]
+    texts = [f.format(c) for c in letters for f in ("a{0}b", "{0}", " {0} {0}  {0}{0}\n{0}", "x{0}'s{0}'{0}s", "1{0}1 {0}a\t{0}.", "  {0}a")]
+    rng = random.Random(6)
+    texts += ["".join(rng.choices(letters + [" "] * 60 + ["\n"] * 20, k=rng.randint(0, 40))) for _ in range(5000)]
+    texts += ["", "<|endoftext|> a", "a " * 30_000, " " * 30_000 + "x", "ab" * 100_000]
+    for x in texts:
+        assert e.encode(x).tolist() == t.encode(x, add_special_tokens=False).ids, x[:50]
+    assert byte_pairs.ranks_of(queries.tokenizer_file("word_bpe_49k.json")) is None
+
+
 @pytest.mark.parametrize("capacity", [7, 64, 2048])
 def test_cut_covers_every_length_with_nearly_full_pieces(capacity):
     for n in range(3 * capacity):
