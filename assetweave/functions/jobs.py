@@ -107,9 +107,15 @@ def fetch_outcome(status: Column, declared: Column, actual: Column, most: int =
 
 
 def with_retry_param(url: Column, n: Column) -> Column:
-    """?_retry=n added or replaced."""
-    bare = F.regexp_replace(F.regexp_replace(url, r"([?&])_retry=\d+(&|$)", "$1"), r"[?&]$", "")
-    return F.concat(bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("_retry="), n.cast("string"))
+    """The parameter _retry=n: in the place of the first that is there, further ones go, else behind the others; a fragment stays last."""
+    fragment = F.regexp_extract(url, r"(?s)(#.*)$", 1)
+    plain = F.regexp_replace(url, r"(?s)#.*$", "")
+    param = F.concat(F.lit("_retry="), n.cast("string"))
+    path, query = F.substring_index(plain, "?", 1), F.regexp_extract(plain, r"(?s)\?(.*)$", 1)
+    first = F.regexp_replace(query, F.lit(r"(?s)^((?:(?!_retry=)[^&]*&)*?)_retry=[^&]*"), F.concat(F.lit("$1"), F.lit("\u0001")))
+    rest = F.regexp_replace(first, r"(?<=&)_retry=[^&]*(&|$)", "")
+    kept = F.regexp_replace(F.replace(rest, F.lit("\u0001"), param), "&$", "")
+    return F.concat(path, F.lit("?"), F.when(query == "", param).when(first.contains("\u0001"), kept).otherwise(F.concat(query, F.lit("&"), param)), fragment)
 
 
 def contents_url(base: Column, exempt: tuple[str, ...] = ()) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ DIGEST_CHARS = 32
 MAX_DETAIL = 256
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def extension(file: Column) -> Column:
     """Lower-case text from the last dot of the whole path, '' without one."""
     return F.lower(F.regexp_extract(file, r"(?s)(\.[^.]*)$", 1))
@@ -67,10 +74,19 @@ def json_digest(pairs: Column) -> Column:
     """
     units = lambda c: F.hex(F.encode(c, "UTF-16BE"))
     keyed = F.transform(pairs, lambda e: F.struct(units(e["file"]).alias("f"), units(e["hash"]).alias("h"), e["file"].alias("file"), e["hash"].alias("hash")))
-    text = F.to_json(F.transform(F.array_sort(keyed), lambda e: F.array(e["file"], e["hash"])))
-    for big in "ABCDEF":
-        # Behind an even number of backslashes only: else it is a backslash and plain text.
-        text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\u00([01]){big}", rf"$1\\u00$2{big.lower()}")
+    beyond = lambda c: c.rlike(r"[\x{10000}-\x{10FFFF}]")
+    # Without characters beyond the basic plane the order of UTF-8 is that of UTF-16.
+    odd = F.exists(pairs, lambda e: beyond(e["file"]) | beyond(e["hash"]))
+    tuples = lambda rows: F.transform(F.array_sort(rows), lambda e: F.array(e["file"], e["hash"]))
+
+    def escaped(text: Column) -> Column:
+        low = text
+        for big in "ABCDEF":
+            # Behind an even number of backslashes only: else it is a backslash and plain text.
+            low = F.regexp_replace(low, rf"(?<!\\)((?:\\\\)*)\\u00([01]){big}", rf"$1\\u00$2{big.lower()}")
+        return F.when(text.contains("\\u00"), low).otherwise(text)
+
+    text = bound(F.to_json(F.when(odd, tuples(keyed)).otherwise(tuples(pairs))), escaped)
     return F.substring(F.sha2(text, 256), 1, DIGEST_CHARS)
 
 
@@ -192,7 +208,11 @@ def skip_detail(text: Column, most: int = MAX_DETAIL) -> Column:
 
 
 def url_encoded_key(key: Column) -> Column:
-    return F.replace(F.replace(F.url_encode(key), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
+    """Percent-encoded but for '/' and the marks that a URI component keeps."""
+    out = F.replace(F.url_encode(key), F.lit("+"), F.lit("%20"))
+    for mark in "/!'()~":
+        out = F.replace(out, F.lit(f"%{ord(mark):02X}"), F.lit(mark))
+    return out
 
 
 def is_glb(content: Column) -> Column:

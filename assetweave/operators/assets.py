@@ -39,30 +39,14 @@ def set_digest(content: DataFrame, keys: list[str]) -> DataFrame:
     return content.groupBy(*keys).agg(N.json_digest(F.collect_list(pair)).alias("digest"))
 
 
-def asset_digests(assets: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-asset digests over resolved references.
-
-    ``assets`` has ``keys``; ``refs`` has them with uri_file and dep (null: nothing of that name).  One missing
-    reference skips the asset, with the first in order of names as detail.  Columns: keys, digest, skipped, detail.
-    """
-    pairs = F.collect_set(F.when(F.col("dep").isNotNull(), F.struct(F.col("uri_file").alias("file"), F.col("dep").alias("hash"))))
-    lost = F.col("uri_file").isNotNull() & F.col("dep").isNull()
-    grouped = assets.join(refs, keys, "left").groupBy(*keys).agg(pairs.alias("pairs"), F.max(lost).alias("skipped"), F.min(F.when(lost, F.col("uri_file"))).alias("detail"))
-    return grouped.select(*keys, F.when(~F.col("skipped"), N.json_digest(F.col("pairs"))).alias("digest"), "skipped", F.when(F.col("skipped"), N.skip_detail(F.col("detail"))).alias("detail"))
-
-
-def resolve_references(refs: DataFrame, content: DataFrame) -> DataFrame:
-    """References (entity_id, glb, resolved) joined with the entity's content, letter case aside; of equal paths the last wins."""
-    table = last_wins(content.withColumn("key", F.lower("file")), ["entity_id", "key"], F.col("pos"), "file", "hash")
-    return refs.withColumn("key", F.lower("resolved")).join(table.select("entity_id", "key", F.col("file").alias("uri_file"), F.col("hash").alias("dep")), ["entity_id", "key"], "left").drop("key")
-
-
-def probe_rows(content: DataFrame, order: Column, digests: DataFrame, version: str, target: str) -> DataFrame:
+def probe_rows(content: DataFrame, order: Column, digests: DataFrame, version: str, target: str, metadata_only: DataFrame | None = None) -> DataFrame:
     """What is probed of each entity, each hash once (the first wins): file, digest, skippable, canonical and object_key.
 
     ``digests``: entity_id, hash, digest of glTF files; one without a digest is broken and isn't probed.  A hash that any file uses as
-    metadata only is not probed either.
+    metadata only is not probed either: by its name, or because ``metadata_only`` (entity_id, hash) has it.
     """
+    if metadata_only is not None:
+        content = content.join(metadata_only.select("entity_id", "hash"), ["entity_id", "hash"], "left_anti")
     gltf = N.is_gltf(F.col("file"))
     rows = content.join(digests.select("entity_id", "hash", "digest"), ["entity_id", "hash"], "left")
     probed = N.is_probed(F.col("file")) & (~gltf | F.col("digest").isNotNull())

@@ -75,6 +75,13 @@ def with_results(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(results(df.sparkSession)), "outcome", "left")
 
 
+def triaged(df: DataFrame, force: Column, iss: Column) -> DataFrame:
+    """``with_results``, but forced and ISS jobs need the engine whatever a probe would say: triage asks before it probes."""
+    out, at_once = with_results(df), F.coalesce(force, F.lit(False)) | F.coalesce(iss, F.lit(False))
+    rule = {"triage": F.lit("needs-unity"), "triage_exit": F.lit(None).cast("int"), "triage_metric": F.lit("republished")}
+    return out.withColumns({c: F.when(at_once & F.col("outcome").isNotNull(), v).otherwise(F.col(c)) for c, v in rule.items()})
+
+
 def previous_deployment(entities: DataFrame) -> DataFrame:
     """For each entity the newest other deployment of the same base: the newest of all, or for that one the newest but one.
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from assetweave.functions import names as N
 
+from .store import manifest_store
+
 VARIANTS = ("", ".br")
 
 
@@ -15,9 +17,15 @@ def latest_by_key(old: DataFrame | None, new: DataFrame, key: str) -> DataFrame:
     return new if old is None else old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def write_manifests(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Manifests as JSON that keeps null fields, partitioned by target; only the written partitions are replaced."""
-    df.write.mode(mode).option("ignoreNullFields", "false").option("partitionOverwriteMode", "dynamic").partitionBy("target").json(path)
+def write_manifests(df: DataFrame, path: str, order: str | None = None) -> int:
+    """Manifests (entity_id, target and the manifest's fields) into the store under ``path``: each replaces the one of its entity and target only.
+
+    Null fields stay in the JSON; of several of one entity and target the last by ``order`` wins.  Returns the commit's number.
+    """
+    fields = [c for c in df.columns if c not in ("entity_id", "target", order)]
+    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    rows = df.select(N.manifest_key(F.col("entity_id").cast("string"), F.col("target")).alias("key"), body.alias("body"), *([order] if order else []))
+    return manifest_store(df.sparkSession, path).upsert(rows, order)
 
 
 def missing_only(files: DataFrame, there: DataFrame, key: str, force: bool = False) -> DataFrame:
@@ -32,10 +40,10 @@ def missing_only(files: DataFrame, there: DataFrame, key: str, force: bool = Fal
     return both.join(known, key, "left").where(F.col("_always") | F.col("_there").isNull()).drop("_always", "_there")
 
 
-def lod_uploads(files: DataFrame, there: DataFrame, key: str, force: bool = False) -> DataFrame:
-    """Level-of-detail files under LOD/<level>/, as ``missing_only`` takes them."""
-    placed = files.withColumn(key, F.concat(F.lit("LOD/"), F.col("level").cast("string"), F.lit("/"), F.col(key)))
-    return missing_only(placed, there, key, force)
+def lod_uploads(files: DataFrame, there: DataFrame, key: str) -> DataFrame:
+    """Level-of-detail files under LOD/<level>/, raw and compressed: one rule for all, of one type, and what is there is left out."""
+    placed = files.withColumn("variant", F.explode(F.array(*map(F.lit, VARIANTS)))).withColumn(key, F.concat(F.lit("LOD/"), F.col("level").cast("string"), F.lit("/"), F.col(key), F.col("variant")))
+    return placed.withColumn("content_type", F.lit("application/wasm")).join(there.select(key).distinct(), key, "left_anti")
 
 
 def failed_sentinels(failures: DataFrame) -> DataFrame:

@@ -11,7 +11,11 @@ from assetweave.functions import geometry as G
 from assetweave.functions import jobs as J
 from assetweave.functions import names as N
 from assetweave.operators import assets as A
+from assetweave.operators import containers as K
 from assetweave.operators import control as C
+from assetweave.operators import sinks as S
+from assetweave.session import shared_folder, written
+from assetweave.sources import gltf as G3
 
 from .views import Views, duck
 
@@ -36,19 +40,32 @@ DEPS = "('.bin','.jpg','.png','.jpeg','.tga','.gif','.bmp','.psd','.tiff','.iff'
 PROBES = "('.glb','.gltf','.jpg','.png','.jpeg','.tga','.gif','.bmp','.psd','.tiff','.iff','.ktx')"
 DUCK_DIGEST = "sha256(cast(to_json(coalesce(list([{f}, {h}] order by {f}, {h}) filter (where {w}), [])) as varchar))[1:32]"
 ENTITY_DIGEST = f"select entity_id, {DUCK_DIGEST.format(f='file', h='hash', w=EXT + ' in ' + DEPS)} digest from {{v_content}} group by entity_id"
-ASSET_DIGEST = f"""select g.entity_id, g.hash,
-  case when count(*) filter (where r.uri_file is not null and r.dep is null) > 0 then null else {DUCK_DIGEST.format(f='r.uri_file', h='r.dep', w='r.dep is not null')} end digest,
-  count(*) filter (where r.uri_file is not null and r.dep is null) > 0 skipped,
-  min(r.uri_file) filter (where r.dep is null) detail
-  from (select * from {{v_content}} where pk % 4 = 0) g left join {{v_refs}} r on r.entity_id = g.entity_id and r.glb = g.hash group by g.entity_id, g.hash"""
-OBJECT_KEY = "concat('v48/assets/', c.hash, case when c.pk % 4 = 0 then concat('_', d.digest) else '' end, '_windows')"
-#: What is probed, by its object key: a glTF file's key holds the digest of what it refers to, one without a digest is left out.
-KEYED = f"""select c.entity_id, c.hash, c.pk, c.file, {EXT.replace('file', 'c.file')} in ('.glb', '.gltf') skippable, {OBJECT_KEY} object_key from {{v_content}} c
-  left join ({ASSET_DIGEST}) d on d.entity_id = c.entity_id and d.hash = c.hash where {EXT.replace('file', 'c.file')} in {PROBES} and (c.pk % 4 <> 0 or d.digest is not null)"""
-#: Two entities of three were converted before: the store has their objects, and of one of them the cache knows it.
+#: References of the containers that can be read, resolved by plain text steps.
+DUCK_REFS = """select c.entity_id, c.hash, r.uri, r.path, r.bad, t.hash dep from (select c.entity_id, c.hash, unnest(list_distinct(json_extract_string(g.doc, '$.*[*].uri'))) uri
+    from {v_content} c join {v_containers} g on g.hash = c.hash where g.version = 2 and json_valid(g.doc) and g.doc <> 'null') c,
+  lateral (select c.uri, case when regexp_matches(c.uri, '^[a-z]+:') then 'scheme' when regexp_matches(c.uri, '%([^0-9a-fA-F]|.[^0-9a-fA-F]|.?$)') then 'percent' when starts_with(c.uri, '../../') then 'escape' end bad,
+    replace(case when starts_with(c.uri, '../') then substr(c.uri, 4) when starts_with(c.uri, './') then concat('models/', substr(c.uri, 3)) else concat('models/', c.uri) end, '%20', ' ') path) r
+  left join (select entity_id, lower(file) key, arg_max(hash, pos) hash from {v_scene} group by 1, 2) t on t.entity_id = c.entity_id and t.key = lower(r.path) where not starts_with(c.uri, 'data:')"""
+ASSET_DIGEST = f"""select c.entity_id, c.hash, case when coalesce(g.error, f.fault[1]) is null then coalesce(p.digest, sha256('[]')[1:32]) end digest,
+  coalesce(g.error, f.fault[1]) is not null skipped, case when coalesce(g.error, f.fault[1]) is not null then c.file end file,
+  case when g.error is not null then 'unparseable' else f.fault[2] end reason, coalesce(g.error, f.fault[3]) detail
+  from (select * from {{v_content}} where pk % 4 = 0) c
+  join (select hash, case when version <> 2 then 'version: 0x1' when not json_valid(doc) then 'json' when doc = 'null' then 'root: null' end error from {{v_containers}}) g on g.hash = c.hash
+  left join (select entity_id, hash, min([uri, case when bad is not null then 'unparseable' else 'missing-deps' end, case when bad is not null then concat(bad, ': "', uri, '"') else concat('"', uri, '" -> "', path, '"') end])
+    filter (where bad is not null or dep is null) fault from ({DUCK_REFS}) a group by 1, 2) f on f.entity_id = c.entity_id and f.hash = c.hash
+  left join (select entity_id, hash, {DUCK_DIGEST.format(f='path', h='dep', w='true')} digest from (select distinct entity_id, hash, path, dep from ({DUCK_REFS}) b where bad is null and dep is not null) d group by 1, 2) p
+    on p.entity_id = c.entity_id and p.hash = c.hash"""
+METADATA_ONLY = """select t.entity_id, arg_max(s.hash, s.pos) hash from {v_thumbs} t join {v_scene} s on s.entity_id = t.entity_id and lower(s.file) = lower(t.thumb) group by t.entity_id, lower(s.file)"""
+IS_GLTF = f"{EXT.replace('file', 'c.file')} in ('.glb', '.gltf')"
+#: What is probed, by its object key: a glTF file's key holds the digest of what it refers to, one without a digest is left out, and so are thumbnails.
+KEYED = f"""select c.entity_id, c.hash, c.file, {IS_GLTF} skippable, concat('v48/assets/', c.hash, case when {IS_GLTF} then concat('_', d.digest) else '' end, '_windows') object_key
+  from (select entity_id, hash, arg_min(file, pos) file from {{v_scene}} where {EXT} in {PROBES} group by 1, 2) c
+  left join ({ASSET_DIGEST}) d on d.entity_id = c.entity_id and d.hash = c.hash anti join ({METADATA_ONLY}) m on m.entity_id = c.entity_id and m.hash = c.hash where not {IS_GLTF} or d.digest is not null"""
+#: Two entities of three were converted before: the store has their objects, and of one of them the cache knows it.  Textures that belong to containers are all there.
+STORED = "(select hash from {v_inventory} union select hash from {v_scene} where hash like 't%')"
 PROBED = f"""select c.*, k.object_key is not null cache_hit, k.object_key is null and i.object_key is not null in_store, k.object_key is not null or i.object_key is not null cached
   from ({KEYED}) c left join (select distinct n.object_key from ({KEYED}) n join {{v_cache}} h on h.hash = n.hash where n.entity_id % 3 = 1) k on k.object_key = c.object_key
-  left join (select distinct n.object_key from ({KEYED}) n join {{v_inventory}} h on h.hash = n.hash where n.entity_id % 3 <> 0) i on i.object_key = c.object_key"""
+  left join (select distinct n.object_key from ({KEYED}) n join {STORED} h on h.hash = n.hash where n.entity_id % 3 <> 0) i on i.object_key = c.object_key"""
 SUMMARY = f"""select entity_id, count(*) probes, count(*) filter (where cached) n_cached, count(*) filter (where not cached) n_missing,
   count(*) filter (where cached and skippable) n_skippable, count(*) filter (where not cache_hit) n_head, count(*) filter (where not cached) = 0 full_hit from ({PROBED}) p group by entity_id"""
 OUTCOME = f"""select e.entity_id, e.type kind, e.entity_id % 7 = 0 forced,
@@ -65,22 +82,31 @@ RESULT_ROWS = ", ".join("(" + ", ".join("null" if x is None else f"'{x}'" if isi
 RESULT_TABLE = f"(select * from (values {RESULT_ROWS}) t(outcome, triage, triage_exit, triage_metric, conversion_exit)) r"
 
 
+def _parsed(v: Views) -> DataFrame:
+    """The containers' bytes, each content parsed once."""
+    c = v.v_containers.select("hash", G3.glb_content(F.col("doc"), F.col("version")).alias("content"), F.lit(".glb").alias("ext"))
+    return G3.parse_once(c)
+
+
+def _asset_digests(v: Views) -> DataFrame:
+    return K.container_digests(v.stored("v_scene"), _parsed(v))
+
+
 def _keyed(v: Views) -> DataFrame:
-    return A.probe_rows(v.v_content, F.col("pk"), _asset_digests(v).withColumnRenamed("glb", "hash"), "v48", WINDOWS)
+    scene = v.stored("v_scene")
+    rows = A.probe_rows(scene, F.col("pos"), _asset_digests(v), "v48", WINDOWS, K.metadata_only(scene, v.v_thumbs))
+    # Written: the rows are read three times, and nobody should parse and digest three times.
+    return written(rows, "probe-rows")
 
 
 def _probed(v: Views) -> DataFrame:
     rows, i = _keyed(v), F.col("entity_id")
-    store = rows.where(i % 3 != 0).join(v.v_inventory, "hash", "left_semi")
+    stored = v.v_inventory.select("hash").union(v.stored("v_scene").where(F.col("hash").startswith("t")).select("hash").distinct())
+    store = rows.where(i % 3 != 0).join(stored, "hash", "left_semi")
     cache = rows.where(i % 3 == 1).join(v.v_cache, "hash", "left_semi")
     return A.probe(rows, store, cache, "object_key")
 
 
-def _asset_digests(v: Views) -> DataFrame:
-    glbs = v.v_content.where(N.is_gltf(F.col("file"))).select("entity_id", F.col("hash").alias("glb"))
-    return A.asset_digests(glbs, v.v_refs, ["entity_id", "glb"])
-
-
 def _facts(v: Views) -> DataFrame:
     """For each entity, what a probe of it finds: one row by entity_id."""
     s = A.probe_summary(_probed(v)).select("entity_id", "probes", "n_missing")
@@ -124,15 +150,15 @@ def entity_digest(v):
 
 @query(ASSET_DIGEST)
 def asset_digest(v):
-    return _asset_digests(v).withColumnRenamed("glb", "hash")
+    return _asset_digests(v)
 
 
 @query(f"""select c.entity_id, c.hash, case when c.pk % 4 = 0 then concat(c.hash, '_', d.digest, '_windows') else concat(c.hash, '_windows') end canonical,
   concat('v48/assets/', case when c.pk % 4 = 0 then concat(c.hash, '_', d.digest, '_windows') else concat(c.hash, '_windows') end) object_key
   from {{v_content}} c left join ({ASSET_DIGEST}) d on d.entity_id = c.entity_id and d.hash = c.hash where c.pk % 4 in (0, 1) and not coalesce(d.skipped, false)""")
 def canonical_names(v):
-    d = _asset_digests(v).withColumnRenamed("glb", "hash")
-    c = v.v_content.where(N.is_probed(F.col("file"))).join(d, ["entity_id", "hash"], "left").where(~F.coalesce("skipped", F.lit(False)))
+    d = _asset_digests(v)
+    c = v.v_content.where(N.is_probed(F.col("file"))).join(d.drop("file"), ["entity_id", "hash"], "left").where(~F.coalesce("skipped", F.lit(False)))
     name = N.canonical_name(F.col("hash"), F.col("file"), F.col("digest"), F.lit(WINDOWS))
     return c.select("entity_id", "hash", name.alias("canonical")).withColumn("object_key", N.canonical_key(F.lit("v48"), F.col("canonical")))
 
@@ -157,9 +183,9 @@ def probe_outcome(v):
     return _outcomes(v)
 
 
-@query(f"select triage, coalesce(triage_metric, 'none') metric, kind, count(*) n from ({OUTCOME}) o join {RESULT_TABLE} on r.outcome = o.outcome group by 1, 2, 3")
+@query(f"select case when forced then 'needs-unity' else triage end triage, case when forced then 'republished' else coalesce(triage_metric, 'none') end metric, kind, count(*) n from ({OUTCOME}) o join {RESULT_TABLE} on r.outcome = o.outcome group by 1, 2, 3")
 def triage_outcomes(v):
-    return C.with_results(_outcomes(v)).groupBy("triage", F.coalesce("triage_metric", F.lit("none")).alias("metric"), "kind").agg(F.count("*").alias("n"))
+    return C.triaged(_outcomes(v), F.col("forced"), F.lit(False)).groupBy("triage", F.coalesce("triage_metric", F.lit("none")).alias("metric"), "kind").agg(F.count("*").alias("n"))
 
 
 @query(f"select o.outcome, coalesce(conversion_exit, -1) exit_code, count(*) n, min(entity_id) first_entity from ({OUTCOME}) o join {RESULT_TABLE} on r.outcome = o.outcome group by 1, 2")
@@ -167,20 +193,17 @@ def exit_codes(v):
     return C.with_results(_outcomes(v)).groupBy("outcome", F.coalesce("conversion_exit", F.lit(-1)).alias("exit_code")).agg(F.count("*").alias("n"), F.min("entity_id").alias("first_entity"))
 
 
-@query("""select c.entity_id, c.hash, lower(c.file) = lower(concat('MODELS/', cast(e.base as varchar), '.png')) by_metadata, c.pk % 50 = 1 by_name from {v_content} c join {v_entities} e on e.entity_id = c.entity_id
-  where lower(c.file) = lower(concat('MODELS/', cast(e.base as varchar), '.png')) or c.pk % 50 = 1""")
+@query(f"""select entity_id, hash, bool_or(m) by_metadata, bool_or(not m) by_name from (select entity_id, hash, true m from ({METADATA_ONLY}) a union all select entity_id, hash, false from {{v_content}} where pk % 50 = 1) b group by 1, 2""")
 def metadata_only(v):
-    meta = F.to_json(F.struct(F.struct(F.concat(F.lit("MODELS/"), F.col("base").cast("string"), F.lit(".png")).alias("navmapThumbnail")).alias("display")))
-    e = v.v_entities.select("entity_id", F.get_json_object(meta, "$.display.navmapThumbnail").alias("thumb"))
-    file = F.when(F.col("pk") % 50 == 1, F.concat(F.lit("x/"), F.lit("Autogenerated-Thumbnail.png"))).otherwise(F.col("file"))
-    c = v.v_content.withColumn("shown", file).join(e, "entity_id")
-    by_metadata, by_name = F.lower("file") == F.lower("thumb"), N.is_metadata_only(F.col("shown"))
-    return c.where(by_metadata | by_name).select("entity_id", "hash", by_metadata.alias("by_metadata"), by_name.alias("by_name"))
+    meta = F.to_json(F.struct(F.struct(F.col("thumb").alias("navmapThumbnail")).alias("display")))
+    thumbs = v.v_thumbs.select("entity_id", F.get_json_object(meta, "$.display.navmapThumbnail").alias("thumb"))
+    shown = v.v_content.where("pk % 50 = 1").select("entity_id", F.lit(4_000_000_000).alias("pos"), F.lit("x/Autogenerated-Thumbnail.png").alias("file"), "hash")
+    return K.metadata_only(v.v_scene.unionByName(shown), thumbs)
 
 
-@query("select entity_id, hash from {v_content} where pk % 20 = 0 union select entity_id, hash from {v_content} where pk % 50 = 1")
+@query(f"select entity_id, hash from ({ASSET_DIGEST}) d where skipped union select entity_id, hash from {{v_content}} where pk % 50 = 1")
 def drop_set(v):
-    skipped = _asset_digests(v).where("skipped").withColumnRenamed("glb", "hash")
+    skipped = _asset_digests(v).where("skipped")
     return A.drop_set(skipped, v.v_content.where("pk % 50 = 1"), ["entity_id", "hash"])
 
 
@@ -248,13 +271,11 @@ def build_decision(v):
     return A.build_decision(v.v_content.where(N.is_gltf(F.col("file"))), v.v_inventory, ["hash"], "entity_id")
 
 
-SKIPS = f"select entity_id, hash, concat('models/', substr(hash, 2), '.glb') file, case when cast(substr(hash, 2) as bigint) % 3 = 0 then 'unparseable' else 'missing-deps' end reason, detail from ({ASSET_DIGEST}) a where skipped"
+SKIPS = f"select entity_id, hash, file, reason, detail from ({ASSET_DIGEST}) a where skipped"
 
 
 def _skips(v: Views) -> DataFrame:
-    lost = _asset_digests(v).where("skipped").withColumnRenamed("glb", "hash")
-    number = F.substring("hash", 2, 20)
-    return lost.select("entity_id", "hash", F.concat(F.lit("models/"), number, F.lit(".glb")).alias("file"), F.when(number.cast("bigint") % 3 == 0, "unparseable").otherwise("missing-deps").alias("reason"), "detail")
+    return _asset_digests(v).where("skipped").select("entity_id", "hash", "file", "reason", "detail")
 
 
 @query(f"select reason, count(*) skipped from ({SKIPS}) s group by 1")
@@ -303,7 +324,7 @@ def _fates(v: Views) -> DataFrame:
 
 
 def _plan(v: Views) -> DataFrame:
-    d = _asset_digests(v).withColumnRenamed("glb", "hash").select("entity_id", "hash", "digest", "skipped")
+    d = _asset_digests(v).select("entity_id", "hash", "digest", "skipped")
     files = v.v_content.where(N.is_probed(F.col("file"))).join(d, ["entity_id", "hash"], "left").withColumn("skipped", F.coalesce("skipped", F.lit(False)))
     files = files.withColumn("is_gltf", N.is_gltf(F.col("file"))).withColumn("source_key", F.when(F.col("pk") % 11 != 0, F.concat(F.lit("v48/"), F.col("entity_id").cast("string"), F.lit("/"), "hash")))
     return C.migration(files, _fates(v), v.v_inventory)
@@ -322,6 +343,21 @@ def migration_stats(v):
     return C.migration_stats(_fates(v), _plan(v))
 
 
+MANIFEST_BODY = """case when o_orderkey % 5 = 0 then to_json(struct_pack(version := 'v49', exitCode := case when o_orderkey % 10 = 0 then 12 end)) else to_json(struct_pack(version := 'v48', exitCode := 0)) end"""
+
+
+@query(f"""select concat('manifest/', cast(o_orderkey as varchar), case when o_orderkey % 3 = 0 then '_mac' else '_windows' end, '.json') key, cast({MANIFEST_BODY} as varchar) body from {{orders}}
+  where o_orderkey % 7 <> 0 or o_orderkey % 5 = 0""")
+def manifest_upserts(v):
+    """Manifests written, some of them written again and new ones with them, and read."""
+    target = F.when(F.col("o_orderkey") % 3 == 0, "mac").otherwise("windows")
+    of = lambda version, code: v.orders.select(F.col("o_orderkey").alias("entity_id"), target.alias("target"), F.lit(version).alias("version"), code.alias("exitCode"))
+    at = shared_folder(v.spark, "manifests")
+    S.write_manifests(of("v48", F.lit(0)).where("entity_id % 7 <> 0"), at)
+    S.write_manifests(of("v49", F.when(F.col("o_orderkey") % 10 == 0, 12)).where("entity_id % 5 = 0"), at)
+    return S.manifest_store(v.spark, at).read()
+
+
 KEYS = "select concat('manifest/', p_brand, '_', cast(p_partkey as string), case p_size % 4 when 0 then '_windows' when 1 then '_mac' when 2 then '_failed' else '' end, '.json') key from {part}"
 
 
@@ -570,23 +606,54 @@ def dir_sizes(v):
     return A.directory_sizes(v.sql(PATHS))
 
 
-RESOLVE = "select page_id, concat('dir/', cast(page_id % 5 as string), '/m.glb') glb, case page_id % 6 when 0 then 'a%20b.png' when 1 then './tex/c.png' when 2 then '' when 3 then 'https://x.org/a.png' when 4 then '/abs.png' else 'q.png?x=1' end uri from {pages}"
-
-
-@query(f"""select page_id, case page_id % 6 when 0 then concat('dir/', cast(page_id % 5 as varchar), '/a b.png') when 1 then concat('dir/', cast(page_id % 5 as varchar), '/tex/c.png') end resolved,
-  case page_id % 6 when 2 then 'empty' when 3 then 'scheme' when 4 then 'absolute' when 5 then 'query' end error from ({RESOLVE}) r""")
+#: (reference, path or null, error or null), of the container dir/<n>/m.glb; @ stands for n.
+URI_CASES = (
+    ("a%20b.png", "dir/@/a b.png", None),
+    ("./tex/c.png", "dir/@/tex/c.png", None),
+    ("../t.png", "dir/t.png", None),
+    ("x//y/../z.png", "dir/@/x/z.png", None),
+    ("a+b.png", "dir/@/a+b.png", None),
+    ("%C3%A9/", "dir/@/é/", None),
+    ("../..", ".", None),
+    ("", None, "empty"),
+    ("https://x.org/a.png", None, "scheme"),
+    ("//x.org/a.png", None, "protocol"),
+    ("/abs.png", None, "absolute"),
+    ("q.png?x=1", None, "query"),
+    ("q.png#x", None, "query"),
+    ("a%2.png", None, "percent"),
+    ("%FF.png", None, "percent"),
+    ("../../../a.png", None, "escape"),
+)
+URI_ROWS = ", ".join(f"({i}, {'null' if p is None else repr(p)}, {'null' if e is None else repr(e)})" for i, (_, p, e) in enumerate(URI_CASES))
+
+
+@query(f"select page_id, replace(path, '@', cast(page_id % 5 as varchar)) resolved, error from {{pages}} join (values {URI_ROWS}) c(i, path, error) on c.i = page_id % {len(URI_CASES)}")
 def uri_resolve(v):
-    from assetweave.sources.gltf import resolve_uri
-
-    return v.sql(RESOLVE).withColumn("r", resolve_uri(F.col("uri"), F.col("glb"))).select("page_id", F.col("r.resolved").alias("resolved"), F.col("r.kind").alias("error"))
+    uri = F.get(F.array(*[F.lit(u) for u, _, _ in URI_CASES]), (F.col("page_id") % len(URI_CASES)).cast("int"))
+    glb = F.concat(F.lit("dir/"), (F.col("page_id") % 5).cast("string"), F.lit("/m.glb"))
+    r = G3.resolve_uri(uri, glb)
+    return v.pages.select("page_id", r["resolved"].alias("resolved"), r["error"].alias("error"))
 
 
-@query()
+@query("""select pk, case when version = 2 and json_valid(doc) and doc <> 'null' then array_to_string(list_sort(list_distinct(list_filter(coalesce(json_extract_string(doc, '$.*[*].uri'), []), lambda u: not starts_with(u, 'data:')))), '|') end uris,
+  case when version <> 2 then 'version: 0x1' when not json_valid(doc) then 'json' when doc = 'null' then 'root: null' end error from {v_containers}""")
 def gltf_parse(v):
-    from assetweave.sources.gltf import parse_refs, synthetic_glb
-
-    glb = synthetic_glb(v.part.where("p_partkey % 4 = 0").select("p_partkey", "p_size"))
-    return glb.withColumn("r", parse_refs(F.col("content"), F.lit(".glb"))).select("p_partkey", F.col("r.uris").alias("uris"), F.col("r.error").alias("error"))
+    return _parsed(v).join(v.v_containers.select("hash", "pk"), "hash").select("pk", F.array_join("uris", "|").alias("uris"), "error")
+
+
+@query("""select concat('h', cast(pk as varchar), '.glb') name, 20 + strlen(doc) bytes_read, 20 + strlen(doc) + 8 + 4096 length,
+  len(list_distinct(list_filter(coalesce(json_extract_string(doc, '$.*[*].uri'), []), lambda u: not starts_with(u, 'data:')))) n_uris from {v_containers} where version = 2 and json_valid(doc) and doc <> 'null' and pk % 8 = 4""")
+def glb_prefix_scan(v):
+    """Containers written as files with a long binary chunk, and read again up to the end of their JSON."""
+    folder = shared_folder(v.spark, "containers")
+    body = F.repeat(F.lit("x"), 4096).cast("binary")
+    files = v.v_containers.where("pk % 8 = 4").select(F.concat("hash", F.lit(".glb")).alias("name"), G3.glb_content(F.col("doc"), F.col("version"), body).alias("content"))
+    G3.write_files(files, folder)
+    found = G3.glb_prefixes(v.spark, folder).where(F.col("length") > 4096)
+    refs = G3.parse_refs(F.col("prefix"), F.lit(".glb"))
+    out = found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes_read", "length", refs.alias("r"))
+    return out.where(F.col("r.error").isNull()).select("name", "bytes_read", "length", F.size("r.uris").cast("long").alias("n_uris"))
 
 
 @query()

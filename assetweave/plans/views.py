@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assetweave.session import written
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 VIEWS = {
@@ -15,9 +17,17 @@ VIEWS = {
     "v_inventory": "select concat('h', cast(p_partkey as string)) hash from {part} where p_size <= 45",
     "v_cache": "select concat('h', cast(p_partkey as string)) hash from {part} where p_size <= 20",
     "v_manifests": "select o_orderkey entity_id, case o_orderstatus when 'F' then 0 when 'O' then 12 else null end exit_code, case when o_orderkey % 3 = 0 then 'v48' else 'v49' end version from {orders}",
-    "v_refs": """select g.entity_id, g.hash glb, c.file uri_file, c.hash dep from {v_content} g join {v_content} c
-        on g.entity_id = c.entity_id and c.pk % 4 in (1, 2) and c.pk % 3 = g.pk % 3 where g.pk % 4 = 0
-        union all select entity_id, hash, 'missing.png', null from {v_content} where pk % 20 = 0""",
+    # Each entity also holds a texture and a buffer for its containers, now and then not; some paths are there twice, in other letter case.
+    "v_scene": """select entity_id, cast(pk as bigint) pos, file, hash from {v_content}
+        union all select distinct entity_id, 1000000000 + pk % 40, concat('models/Tex ', cast(pk % 40 as string), '.PNG'), concat('t', cast(pk % 40 as string), 'x', cast(entity_id % 3 as string)) from {v_content} where pk % 4 = 0 and (entity_id + pk % 40) % 20 <> 0
+        union all select distinct entity_id, 2000000000 + pk % 24, concat('buffers/b', cast(pk % 24 as string), '.bin'), concat('b', cast(pk % 24 as string)) from {v_content} where pk % 4 = 0
+        union all select distinct entity_id, 3000000000 + pk % 24, concat('Buffers/B', cast(pk % 24 as string), '.bin'), concat('B', cast(pk % 24 as string)) from {v_content} where pk % 4 = 0 and entity_id % 5 = 0""",
+    # The JSON text of each container (<> for its braces), and its binary version: some are broken in one way or another.
+    "v_containers": """select pk, hash, case when pk % 124 = 0 then 1 else 2 end version, translate(case when pk % 104 = 0 then 'null' when pk % 116 = 0 then '<"images":[' when pk % 148 = 0 then '<"images":[<"uri":"https://x.org/a.png">]>'
+        when pk % 164 = 0 then '<"images":[<"uri":"a%2.png">]>' when pk % 172 = 0 then '<"buffers":[<"uri":"../../x.bin">]>' when pk % 16 = 0 then '<"asset":<"version":"2.0">>'
+        else concat('<"images":[<"uri":"Tex%20', cast(pk % 40 as string), '.png">,<"uri":"./Tex%20', cast(pk % 40 as string), '.png">,<"uri":"data:image/png;base64,AA">,<"bufferView":0>,null],"buffers":[<"uri":"../buffers/b', cast(pk % 24 as string), '.bin">]>') end, '<>', concat(chr(123), chr(125))) doc
+        from (select p_partkey pk, concat('h', cast(p_partkey as string)) hash from {part} where p_partkey % 4 = 0) p""",
+    "v_thumbs": "select entity_id, concat('MODELS/', cast(min(pk) as string), '.PNG') thumb from {v_content} where pk % 4 = 1 group by entity_id having min(pk) % 3 = 0",
     "v_jobs": "select event_id job_id, ts, user_id entity_id, event_type = 'error' lods, event_type = 'signup' force, event_type = 'purchase' iss, event_type, value from {events}",
     "v_bundles": """select concat('h', cast(p_partkey as string), case p_size % 3 when 0 then '_windows' when 1 then '_mac' else '_windows.br' end) bundle, p_partkey pk, p_brand, p_size,
         concat('Qm', cast(p_partkey as string), case p_partkey % 2 when 0 then 'Ab' else 'xY' end) cid from {part}""",
@@ -41,6 +51,13 @@ class Views:
                 raise AttributeError(name)
         return made[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """A projection as a table in the shared folder, written once for all that read it."""
+        made = self.__dict__["made"]
+        if f"stored {name}" not in made:
+            made[f"stored {name}"] = written(getattr(self, name), name)
+        return made[f"stored {name}"]
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{n: getattr(self, n) for n in set(re.findall(r"\{(\w+)\}", text))})
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "assetweave", cores: int | None = None, **conf: str) -> SparkSession:
@@ -22,3 +24,21 @@ def session(app: str = "assetweave", cores: int | None = None, **conf: str) -> S
         "spark.ui.enabled": "false",
     }
     return SparkSession.builder.appName(app).master(f"local[{n}]").config(map=settings | conf).getOrCreate()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under ``spark.checkpoint.dir``; only a local session may do without that setting."""
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="assetweave-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: several readers share one computation."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

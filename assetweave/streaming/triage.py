@@ -6,8 +6,6 @@ A job whose entity has no facts counts as one whose content server did not answe
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from assetweave.functions import jobs as J
 from assetweave.functions import names as N
 from assetweave.operators import control as C
+from assetweave.session import shared_folder
 
 SCHEMA = "job_id long, ts timestamp, entity_id long, lods boolean, force boolean, iss boolean, event_type string, value double"
 JOB_SCHEMA = SCHEMA + ", servers array<string>, lod_urls array<string>"
@@ -29,8 +28,7 @@ class PublishError(Exception):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="assetweave-stream-")
-    return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return shared_folder(spark, "stream")
 
 
 def jobs(spark: SparkSession, folder: str, schema: str = SCHEMA) -> DataFrame:
@@ -46,7 +44,7 @@ def _probed(df: DataFrame, facts: DataFrame) -> DataFrame:
     x = df.withColumns({"reason": reason, "is_lod": is_lod}).join(facts, "entity_id", "left")
     x = x.withColumns({"target": F.coalesce("target", F.lit(N.TARGETS[0]))} | {c: F.coalesce(c, no) for c in ("converted", "fetched", "digest_ok", "probe_ok")})
     outcome = C.outcome_of_facts(F.coalesce("force", no), F.coalesce("iss", no))
-    return C.with_results(x.withColumn("outcome", F.when(F.col("reason").isNull() & ~F.col("is_lod"), outcome)))
+    return C.triaged(x.withColumn("outcome", F.when(F.col("reason").isNull() & ~F.col("is_lod"), outcome)), F.col("force"), F.col("iss"))
 
 
 def triage(df: DataFrame, facts: DataFrame) -> DataFrame:

@@ -93,6 +93,8 @@ def test_triage_routes_by_probe_and_hands_over(spark, tmp_path, queue):
     peer, lod = ["https://peer.example.org/content"], ["https://lods.example.com/a.fbx"]
     want, rows = {}, []
     cases = [(1, 0, 0, 0, peer, "fast_path"), (2, 0, 0, 0, peer, "conversion"), (3, 0, 0, 0, peer, "fast_path"), (3, 0, 1, 0, peer, "conversion"), (4, 0, 0, 0, peer, "failed"), (5, 0, 0, 0, peer, "failed"), (6, 0, 0, 0, peer, "conversion"), (7, 0, 0, 0, peer, "conversion")]
+    # Forced and ISS jobs go to the engine, whatever a probe would say of their target, digest or earlier conversion.
+    cases += [(e, 0, force, iss, peer, "conversion") for e in (1, 3, 4, 5, 7) for force, iss in ((1, 0), (0, 1), (1, 1))]
     cases += [(1, 1, 0, 0, peer, "conversion"), (1, 0, 0, 1, peer, "conversion"), (1, 0, 1, 0, peer, "conversion"), (None, 0, 0, 0, peer, "dropped"), (1, 0, 0, 0, [], "dropped"), (1, 0, 0, 0, ["https://evil.test/"], "dropped"), (1, None, None, None, peer, "fast_path")]
     for j, (e, lods, force, iss, servers, route) in enumerate(cases):
         rows.append((j, None, e, *(None if x is None else bool(x) for x in (lods, force, iss)), "x", float(j), servers, lod if lods else None))
