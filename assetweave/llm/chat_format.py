@@ -5,13 +5,13 @@ program over this automaton chooses for each turn, at least total cost, whether
 turn before, or gets an empty turn inserted before it; then the repaired turns are rendered.
 
 A step of the program is a (min, +) matrix over the automaton's states, and such matrices multiply in any grouping.  The turns are
-sorted over the cluster and cut, wherever they lie, into parts of at most ``part`` turns or 16 MB of text; a part brings its matrix.  A
-conversation that is one part inside a partition, as almost all are, is rendered at once.  Of the others only the matrices meet: those
-of a conversation's parts in one partition, then one for each partition it reaches into; so no task holds a whole long conversation.
+sorted over the cluster.  A short conversation inside a partition, as almost all are, is rendered where it lies.  The turns of the others
+get their places by counts and are cut by place and by text before them into parts of at most ``part`` turns, so that parts do not depend on
+partitions; then only the parts' matrices meet, in blocks, and the blocks' products.  No task holds a whole long conversation.
 
-Defined results: rows that repeat in all of (conv_id, turn, role, text) count once; turns with equal numbers are ordered by role, then
-text; null turns come first; null and empty texts are empty turns; very long texts are kept whole; an unknown or null role has to be
-relabelled; rows with a null ``conv_id`` are one conversation; an empty table gives an empty table; other columns are not looked at.
+Defined results: rows that repeat in all of (conv_id, turn, role, text), as they came, count once; roles are compared without letter
+case and white space around them, and turns with equal numbers are ordered by role, then text; null turns come first; null and empty
+texts are empty turns, one each; very long texts are kept whole; an unknown or null role has to be relabelled; rows with a null ``conv_id`` are one conversation; an empty table gives an empty table; other columns are not looked at.
 Among equal costs keeping beats merging, merging beats relabelling, relabelling beats inserting, summed over the conversation; what then is
 still equal goes to the lower role at a cut and to the first action elsewhere.
 """
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, small
@@ -39,6 +39,8 @@ UNKNOWN = {"user": 1, "assistant": 1, "system": 4}
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 #: Turns and characters of one part at most.
 PART, PART_TEXT = 256, 16 << 20
+#: Parts whose matrices one task multiplies.
+BLOCK = 4096
 SPACE = " \t\n\x0b\f\r"
 
 
@@ -134,7 +136,7 @@ def product_of(roles: list[str | None]) -> np.ndarray:
 
 
 class _Cutter:
-    """Cuts the sorted turns of a partition into parts."""
+    """Tells the sorted turns of a partition: a row for each conversation inside it that is one part, and pieces of all others."""
 
     def __init__(self, most: int):
         self.most, self.before, self.rows, self.text = most, None, [], 0
@@ -156,15 +158,14 @@ class _Cutter:
 
     def flush(self, alone: bool) -> None:
         if self.rows:
-            roles = [r[2] for r in self.rows]
-            self.out.append((self.rows[0][0], self.run, self.seq, alone, roles, [r[3] for r in self.rows], product_of(roles).ravel().tolist()))
+            self.out.append((self.rows[0][0], self.run, self.seq, alone, self.text, [r[2] for r in self.rows], [r[3] for r in self.rows]))
             self.seq += 1
         self.rows, self.text = [], 0
 
 
-def _parts(most: int, conv: pa.DataType):
-    kinds = [conv, pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
-    names = ["conv", "pid", "run", "seq", "alone", "roles", "texts", "m"]
+def _pieces(most: int, conv: pa.DataType):
+    kinds = [conv, pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
+    names = ["conv", "pid", "run", "seq", "alone", "chars", "roles", "texts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, pid = _Cutter(most), TaskContext.get().partitionId()
@@ -188,6 +189,33 @@ def _parts(most: int, conv: pa.DataType):
     return run
 
 
+def _places(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with the turns and characters of their conversation before them: counts within a partition, then of the partitions before."""
+    sums = [F.sum(F.size("roles")).alias("n"), F.sum("chars").alias("c")]
+    runs = pieces.groupBy("conv", "pid", "run").agg(*sums)
+    before = lambda x, w: F.coalesce(F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    over_runs, inside = Window.partitionBy("conv").orderBy("pid"), Window.partitionBy("pid", "run").orderBy("seq")
+    runs = runs.select("pid", "run", before("n", over_runs).alias("n0"), before("c", over_runs).alias("c0"))
+    sized = pieces.select("pid", "run", "seq", F.size("roles").alias("n"), "chars").withColumns({"n1": before("n", inside), "c1": before("chars", inside)})
+    at = sized.join(runs, ["pid", "run"]).select("pid", "seq", (F.col("n0") + F.col("n1")).alias("place"), (F.col("c0") + F.col("c1")).alias("before"))
+    return pieces.join(small(materialise(at, "chat-places")), ["pid", "seq"])
+
+
+def _cut_parts(pieces: DataFrame, part: int) -> DataFrame:
+    """(conv, part, roles, texts): parts of at most ``part`` turns, cut by place, and where 16 MB of text are before; ``part``: the place of the first turn."""
+    lengths = F.transform("texts", F.char_length)
+    turns = F.transform("roles", lambda r, i: F.struct((F.col("place") + i).alias("place"), (F.col("before") + F.aggregate(F.slice(lengths, 1, i), F.lit(0).cast("long"), lambda a, x: a + x)).alias("before"), r.alias("role"), F.get("texts", i).alias("text")))
+    each = _places(pieces).select("conv", F.inline_outer(turns))
+    grouped = each.groupBy("conv", F.floor(F.col("place") / part).alias("k"), F.floor(F.col("before") / PART_TEXT).alias("t")).agg(F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
+    return grouped.select("conv", F.get("turns", F.lit(0))["place"].alias("part"), F.transform("turns", lambda x: x["role"]).alias("roles"), F.transform("turns", lambda x: x["text"]).alias("texts"))
+
+
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        m = [product_of(roles).ravel().tolist() for roles in b.column("roles").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("conv"), b.column("part"), pa.array(m, pa.list_(pa.int64()))], ["conv", "part", "m"])
+
+
 def way(ms: list[np.ndarray], enter: int, end: np.ndarray) -> tuple[list[tuple[int, int]], int]:
     """The states at both ends of each matrix on the cheapest way from ``enter`` through all, if the states after the last cost ``end``; and its cost."""
     to_go = [end]
@@ -206,50 +234,32 @@ def _matrix_list(t: pa.Table) -> list[np.ndarray]:
     return [np.array(x, "i8").reshape(4, 4) for x in t["m"].to_pylist()]
 
 
-def _run_products(t: pa.Table) -> pa.Table:
-    """One matrix for a conversation's parts in one partition."""
+def _block_products(t: pa.Table) -> pa.Table:
+    """One matrix for a block of a conversation's parts."""
     m = None
-    for x in _matrix_list(t.sort_by("seq")):
+    for x in _matrix_list(t.sort_by("part")):
         m = x if m is None else multiply(m, x)
-    return pa.table({"conv": t["conv"][:1].combine_chunks(), "pid": t["pid"][:1].combine_chunks(), "run": t["run"][:1].combine_chunks(), "m": pa.array([m.ravel().tolist()], pa.list_(pa.int64()))})
+    return pa.table({"conv": t["conv"][:1].combine_chunks(), "block": t["block"][:1].combine_chunks(), "m": pa.array([m.ravel().tolist()], pa.list_(pa.int64()))})
 
 
-def _run_states(t: pa.Table) -> pa.Table:
-    """For the partitions that a conversation reaches into: its states where it goes from one to the next, and its cost."""
-    t = t.sort_by("pid")
+def _block_states(t: pa.Table) -> pa.Table:
+    """For a conversation's blocks: its states where it goes from one to the next, and its cost."""
+    t = t.sort_by("block")
     states, cost = way(_matrix_list(t), START, CLOSE)
     n = len(states)
-    return pa.table(
-        {
-            "pid": t["pid"].combine_chunks(),
-            "run": t["run"].combine_chunks(),
-            "enter": pa.array([s for s, _ in states], pa.int32()),
-            "leave": pa.array([s for _, s in states], pa.int32()),
-            "first": pa.array([i == 0 for i in range(n)]),
-            "last": pa.array([i == n - 1 for i in range(n)]),
-            "cost": pa.array([cost // COST] * n, pa.int64()),
-        }
-    )
+    columns = [t["conv"].combine_chunks(), t["block"].combine_chunks(), pa.array([s for s, _ in states], pa.int32()), pa.array([s for _, s in states], pa.int32())]
+    return pa.table([*columns, pa.array([i == 0 for i in range(n)]), pa.array([i == n - 1 for i in range(n)]), pa.array([cost // COST] * n, pa.int64())], ["conv", "block", "enter", "leave", "first", "last", "cost"])
 
 
 def _part_states(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The same for the parts within one partition, between the states at its ends."""
-    left, s = left.sort_by("seq"), right.to_pylist()[0]
+    """The same for the parts within one block, between the states at its ends."""
+    left, s = left.sort_by("part"), right.to_pylist()[0]
     end = np.full(4, INF, "i8")
     end[s["leave"]] = 0
     states, _ = way(_matrix_list(left), s["enter"], end)
     n = len(states)
-    return pa.table(
-        {
-            "pid": left["pid"].combine_chunks(),
-            "seq": left["seq"].combine_chunks(),
-            "enter": pa.array([a for a, _ in states], pa.int32()),
-            "leave": pa.array([b for _, b in states], pa.int32()),
-            "first": pa.array([s["first"] and i == 0 for i in range(n)]),
-            "last": pa.array([s["last"] and i == n - 1 for i in range(n)]),
-            "cost": pa.array([s["cost"]] * n, pa.int64()),
-        }
-    )
+    columns = [left["conv"].combine_chunks(), left["part"].combine_chunks(), pa.array([a for a, _ in states], pa.int32()), pa.array([b for _, b in states], pa.int32())]
+    return pa.table([*columns, pa.array([s["first"] and i == 0 for i in range(n)]), pa.array([s["last"] and i == n - 1 for i in range(n)]), pa.array([s["cost"]] * n, pa.int64())], ["conv", "part", "enter", "leave", "first", "last", "cost"])
 
 
 def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,14 +269,14 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some, out = b.slice(lo, 256), []
             for r in some.to_pylist():
                 if r["enter"] is None:
-                    ((enter, leave),), cost = way([np.array(r["m"], "i8").reshape(4, 4)], START, CLOSE)
+                    ((enter, leave),), cost = way([product_of(r["roles"])], START, CLOSE)
                     r |= {"enter": enter, "leave": leave, "first": True, "last": True, "cost": cost // COST}
                 rows = repair(list(zip(r["roles"], r["texts"])), r["enter"], r["leave"])
                 closing = CLOSING[r["leave"]] if r["last"] else ()
                 text = render(rows, closing, r["first"]) + ("<|end|>\n" if r["last"] else "")
                 actions = [x for _, _, x in rows]
                 added = actions.count("inserted")
-                out.append((r["pid"] << 40 | r["seq"], len(actions) - added, sum(x.endswith("merge") for x in actions), sum(x.startswith("relabel") for x in actions), added + len(closing), r["cost"], text))
+                out.append((r["part"], len(actions) - added, sum(x.endswith("merge") for x in actions), sum(x.startswith("relabel") for x in actions), added + len(closing), r["cost"], text))
             kinds = [pa.int64()] * 6 + [pa.string()]
             yield pa.RecordBatch.from_arrays([some.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
 
@@ -277,8 +287,9 @@ STATES = "enter int, leave int, first boolean, last boolean, cost long"
 def format_chats(chats: DataFrame, part: int = PART) -> DataFrame:
     """Repair and render every conversation of (conv_id, turn, role, text).
 
-    A row for each part of a conversation (almost always one): conv_id, part, n_turns, n_merged, n_relabelled, n_inserted, cost (of
-    the whole conversation) and rendered.  The texts of a conversation's parts, in the order of ``part``, are the conversation.
+    A row for each part of a conversation (almost always one): conv_id, part (turns of the conversation before it), n_turns, n_merged,
+    n_relabelled, n_inserted, cost (of the whole conversation) and rendered.  The texts of a conversation's parts, in the order of
+    ``part``, are the conversation.
     """
     spark = chats.sparkSession
     rows = chats.select(
@@ -286,19 +297,27 @@ def format_chats(chats: DataFrame, part: int = PART) -> DataFrame:
         F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))).alias("turn"),
         F.coalesce(F.lower(F.btrim(F.col("role").cast("string"), F.lit(SPACE))), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        # As they came: turns that differ in these only are different rows.
+        F.col("role").cast("string").alias("raw_role"),
+        F.struct(F.col("turn").isNull(), F.col("text").isNull()).cast("string").alias("nulls"),
     )
     kind = dict(rows.dtypes)["conv"]
     arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     if arrow == pa.string() and kind != "string":
         rows, kind = rows.withColumn("conv", F.col("conv").cast("string")), "string"
-    order = ["conv", "turn", "role", "text"]
+    order = ["conv", "turn", "role", "text", "raw_role", "nulls"]
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    schema = f"conv {kind}, pid int, run long, seq long, alone boolean, roles array<string>, texts array<string>, m array<long>"
-    parts = materialise(rows.mapInArrow(_parts(part, arrow), schema), "chat-parts")
-    opened = parts.where(~F.col("alone")).select("conv", "pid", "run", "seq", "m")
-    runs = opened.groupBy("pid", "run").applyInArrow(_run_products, f"conv {kind}, pid int, run long, m array<long>")
-    ends = runs.groupBy("conv").applyInArrow(_run_states, f"pid int, run long, {STATES}")
-    states = opened.groupBy("pid", "run").cogroup(ends.groupBy("pid", "run")).applyInArrow(_part_states, f"pid int, seq long, {STATES}")
-    states = small(materialise(states, "chat-states"))
-    out = parts.join(states, ["pid", "seq"], "left").select("conv", "pid", "seq", "roles", "texts", "m", "enter", "leave", "first", "last", "cost")
-    return out.mapInArrow(_rendered, f"conv_id {kind}, part long, n_turns long, n_merged long, n_relabelled long, n_inserted long, cost long, rendered string")
+    schema = f"conv {kind}, pid int, run long, seq long, alone boolean, chars long, roles array<string>, texts array<string>"
+    pieces = materialise(rows.mapInArrow(_pieces(part, arrow), schema), "chat-pieces")
+    parts = materialise(_cut_parts(pieces.where(~F.col("alone")), part), "chat-parts")
+    matrices = materialise(parts.select("conv", "part", "roles").mapInArrow(_matrices, f"conv {kind}, part long, m array<long>"), "chat-matrices")
+    block = F.floor(F.col("part") / (part * BLOCK))
+    blocked = matrices.withColumn("block", block)
+    ends = blocked.groupBy("conv", "block").applyInArrow(_block_products, f"conv {kind}, block long, m array<long>").groupBy("conv").applyInArrow(_block_states, f"conv {kind}, block long, {STATES}")
+    states = blocked.groupBy("conv", "block").cogroup(ends.groupBy("conv", "block")).applyInArrow(_part_states, f"conv {kind}, part long, {STATES}")
+    states = materialise(states, "chat-states")
+    same = parts["conv"].eqNullSafe(states["conv"]) & (parts["part"] == states["part"])
+    long = parts.join(small(states), same).select(parts["conv"], parts["part"], "roles", "texts", "enter", "leave", "first", "last", "cost")
+    nothing = {"enter": "int", "leave": "int", "first": "boolean", "last": "boolean", "cost": "long"}
+    alone = pieces.where("alone").select("conv", F.lit(0).cast("long").alias("part"), "roles", "texts", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
+    return alone.unionByName(long).mapInArrow(_rendered, f"conv_id {kind}, part long, n_turns long, n_merged long, n_relabelled long, n_inserted long, cost long, rendered string")

@@ -233,6 +233,30 @@ def test_chat_rendering(spark):
             assert texts.setdefault(c, sum(mine.n_inserted)) == sum(mine.n_inserted)
 
 
+def test_chat_turns_that_differ_as_they_came_all_stay(spark):
+    rows = [(1, 0, "User", "hi"), (1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "user", None), (1, 1, "user", ""), (1, None, "user", "hi"), (2, 0, None, None), (2, 0, "", ""), (2, 0, " ", "")]
+    out = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).toPandas()
+    assert out.groupby("conv_id").n_turns.sum().to_dict() == {1: 5, 2: 3}
+    assert out[out.conv_id == 1].rendered.tolist() == ["<|user|>\nhi\nhi\nhi\n\n<|end|>\n<|assistant|>\n<|end|>\n"]
+
+
+@pytest.mark.parametrize("part", [5, 256])
+def test_chat_rows_do_not_depend_on_partitions(spark, part):
+    rng = np.random.default_rng(8)
+    rows = [(c, t, ["user", "assistant", "system", None][rng.integers(4)], f"{c}.{t}") for c in range(25) for t in range(int(rng.integers(1, 30)) if c else 700)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 4, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(map(tuple, chat_format.format_chats(df.repartition(n), part).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    parts = [r[1] for r in found[0] if r[0] == 0]
+    assert parts == list(range(0, 700, part))
+
+
 def test_chats_of_an_empty_table(spark):
     assert chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
