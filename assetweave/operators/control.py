@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assetweave import model as M
 from assetweave.functions import names as N
+from assetweave.session import written
 
 # For each outcome of a probe, what triage answers (kind, exit code, metric) and what a conversion does (exit code; null: goes on).
 RESULTS = (
@@ -169,9 +170,21 @@ def histogram(jobs: DataFrame, seconds: str, labels: list[str]) -> DataFrame:
 
 
 def running_gauge(steps: DataFrame, labels: list[str], ts: str, tie: str) -> DataFrame:
-    """A gauge after each event: the running sum of +1 (start) and -1 (finish)."""
-    w = Window.partitionBy(*labels).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumn("running", F.sum("delta").over(w))
+    """A gauge after each event: the running sum of +1 (start) and -1 (finish).
+
+    A label's history may be any part of the rows: it is cut into ranges, whose sums are carried from range to range, and only within a range
+    are events added up one by one.
+    """
+    n = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(steps.repartitionByRange(n, *labels, ts, tie).withColumn("_range", F.spark_partition_id()), "gauge")
+    sums = ranged.groupBy(*labels, "_range").agg(F.sum("delta").alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(*labels).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    carried = sums.select(*[F.col(c).alias(f"_{c}") for c in labels], F.col("_range").alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    same = F.col("_range") == F.col("_of")
+    for c in labels:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    w = Window.partitionBy("_range", *labels).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(carried, same).select(*steps.columns, (F.sum("delta").over(w) + F.col("_before")).alias("running"))
 
 
 def tolerated(total: Column, failed: Column, tolerance: float) -> Column:

@@ -63,6 +63,10 @@ class KeyedStore:
         paths = [f"{self.path}/data/{v}/bucket={b}" for b, v in state.items() if buckets is None or b in buckets]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
+    def files(self) -> list[str]:
+        """The folders that hold the newest commit's rows."""
+        return [f"{self.path}/data/{v}/bucket={b}" for b, v in self._state()[1].items()]
+
     def read(self) -> DataFrame:
         return self._rows(self._state()[1])
 

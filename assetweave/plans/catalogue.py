@@ -656,19 +656,38 @@ def glb_prefix_scan(v):
     return out.where(F.col("r.error").isNull()).select("name", "bytes_read", "length", F.size("r.uris").cast("long").alias("n_uris"))
 
 
-@query()
+#: What a probe says of a job that is neither forced nor ISS.
+UNFORCED = OUTCOME.replace("e.entity_id % 7 <> 0", "true").replace("e.entity_id % 7 = 0", "false")
+
+
+@query(f"""select lane, route, count(*) n, min(job_id) first_job from (select job_id, case when force then 'priority' else 'standard' end lane, case when j.entity_id is null or (job_id % 101 = 0 and not lods) or (job_id % 101 <> 0 and job_id % 103 = 0) then 'dropped'
+  when lods or force or iss or coalesce(r.triage, 'needs-unity') = 'needs-unity' then 'conversion' when r.triage = 'failed' then 'failed' else 'fast_path' end route
+  from {{v_jobs}} j left join ({UNFORCED}) o on o.entity_id = j.entity_id left join {RESULT_TABLE} on r.outcome = o.outcome) t group by 1, 2""")
 def stream_triage(v):
     from assetweave.streaming.triage import run_once
 
     return run_once(v, _facts(v))
 
 
-@query()
+@query("select entity_id, count(*) - 1 hits, 1 probes from {v_jobs} group by 1")
 def stream_ttl(v):
     from assetweave.streaming.ttl import run_once
 
     return run_once(v)
 
 
+@query("""select c.hash, case when e.error is null then count(*) - 1 else 0 end hits, case when e.error is null then 1 else count(*) end misses,
+  case when e.error is null then array_to_string(list_sort(list_distinct(list_filter(coalesce(json_extract_string(any_value(e.doc), '$.*[*].uri'), []), lambda u: not starts_with(u, 'data:')))), '|') end uris, e.error
+  from {v_content} c join (select hash, doc, case when version <> 2 then 'version: 0x1' when not json_valid(doc) then 'json' when doc = 'null' then 'root: null' end error from {v_containers}) e on e.hash = c.hash group by c.hash, e.error""")
+def stream_uri_lists(v):
+    """Every entity's containers as they arrive: known ones are not parsed again."""
+    from assetweave.streaming.ttl import run_lists
+
+    bytes_ = v.v_containers.select("hash", G3.glb_content(F.col("doc"), F.col("version")).alias("content"), F.lit(".glb").alias("ext"))
+    arrived = v.v_content.select(F.col("entity_id").alias("n"), "hash").join(bytes_, "hash")
+    out = run_lists(v.spark, arrived)
+    return out.withColumn("uris", F.array_join(F.from_json("uris", "array<string>"), "|"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda f: lambda spark, folder: f(Views(spark, folder)))(f) for name, f in QUERIES.items()}

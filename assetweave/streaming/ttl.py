@@ -1,4 +1,4 @@
-"""Existence markers with a time to live, as keyed state of a stream."""
+"""Existence markers and reference lists with a time to live, as keyed state of a stream."""
 
 from __future__ import annotations
 
@@ -8,13 +8,16 @@ from contextlib import contextmanager
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from assetweave.operators.store import KeyedStore
 
 from .triage import jobs, shared_dir
 
 TTL_MS = 86_400_000
 STORE = "spark.sql.streaming.stateStore.providerClass"
 OUTPUT = "entity_id long, hits long, probes long"
+LISTS = "hash string, uris string, error string, hits long, misses long, state_errors long"
 
 
 @contextmanager
@@ -31,18 +34,19 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(STORE, before)
 
 
-def markers(stream: DataFrame) -> DataFrame:
-    """A key whose marker is alive is a hit; any other is a probe, which sets the marker."""
+def markers(stream: DataFrame, ttl_ms: int = TTL_MS) -> DataFrame:
+    """A key whose marker is alive is a hit; any other is a probe, which sets the marker.  A hit does not lengthen a marker's life."""
 
     # Defined here, so that it travels by value: the state driver's worker needs no copy of the package.
     class HitMarkers(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", "at long", ttlDurationMs=TTL_MS)
+            self.seen = handle.getValueState("seen", "at long", ttlDurationMs=ttl_ms)
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             n = sum(len(x) for x in rows)
             hit = self.seen.exists()
-            self.seen.update((1,))
+            if not hit:
+                self.seen.update((1,))
             yield pd.DataFrame({"entity_id": [key[0]], "hits": [n if hit else n - 1], "probes": [0 if hit else 1]})
 
         def close(self) -> None:
@@ -51,6 +55,92 @@ def markers(stream: DataFrame) -> DataFrame:
     return stream.groupBy("entity_id").transformWithStateInPandas(statefulProcessor=HitMarkers(), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime")
 
 
+def uri_lists(stream: DataFrame, ttl_ms: int = TTL_MS, known: DataFrame | None = None) -> DataFrame:
+    """References of containers (hash, content, ext), kept by hash as long as they live: hash, uris (JSON), error, hits, misses, state_errors.
+
+    A hash that isn't there is a miss and is parsed; what can't be parsed is not kept, so it is a miss each time.  A kept value that is no list
+    of texts counts as a miss and as a state error, and so does one that can't be read.  ``known`` (hash, uris) is what a new stream starts with.
+    """
+
+    class UriLists(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.kept = handle.getValueState("uris", "uris string", ttlDurationMs=ttl_ms)
+
+        def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+            self.kept.update((initialState["uris"].iloc[0],))
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            import json
+
+            from assetweave.sources.gltf import refs_of
+
+            text, error, hits, misses, wrong = None, None, 0, 0, 0
+            try:
+                text = self.kept.get()[0] if self.kept.exists() else None
+                if text is not None and not (isinstance(x := json.loads(text), list) and all(isinstance(u, str) for u in x)):
+                    raise ValueError(text)
+            except Exception:
+                text, wrong = None, 1
+            for part in rows:
+                for content, ext in zip(part["content"], part["ext"]):
+                    if text is not None:
+                        hits += 1
+                        continue
+                    misses += 1
+                    found = refs_of(content, ext)
+                    error = found["error"]
+                    if error is None:
+                        text = json.dumps(found["uris"], ensure_ascii=False)
+                        try:
+                            self.kept.update((text,))
+                        except Exception:
+                            wrong += 1
+            yield pd.DataFrame({"hash": [key[0]], "uris": [text], "error": [error if text is None else None], "hits": [hits], "misses": [misses], "state_errors": [wrong]})
+
+        def close(self) -> None:
+            pass
+
+    start = None if known is None else known.select("hash", "uris").groupBy("hash")
+    return stream.groupBy("hash").transformWithStateInPandas(statefulProcessor=UriLists(), outputStructType=LISTS, outputMode="Append", timeMode="ProcessingTime", initialState=start)
+
+
+def uri_store(spark: SparkSession, path: str) -> KeyedStore:
+    """Where a stream writes its lists through, so that another one starts with them."""
+    return KeyedStore(spark, path, "hash string, uris string", "hash")
+
+
+def serve_uris(stream: DataFrame, out: str, checkpoint: str, ttl_ms: int = TTL_MS) -> StreamingQuery:
+    """The stream's results under ``out``/served, by batch; lists that were parsed go through to the store under ``out``/store."""
+    spark = stream.sparkSession
+    store = uri_store(spark, f"{out}/store")
+    # A checkpoint has its own state; a new one starts with what the store holds.
+    lists = uri_lists(stream, ttl_ms, spark.read.schema(store.schema).parquet(*paths) if (paths := store.files()) else None)
+
+    def write(batch: DataFrame, n: int) -> None:
+        path = f"{out}/served/batch={n}"
+        batch.write.mode("overwrite").parquet(path)
+        new = batch.sparkSession.read.parquet(path).where("misses > 0 and uris is not null")
+        if not new.isEmpty():
+            uri_store(batch.sparkSession, f"{out}/store").upsert(new)
+
+    return lists.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(once=True).start()
+
+
+def served(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(LISTS).parquet(f"{out}/served/*")
+
+
+def run_lists(spark: SparkSession, containers: DataFrame, parts: int = 2) -> DataFrame:
+    """Containers (hash, content, ext) that arrive in some parts: how often each was known, and how often it had to be parsed."""
+    at = shared_dir(spark)
+    with rocksdb(spark):
+        for k in range(parts):
+            containers.where(F.pmod(F.col("n"), F.lit(parts)) == k).select("hash", "content", "ext").write.mode("append").parquet(f"{at}/in")
+            stream = spark.readStream.schema("hash string, content binary, ext string").parquet(f"{at}/in")
+            serve_uris(stream, at, f"{at}/checkpoint").awaitTermination()
+    return served(spark, at).groupBy("hash").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"), F.max("uris").alias("uris"), F.max("error").alias("error"))
+
+
 def run_once(v) -> DataFrame:
     """For every entity of the job stream: how often its marker was alive, and how often the store had to be asked."""
     spark = v.spark

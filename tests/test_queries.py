@@ -4,6 +4,7 @@ import decimal
 import os
 import subprocess
 import sys
+import time
 
 import duckdb
 import pytest
@@ -13,7 +14,7 @@ import __spark_entry__ as entry
 from assetweave.operators import assets, control
 from assetweave.plans import catalogue
 from assetweave.plans.views import Views
-from assetweave.sources import records
+from assetweave.sources import gltf, records
 from assetweave.streaming import triage, ttl
 
 SF = "/root/testdata/sf0.001"
@@ -122,6 +123,64 @@ def test_ttl_keeps_jobs_without_id(spark):
     assert [r["hits"] + r["probes"] for r in ttl.run_once(v).collect()] == [9]
 
 
+def test_markers_expire_and_are_probed_again(spark, tmp_path):
+    schema, got = "entity_id long", []
+    with ttl.rocksdb(spark):
+        for k, (wait, ids) in enumerate([(0, [1, 1, 2]), (0, [1]), (25, [1, 1])]):
+            time.sleep(wait)
+            spark.createDataFrame([(i,) for i in ids], schema).write.mode("append").parquet(f"file://{tmp_path}/in")
+            out = ttl.markers(spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in"), ttl_ms=22_000)
+            out.writeStream.foreachBatch(lambda b, _: got.append(sorted(map(tuple, b.collect())))).option("checkpointLocation", f"file://{tmp_path}/c").trigger(once=True).start().awaitTermination()
+    assert got == [[(1, 1, 1), (2, 0, 1)], [(1, 1, 0)], [(1, 1, 1)]]
+
+
+def glb_rows(spark, *docs):
+    df = spark.createDataFrame([(h, d) for h, d in docs], "hash string, doc string")
+    return df.select("hash", gltf.glb_content(F.col("doc"), F.lit(2)).alias("content"), F.lit(".glb").alias("ext"))
+
+
+def serve(spark, at, rows, checkpoint="c", **how):
+    rows.write.mode("append").parquet(f"{at}/in-{checkpoint}")
+    stream = spark.readStream.schema("hash string, content binary, ext string").parquet(f"{at}/in-{checkpoint}")
+    before = ttl.served(spark, at).groupBy("hash").agg(F.sum("hits").alias("h"), F.sum("misses").alias("m"), F.sum("state_errors").alias("e")).collect() if os.path.exists(f"{at}/served".removeprefix("file://")) else []
+    before = {r["hash"]: (r["h"], r["m"], r["e"]) for r in before}
+    ttl.serve_uris(stream, at, f"{at}/{checkpoint}", **how).awaitTermination()
+    after = ttl.served(spark, at).groupBy("hash").agg(F.sum("hits").alias("h"), F.sum("misses").alias("m"), F.sum("state_errors").alias("e")).collect()
+    change = {r["hash"]: tuple(x - y for x, y in zip((r["h"], r["m"], r["e"]), before.get(r["hash"], (0, 0, 0)))) for r in after}
+    return {h: x for h, x in change.items() if any(x)}
+
+
+def test_reference_lists_live_for_their_time(spark, tmp_path):
+    at, one, bad = f"file://{tmp_path}", '{"images":[{"uri":"a.png"}]}', "[]"
+    with ttl.rocksdb(spark):
+        rows = glb_rows(spark, ("a", one), ("a", one), ("b", bad), ("b", bad))
+        assert serve(spark, at, rows, ttl_ms=6000) == {"a": (1, 1, 0), "b": (0, 2, 0)}
+        time.sleep(8)
+        assert serve(spark, at, glb_rows(spark, ("a", one), ("a", one)), ttl_ms=6000) == {"a": (1, 1, 0)}  # expired, and parsed again
+        assert [tuple(r) for r in ttl.uri_store(spark, f"{at}/store").read().collect()] == [("a", '["a.png"]')]
+
+
+def test_reference_lists_start_with_the_store_and_bad_ones_are_misses(spark, tmp_path):
+    at, doc = f"file://{tmp_path}", '{"images":[{"uri":"x.png"}]}'
+    ttl.uri_store(spark, f"{at}/store").upsert(spark.createDataFrame([("a", '["x.png"]'), ("b", "{not json"), ("c", '{"x": 1}')], "hash string, uris string"))
+    with ttl.rocksdb(spark):
+        rows = glb_rows(spark, ("a", doc), ("b", doc), ("b", doc), ("c", doc), ("d", doc))
+        assert serve(spark, at, rows) == {"a": (1, 0, 0), "b": (1, 1, 1), "c": (0, 1, 1), "d": (0, 1, 0)}
+        assert serve(spark, at, rows.where("hash <> 'a'")) == {"b": (2, 0, 0), "c": (1, 0, 0), "d": (1, 0, 0)}
+    assert {tuple(r) for r in ttl.uri_store(spark, f"{at}/store").read().collect()} == {(h, '["x.png"]') for h in "abcd"}
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_gauge_of_one_label_is_carried_over_ranges(spark, partitions):
+    rows = [("hot" if i % 7 else None, i // 3, i, 1 if i % 3 else -1) for i in range(500)]
+    df = spark.createDataFrame(rows, "worker string, ts long, id long, delta int").repartition(partitions)
+    want, now = {}, {}
+    for w, _, i, d in rows:
+        now[w] = now.get(w, 0) + d
+        want[i] = now[w]
+    assert {r["id"]: r["running"] for r in control.running_gauge(df, ["worker"], "ts", "id").collect()} == want
+
+
 def test_whole_files_keeps_larger_files_without_content(spark, tmp_path):
     for name, n in (("a.bin", 3), ("b.bin", 4), ("c.bin", 5), ("e.txt", 1)):
         (tmp_path / name).write_bytes(b"x" * n)
