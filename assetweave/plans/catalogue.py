@@ -13,6 +13,7 @@ from assetweave.functions import names as N
 from assetweave.operators import assets as A
 from assetweave.operators import containers as K
 from assetweave.operators import control as C
+from assetweave.operators import legacy as Y
 from assetweave.operators import sinks as S
 from assetweave.session import shared_folder, written
 from assetweave.sources import gltf as G3
@@ -265,6 +266,23 @@ def previous_copy(v):
     return A.can_copy_previous(v.sql(NAMES), content, ["entity_id"], WINDOWS)
 
 
+#: Entities with what is known of their previous deployment; its manifest lists all but one of 23 files, its store has all but one of 17.
+LEGACY = """select e.entity_id, e.type kind, e.entity_id % 7 = 0 force, e.entity_id % 11 = 0 iss, e.entity_id % 13 = 0 reuse, case when e.entity_id % 17 <> 0 then e.entity_id - 1 end previous,
+  case when e.entity_id % 19 <> 0 then m.version end previous_version from {v_entities} e left join {v_manifests} m on m.entity_id = e.entity_id"""
+LEGACY_FILES = f"select entity_id, pk, hash, {EXT} in ('.glb', '.gltf', '.bin', {TEXTURES[1:-1]}) valid from {{v_content}}"
+
+
+@query(f"""select l.entity_id, case when force or iss or reuse or kind <> 'scene' then 'not-asked' when previous is null then 'no-previous' when previous_version is null then 'no-manifest' when previous_version <> 'v48' then 'other-version'
+  when f.changed then 'content-changed' when f.first_lost is null then 'copied' else 'copy-failed' end outcome,
+  case when not (force or iss or reuse) and kind = 'scene' and previous is not null and previous_version = 'v48' and not coalesce(f.changed, false) then (select count(*) from ({LEGACY_FILES}) c where c.entity_id = l.entity_id and valid and (f.first_lost is null or pk <= f.first_lost)) else 0 end attempted
+  from ({LEGACY}) l left join (select entity_id, bool_or(not listed) changed, min(pk) filter (where pk % 17 = 0) first_lost from (select *, exists (select 1 from {{v_content}} n
+    where n.entity_id = v.entity_id and n.pk % 23 <> 0 and starts_with(n.hash, v.hash)) listed from ({LEGACY_FILES}) v where valid) x group by 1) f on f.entity_id = l.entity_id""")
+def legacy_reuse(v):
+    named = v.v_content.select("entity_id", "pk", F.concat("hash", F.lit("_windows")).alias("name"))
+    content = v.v_content.select("entity_id", F.col("pk").alias("pos"), "file", "hash")
+    return Y.reuse_previous(v.sql(LEGACY), content, named.where("pk % 23 <> 0"), named.where("pk % 17 <> 0"), WINDOWS, "v48")[0]
+
+
 @query("""select entity_id, count(*) total, count(*) filter (where built) skipped, count(*) > count(*) filter (where built) to_do from
   (select c.entity_id, i.hash is not null built from {v_content} c left join {v_inventory} i on i.hash = c.hash where c.pk % 4 = 0) t group by 1""")
 def build_decision(v):

@@ -7,7 +7,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from assetweave.operators import assets, containers, sinks
+from assetweave.operators import assets, containers, legacy, sinks
 from assetweave.operators.store import Conflict, KeyedStore, manifest_store
 from assetweave.sources import gltf
 
@@ -214,3 +214,18 @@ def test_a_writer_that_comes_second_starts_again(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     with pytest.raises(Conflict):
         store._commit(2, {})
+
+
+def test_copies_stop_at_the_first_failure_and_leave_nothing(spark):
+    facts = "entity_id long, kind string, force boolean, iss boolean, reuse boolean, previous long, previous_version string"
+    ok = ("scene", False, False, False, 9, "v1")
+    rows = [(1, *ok), (2, *ok), (3, *ok), (4, "scene", True, False, False, 9, "v1"), (5, "scene", None, True, False, 9, "v1"), (6, "scene", False, False, True, 9, "v1"), (7, "wearable", False, False, False, 9, "v1"), (8, "scene", False, False, False, None, "v1"), (9, "scene", False, False, False, 9, None), (10, "scene", False, False, False, 9, "v0"), (11, *ok)]
+    content = [(e, p, f"{p}.png", f"h{p}") for e in range(1, 11) for p in range(5)] + [(1, 5, "a.json", "j"), (1, 6, "again.png", "h0")]
+    names = [(e, f"h{p}_mac") for e in range(1, 11) for p in range(5) if (e, p) != (3, 4)]
+    stored = [(e, n) for e, n in names if (e, n) not in ((2, "h2_mac"), (2, "h4_mac"))]
+    df = lambda x, s: spark.createDataFrame(x, s)
+    outcomes, copied = legacy.reuse_previous(df(rows, facts), content_of(spark, content), df(names, "entity_id long, name string"), df(stored, "entity_id long, name string"), "mac", "v1")
+    got = {r["entity_id"]: (r["outcome"], r["attempted"]) for r in outcomes.collect()}
+    want = {1: ("copied", 6), 2: ("copy-failed", 3), 3: ("content-changed", 0), 4: ("not-asked", 0), 5: ("not-asked", 0), 6: ("not-asked", 0), 7: ("not-asked", 0), 8: ("no-previous", 0), 9: ("no-manifest", 0), 10: ("other-version", 0), 11: ("copied", 0)}
+    assert got == want
+    assert {r["entity_id"] for r in copied.collect()} == {1} and copied.count() == 6
