@@ -11,6 +11,7 @@ from assetweave.functions import geometry as G
 from assetweave.functions import jobs as J
 from assetweave.functions import names as N
 from assetweave.operators import assets as A
+from assetweave.operators import backfill as B
 from assetweave.operators import containers as K
 from assetweave.operators import control as C
 from assetweave.operators import legacy as Y
@@ -361,6 +362,49 @@ def migration_stats(v):
     return C.migration_stats(_fates(v), _plan(v))
 
 
+#: Entities that are gone have no content, those with a container that can't be read no digest; the sources of every ninth part are missing.
+BACKFILL_FATE = """select b.entity_id, case when kind in ('sentinel', 'mac', 'version', 'exit', 'nolist') then 'skipped' when kind = 'broken' then 'error' when kind = 'noserver' then 'no-server' when kind = 'gone' or c.entity_id is null then 'no-entity'
+  when u.entity_id is not null then 'digest-failed' else 'kept' end fate from {v_backfill} b left join (select distinct entity_id from {v_content}) c on c.entity_id = b.entity_id left join (select distinct entity_id from {v_content} where pk % 60 = 0) u on u.entity_id = b.entity_id"""
+BACKFILL = f"""select entity_id, file, target_name, case when skipped then 'skipped' when there then 'canonical' when place = first then 'copied' when place > first then 'canonical' else 'missing-source' end action, coalesce(target_name <> file, false) is_gltf
+  from (select *, min(case when not there and source then place end) over (partition by target_name) as first from (
+    select l.entity_id, l.file, coalesce(d.skipped, false) skipped, [concat('manifest/', cast(l.entity_id as varchar), '_windows.json'), l.file] place, i.hash is not null there,
+      coalesce(try_cast(regexp_extract(l.file, '([0-9]+)', 1) as bigint) % 9 <> 0, false) source, case when not coalesce(d.skipped, false) then case when d.digest is not null then replace(l.file, '_windows', concat('_', d.digest, '_windows')) else l.file end end target_name
+    from {{v_listed}} l join ({BACKFILL_FATE}) f on f.entity_id = l.entity_id and f.fate = 'kept'
+    left join ({ASSET_DIGEST}) d on d.entity_id = l.entity_id and d.hash = nullif(regexp_extract(l.file, '^([^_]+)_windows(\\.br)?$', 1), '')
+    left join {{v_inventory}} i on l.file = concat(i.hash, '_windows') and d.digest is null where l.file like '%\\_windows%' escape '\\') p) q"""
+
+
+def _backfill(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Manifests written as files, and the backfill of them; bytes are not copied, as the bundles have none here."""
+    bucket, kind = shared_folder(v.spark, "bucket"), F.col("kind")
+    name = F.concat(F.col("entity_id").cast("string"), F.when(kind == "mac", "_mac.json").when(kind == "sentinel", "_windows_failed.json").otherwise("_windows.json"))
+    fields = (F.when(kind == "version", "v47").otherwise("v48").alias("version"), F.when(kind == "exit", 12).otherwise(0).alias("exitCode"), F.when(kind != "noserver", "https://peer.example.org/content").alias("contentServerUrl"), F.when(kind != "nolist", F.col("files")).alias("files"))
+    body = F.when(kind == "broken", '{"version": "v48", "files": [').otherwise(F.to_json(F.struct(*fields)))
+    listed = v.v_listed.groupBy("entity_id").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    files = v.v_backfill.join(listed, "entity_id", "left").select(name.alias("name"), body.cast("binary").alias("content"))
+    G3.write_files(files, bucket, "manifest")
+    scene = v.stored("v_scene").join(v.v_backfill.where(kind == "gone").select("entity_id"), "entity_id", "left_anti")
+    digests = K.container_digests(scene, _parsed(v).where(F.substring("hash", 2, 20).cast("bigint") % 60 != 0))
+    number = F.try_to_number(F.regexp_extract("file", "([0-9]+)", 1), F.lit("9" * 18))
+    sources = v.v_listed.where(number % 9 != 0).select(F.concat(F.lit("v48/"), F.col("entity_id").cast("string"), F.lit("/"), "file").alias("key"))
+    objects = v.v_inventory.select(N.canonical_key(F.lit("v48"), F.concat("hash", F.lit("_windows"))).alias("key")).union(sources)
+    return B.backfill(v.spark, bucket, shared_folder(v.spark, "backfill"), "v48", WINDOWS, scene, digests, objects)
+
+
+@query(f"select entity_id, file, target_name, action from ({BACKFILL}) b")
+def backfill_plan(v):
+    return _backfill(v)[1].select(F.col("entity_id").cast("long").alias("entity_id"), "file", "target_name", "action")
+
+
+@query(f"""select s.*, p.* exclude (bundle_errors), s2.e + p.bundle_errors errors from (select count(*) manifests_scanned, count(*) filter (where fate = 'kept') manifests_kept, count(*) filter (where fate = 'skipped') manifests_skipped,
+  count(*) filter (where fate = 'no-server') manifests_missing_content_server, count(*) filter (where fate = 'no-entity') manifests_entity_fetch_failed, count(*) filter (where fate = 'digest-failed') manifests_digest_failed from ({BACKFILL_FATE}) f) s,
+  (select count(*) filter (where fate = 'error') e from ({BACKFILL_FATE}) g) s2,
+  (select count(*) filter (where action <> 'skipped') bundles_probed, count(*) filter (where action = 'canonical') bundles_already_canonical, count(*) filter (where action = 'copied') bundles_copied,
+   count(*) filter (where action = 'copied' and is_gltf) glb_renamed, count(*) filter (where action = 'missing-source') bundles_missing_source, count(*) filter (where action = 'skipped') glb_skipped, count(*) filter (where action = 'error') bundle_errors from ({BACKFILL}) q) p""")
+def backfill_stats(v):
+    return C.migration_stats(*_backfill(v))
+
+
 MANIFEST_BODY = """case when o_orderkey % 5 = 0 then to_json(struct_pack(version := 'v49', exitCode := case when o_orderkey % 10 = 0 then 12 end)) else to_json(struct_pack(version := 'v48', exitCode := 0)) end"""
 
 

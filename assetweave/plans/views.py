@@ -28,6 +28,11 @@ VIEWS = {
         else concat('<"images":[<"uri":"Tex%20', cast(pk % 40 as string), '.png">,<"uri":"./Tex%20', cast(pk % 40 as string), '.png">,<"uri":"data:image/png;base64,AA">,<"bufferView":0>,null],"buffers":[<"uri":"../buffers/b', cast(pk % 24 as string), '.bin">]>') end, '<>', concat(chr(123), chr(125))) doc
         from (select p_partkey pk, concat('h', cast(p_partkey as string)) hash from {part} where p_partkey % 4 = 0) p""",
     "v_thumbs": "select entity_id, concat('MODELS/', cast(min(pk) as string), '.PNG') thumb from {v_content} where pk % 4 = 1 group by entity_id having min(pk) % 3 = 0",
+    # Manifests of each base's newest deployment; some are of another kind, broken, old, without a server or of an entity that is gone.
+    "v_backfill": """select entity_id, case entity_id % 23 when 0 then 'sentinel' when 1 then 'mac' when 2 then 'broken' when 3 then 'version' when 4 then 'exit' when 5 then 'nolist' when 6 then 'noserver' when 7 then 'gone' else 'good' end kind
+        from (select o_orderkey entity_id, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) n from {orders}) o where n = 1""",
+    "v_listed": """select entity_id, 'AssetBundles' file from {v_backfill} union all select c.entity_id, concat(c.hash, v.v) from {v_content} c join {v_backfill} b on b.entity_id = c.entity_id
+        join (select '_windows' v, 0 m union all select '_windows.br', 1 union all select '_d_windows', 2 union all select 'z_windows', 3 union all select '_mac', 4) v on v.m = 0 or c.pk % 5 = v.m where c.pk % 4 in (0, 1)""",
     "v_jobs": "select event_id job_id, ts, user_id entity_id, event_type = 'error' lods, event_type = 'signup' force, event_type = 'purchase' iss, event_type, value from {events}",
     "v_bundles": """select concat('h', cast(p_partkey as string), case p_size % 3 when 0 then '_windows' when 1 then '_mac' else '_windows.br' end) bundle, p_partkey pk, p_brand, p_size,
         concat('Qm', cast(p_partkey as string), case p_partkey % 2 when 0 then 'Ab' else 'xY' end) cid from {part}""",
