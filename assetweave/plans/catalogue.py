@@ -731,6 +731,35 @@ def stream_triage(v):
     return run_once(v, _facts(v))
 
 
+@query("""select lane, late, count(*) jobs, case when lane = 'priority' then 1 + late::bigint else 3 + late::bigint end place
+  from (select case when force then 'priority' else 'standard' end lane, job_id % 3 = 0 late from {v_jobs}) j group by 1, 2""")
+def stream_lanes(v):
+    """Jobs as messages of two queues: late ones of the priority queue pass the standard work that was there before."""
+    from assetweave.streaming.lanes import run_lanes
+
+    return run_lanes(v.spark, v.v_jobs.withColumn("ts", F.col("ts").cast("timestamp")), F.col("job_id") % 3 == 0)
+
+
+ROUTED = f"""select job_id, coalesce(lods, false) lods, case when force then 'priority' else 'standard' end lane, o.outcome, r.triage_exit, case when j.entity_id is null or (job_id % 101 = 0 and not lods) or (job_id % 101 <> 0 and job_id % 103 = 0) then 'dropped'
+  when lods or force or iss or coalesce(r.triage, 'needs-unity') = 'needs-unity' then 'conversion' when r.triage = 'failed' then 'failed' else 'fast_path' end route
+  from {{v_jobs}} j left join ({UNFORCED}) o on o.entity_id = j.entity_id left join {RESULT_TABLE} on r.outcome = o.outcome"""
+
+
+@query(f"""select * from (with t as ({ROUTED}), m as (select 'job_queue_enqueue_total' metric, 'triage' label, count(*) value from t
+  union all select 'job_queue_enqueue_total', 'conversion', count(*) from t where route = 'conversion'
+  union all select 'ab_converter_conversion_queue_publish_total', lane, count(*) from t where route = 'conversion' group by lane
+  union all select 'ab_converter_triage_outcomes_total', case when route = 'failed' then 'failed' when route = 'conversion' then 'republished' when outcome = 'full-hit' then 'fast_path' else 'already_converted' end, count(*) from t where route <> 'dropped' and not lods group by 2
+  union all select 'ab_converter_asset_reuse_short_circuit_total', 'windows', count(*) from t where route = 'fast_path' and outcome = 'full-hit'
+  union all select 'ab_converter_exit_codes', '0', count(*) from t where route = 'fast_path' and outcome = 'full-hit'
+  union all select 'ab_converter_exit_codes', 'FAIL', count(*) from t where route = 'failed') select * from m where value > 0) w""")
+def stream_metrics(v):
+    """Counters collected while all jobs go through triage and conversion."""
+    from assetweave.streaming.lanes import run_metrics
+    from assetweave.streaming.triage import addressed
+
+    return run_metrics(v.spark, addressed(v.v_jobs.withColumn("ts", F.col("ts").cast("timestamp"))), _facts(v))
+
+
 @query("select entity_id, count(*) - 1 hits, 1 probes from {v_jobs} group by 1")
 def stream_ttl(v):
     from assetweave.streaming.ttl import run_once
