@@ -760,6 +760,19 @@ def stream_metrics(v):
     return run_metrics(v.spark, addressed(v.v_jobs.withColumn("ts", F.col("ts").cast("timestamp"))), _facts(v))
 
 
+@query("""select e.entity_id, e.base, case when e.entity_id % 3 = 0 then a.p else f.p end at_arrival, a.p previous from {v_entities} e
+  left join (select x.entity_id, arg_max(y.entity_id, [epoch_ms(y.ts::timestamp)::varchar, y.entity_id::varchar]) p from {v_entities} x join {v_entities} y on x.base = y.base and x.entity_id <> y.entity_id and y.type = 'scene' group by 1) a on a.entity_id = e.entity_id
+  left join (select x.entity_id, arg_max(y.entity_id, [epoch_ms(y.ts::timestamp)::varchar, y.entity_id::varchar]) p from {v_entities} x join {v_entities} y on x.base = y.base and x.entity_id <> y.entity_id and y.type = 'scene' and y.entity_id % 3 <> 0 group by 1) f on f.entity_id = e.entity_id
+  where e.type = 'scene'""")
+def stream_changes(v):
+    """The deployments as a feed in two parts: each one's previous deployment when it arrived and at the end."""
+    from assetweave.streaming.changes import run_changes
+
+    number = lambda c: F.col(c).cast("long").alias(c)
+    out = run_changes(v.spark, v.v_entities, F.col("entity_id") % 3 == 0, shared_folder(v.spark, "changes"))
+    return out.select(number("entity_id"), number("base"), number("at_arrival"), number("previous"))
+
+
 @query("select entity_id, count(*) - 1 hits, 1 probes from {v_jobs} group by 1")
 def stream_ttl(v):
     from assetweave.streaming.ttl import run_once
