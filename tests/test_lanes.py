@@ -114,3 +114,8 @@ def test_work_that_cannot_be_handed_over_is_done_and_counted(spark, tmp_path):
     got = {r["metric"]: r["value"] for r in Q.metrics(spark, at).collect()}
     assert got == {"ab_converter_triage_outcomes_total": 2, "ab_converter_conversion_queue_publish_errors_total": 2, "ab_converter_republish_fallback_inline_total": 2}
     assert sorted(r["job_id"] for r in spark.read.parquet(f"{at}/converted/*").collect()) == [1, 2]
+
+
+def test_a_queue_that_cannot_be_written_is_a_publish_error(spark):
+    with pytest.raises(T.PublishError):
+        Q.hand_over(jobs_of(spark, (1, 1, False, False)), F.col("force"), "file:///proc/none", "b")
