@@ -617,7 +617,9 @@ PIXELS = "select vec_id image, label, embedding from {embeddings}"
   select a.vec_id image, count(*) n, (count(*) - count(*) filter (where abs(a.g - b.g) >= 9)) * 100 // count(*) affinity, (count(*) - count(*) filter (where abs(a.g - b.g) >= 9)) * 100 // count(*) >= 95 valid
   from p a join p b on b.pos = a.pos and b.vec_id = a.vec_id - a.vec_id % 10 group by 1""")
 def image_affinity(v):
-    px = v.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "x")).select("vec_id", "pos", F.floor(F.col("x").cast("double") * 127 + 128).alias("g"))
+    # In single precision, as the components are: in double precision a value just below a whole number would stay below it.
+    single = lambda n: F.lit(n).cast("float")
+    px = v.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "x")).select("vec_id", "pos", F.floor(F.col("x") * single(127) + single(128)).alias("g"))
     gray = F.struct(F.col("g").alias("r"), F.col("g").alias("g"), F.col("g").alias("b"))
     a = px.select("vec_id", "pos", (F.col("vec_id") - F.col("vec_id") % 10).alias("base"), gray.alias("a"))
     b = px.where(F.col("vec_id") % 10 == 0).select(F.col("vec_id").alias("base"), "pos", gray.alias("b"))
