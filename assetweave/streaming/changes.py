@@ -61,7 +61,9 @@ def follow(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
         spark, path = batch.sparkSession, f"{out}/arrived/batch={n}"
         batch.write.mode("overwrite").parquet(path)
         rows, store = spark.read.schema(CHANGES).parquet(path), newest_store(spark, f"{out}/newest")
-        new = two_newest(rows)
+        # Written: the reduced batch is read twice, and the union below is of tables then, whatever joins and shuffles they came from.
+        two_newest(rows).write.mode("overwrite").parquet(f"{out}/reduced/batch={n}")
+        new = spark.read.schema(NEWEST).parquet(f"{out}/reduced/batch={n}")
         old = kept_rows(store.read().join(new.select("base"), "base", "left_semi"))
         store.upsert(two_newest(old.unionByName(kept_rows(new))))
         previous(rows, store.read()).write.mode("overwrite").parquet(f"{out}/answered/batch={n}")

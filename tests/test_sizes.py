@@ -5,8 +5,12 @@ import os
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
 
+from assetweave.operators import control
 from assetweave.plans import catalogue
+from assetweave.streaming import changes
 
 
 def folder_of(at, **tables):
@@ -35,3 +39,17 @@ def test_pixels_are_compared_in_single_precision(spark, tmp_path):
     vectors = pa.array([[(130.5 - 128) / 127] * 4, [0.08661415427923203] * 4], pa.list_(pa.float32()))
     at = folder_of(tmp_path, embeddings={"vec_id": [0, 1], "label": [0, 0], "embedding": vectors})
     assert same_as_twin(spark, at, "image_affinity") == [(0, 4, 100, True), (1, 4, 0, False)]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "2000"])
+def test_feed_whose_bases_are_joined_by_shuffles(spark, tmp_path, threshold):
+    # Small tables are broadcast, and then the union of what is kept and what is new has no partitions of its own.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.range(3000).selectExpr("id entity_id", "'scene' type", "id % 900 base", "timestamp_seconds(id * 7 % 1000) ts")
+        got = changes.run_changes(spark, df, F.col("entity_id") % 2 == 0, f"file://{tmp_path}").collect()
+        want = {r["entity_id"]: r["previous"] for r in control.previous_deployment(df).collect()}
+        assert {int(r["entity_id"]): r["previous"] and int(r["previous"]) for r in got} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
