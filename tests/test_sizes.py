@@ -53,3 +53,10 @@ def test_feed_whose_bases_are_joined_by_shuffles(spark, tmp_path, threshold):
         assert {int(r["entity_id"]): r["previous"] and int(r["previous"]) for r in got} == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_placement_spreads_parts_and_places_a_part_once_a_nation(spark, tmp_path):
+    ids = list(range(1, 121))
+    at = folder_of(tmp_path, part={"p_partkey": ids, "p_size": [i % 7 + 1 for i in ids]}, supplier={"s_suppkey": ids, "s_nationkey": [i % 2 for i in ids]})
+    assert any(r[1] is None for r in same_as_twin(spark, at, "placement"))
+    assert catalogue.queries()["placement"](spark, at).rdd.getNumPartitions() >= 64
