@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetweave.session import written
+from assetweave.session import fitted, written
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -49,7 +49,9 @@ class Views:
         made = self.__dict__["made"]
         if name not in made:
             if name in TABLES:
-                made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                path = f"{self.folder}/{name}.parquet"
+                fitted(self.spark, path)
+                made[name] = self.spark.read.parquet(path)
             elif name in VIEWS:
                 made[name] = self.sql(VIEWS[name])
             else:

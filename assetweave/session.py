@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a table, compressed, for each shuffle partition; most bytes of a split and of shuffle partitions that are joined.
+SHARE = 4 << 20
+SPLIT = 16 << 20
+
 
 def session(app: str = "assetweave", cores: int | None = None, **conf: str) -> SparkSession:
     """UTC clock, ANSI arithmetic, adaptive execution; ``conf`` adds or replaces settings.
@@ -37,8 +41,26 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def fitted(spark: SparkSession, path: str) -> None:
+    """Sizes the session's shuffles and splits by the table at ``path``, so that a task's share stays the same however large the table is.
+
+    The number of shuffle partitions is only raised and the size of splits only lowered; adaptive execution joins what turns out small.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    if (n := -(-size // SHARE)) > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    conf = spark._jsparkSession.sessionState().conf()
+    if conf.filesMaxPartitionBytes() > SPLIT:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT))
+    # What adaptive execution joins is no larger than a split either.
+    joined = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if conf.getConf(getattr(spark._jvm.org.apache.spark.sql.internal.SQLConf, "ADVISORY_PARTITION_SIZE_IN_BYTES")()) > SPLIT:
+        spark.conf.set(joined, str(SPLIT))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: several readers share one computation."""
+    """``df`` as a table in the shared folder: several readers share one computation.  Its row groups are as small as a split."""
     spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(SPLIT)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from assetweave.operators import control
 from assetweave.plans import catalogue
+from assetweave.plans.views import Views
+from assetweave.session import SPLIT
 from assetweave.streaming import changes
 
 
@@ -60,3 +62,18 @@ def test_placement_spreads_parts_and_places_a_part_once_a_nation(spark, tmp_path
     at = folder_of(tmp_path, part={"p_partkey": ids, "p_size": [i % 7 + 1 for i in ids]}, supplier={"s_suppkey": ids, "s_nationkey": [i % 2 for i in ids]})
     assert any(r[1] is None for r in same_as_twin(spark, at, "placement"))
     assert catalogue.queries()["placement"](spark, at).rdd.getNumPartitions() >= 64
+
+
+def test_shuffles_and_splits_are_sized_by_the_table(spark, tmp_path):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "4")
+        spark.conf.unset(names[1])
+        (tmp_path / "orders.parquet").mkdir()
+        pq.write_table(pa.table({"x": pa.array(os.urandom(1 << 20) for _ in range(24))}), f"{tmp_path}/orders.parquet/a.parquet", compression="none")
+        assert Views(spark, f"file://{tmp_path}").orders.rdd.getNumPartitions() >= 1
+        assert int(spark.conf.get(names[0])) >= 6 and spark.conf.get(names[1]) == str(SPLIT)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
