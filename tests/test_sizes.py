@@ -8,7 +8,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from assetweave.operators import control
+from assetweave.functions import names
+from assetweave.operators import backfill, containers, control
 from assetweave.plans import catalogue
 from assetweave.plans.views import Views
 from assetweave.session import SPLIT
@@ -77,3 +78,44 @@ def test_shuffles_and_splits_are_sized_by_the_table(spark, tmp_path):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_a_task_reads_many_small_manifests(spark, tmp_path):
+    settings = {"spark.sql.files.maxPartitionBytes": str(SPLIT), "spark.sql.files.openCostInBytes": str(4 << 20), "spark.sql.sources.parallelPartitionDiscovery.parallelism": "10000"}
+    before = {n: spark.conf.get(n, None) for n in settings}
+    for n, v in settings.items():
+        spark.conf.set(n, v)
+    try:
+        (tmp_path / "manifest").mkdir()
+        cores = spark.sparkContext.defaultParallelism
+        for i in range(12 * cores):
+            (tmp_path / "manifest" / f"e{i}_windows.json").write_text("{}")
+        assert backfill.read_manifests(spark, f"file://{tmp_path}", f"file://{tmp_path}/run").count() == 12 * cores
+        # Four files a task, with Spark's own price of a file, are three tasks a core; each writes a file.
+        assert sum(f.endswith(".parquet") for f in os.listdir(tmp_path / "run" / "read")) <= cores + 1
+        assert {n: spark.conf.get(n) for n in settings} == settings
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v) if v else spark.conf.unset(n)
+
+
+def test_digests_group_by_entity_and_hash_after_one_shuffle(spark):
+    scene = spark.createDataFrame([("e", 1, "m/a.glb", "a"), ("e", 2, "m/T.png", "t"), ("e", 3, "m/t.PNG", "u")], "entity_id string, pos long, file string, hash string")
+    parsed = spark.createDataFrame([("a", ["t.png"], None)], "hash string, uris array<string>, error string")
+    df = containers.container_digests(scene, parsed)
+    assert [(r["digest"], r["skipped"]) for r in df.collect()] == [(control_digest(spark, "m/t.png", "u"), False)]
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("collect_set") == 2  # partial and final side by side, in the place of one on each side of a shuffle
+    shuffles = [x for x in df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines() if "Exchange hashpartitioning(entity_id" in x]
+    assert len(shuffles) <= 2
+
+
+def control_digest(spark, file, hash_):
+    one = spark.createDataFrame([([(file, hash_)],)], "p array<struct<file string, hash string>>")
+    return one.select(names.json_digest(F.col("p"))).first()[0]
+
+
+def test_extension_without_a_pattern(spark):
+    files = ["a.GLB", "x/y", "a.b/c", "a.", "", None, "..png", "a.b\n", "a\n.Png"]
+    want = spark.createDataFrame([(f,) for f in files], "f string").select(names.extension(F.col("f")), F.lower(F.regexp_extract("f", r"(?s)(\.[^.]*)$", 1)))
+    assert all(a == b for a, b in want.collect())
