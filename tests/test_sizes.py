@@ -119,3 +119,10 @@ def test_extension_without_a_pattern(spark):
     files = ["a.GLB", "x/y", "a.b/c", "a.", "", None, "..png", "a.b\n", "a\n.Png"]
     want = spark.createDataFrame([(f,) for f in files], "f string").select(names.extension(F.col("f")), F.lower(F.regexp_extract("f", r"(?s)(\.[^.]*)$", 1)))
     assert all(a == b for a, b in want.collect())
+
+
+def test_only_files_that_a_thumbnail_names_compete_for_its_path(spark):
+    content = spark.createDataFrame([("e", 1, "T.png", "a"), ("e", 2, "t.PNG", "b"), ("e", 3, "x/Autogenerated-Thumbnail.png", "c"), ("f", 1, "t.png", "d")], "entity_id string, pos long, file string, hash string")
+    df = containers.metadata_only(content, spark.createDataFrame([("e", "T.PNG"), ("e", "t.png"), ("f", None)], "entity_id string, thumb string"))
+    assert sorted(map(tuple, df.collect())) == [("e", "b", True, False), ("e", "c", False, True)]
+    assert "LeftSemi" in df._jdf.queryExecution().optimizedPlan().toString()
