@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 
 import duckdb
 import pyarrow as pa
@@ -14,7 +15,8 @@ from assetweave.operators import backfill, containers, control
 from assetweave.plans import catalogue
 from assetweave.plans.views import Views
 from assetweave.session import SPLIT
-from assetweave.streaming import changes
+from assetweave.sources import gltf
+from assetweave.streaming import changes, ttl
 
 
 def folder_of(at, **tables):
@@ -126,3 +128,24 @@ def test_only_files_that_a_thumbnail_names_compete_for_its_path(spark):
     df = containers.metadata_only(content, spark.createDataFrame([("e", "T.PNG"), ("e", "t.png"), ("f", None)], "entity_id string, thumb string"))
     assert sorted(map(tuple, df.collect())) == [("e", "b", True, False), ("e", "c", False, True)]
     assert "LeftSemi" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reference_lists_share_keys_of_state_and_end_one_by_one(spark, tmp_path):
+    at, got, rows = f"file://{tmp_path}", [], []
+    content = gltf.glb_content(F.lit('{"images":[{"uri":"a.png"}]}'), F.lit(2)).alias("content")
+
+    def serve(wait, *hashes):
+        time.sleep(wait)
+        spark.createDataFrame([(h,) for h in hashes], "hash string").select("hash", content, F.lit(".glb").alias("ext")).write.mode("append").parquet(f"{at}/in")
+        out = ttl.uri_lists(spark.readStream.schema("hash string, content binary, ext string").parquet(f"{at}/in"), ttl_ms=22_000, buckets=2)
+        q = out.writeStream.foreachBatch(lambda b, _: got.append({r["hash"]: (r["hits"], r["misses"]) for r in b.collect()})).option("checkpointLocation", f"{at}/c").trigger(once=True).start()
+        q.awaitTermination()
+        rows.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+    many = [f"h{i}" for i in range(200)]
+    with ttl.rocksdb(spark):
+        serve(0, *many, *many)
+        serve(12, "new")
+        serve(12, "new", "h7")
+    assert got == [dict.fromkeys(many, (1, 1)), {"new": (0, 1)}, {"new": (1, 0), "h7": (0, 1)}]
+    assert max(rows) < 100
