@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .names import bound
+
 # Hosts that must not be reached, identifiers, versions.
 INTERNAL_SUFFIXES = (".localhost", ".local", ".internal", ".corp", ".home", ".arpa", ".onion")
 CID = r"^[a-zA-Z0-9]+$"
@@ -32,11 +34,14 @@ def is_ip(host: Column) -> Column:
 
 def is_safe_url(url: Column) -> Column:
     """https, with a host that is a public name: no IP address, no internal suffix."""
-    host = F.regexp_replace(url_host(url), r"\.$", "")
-    inside = host == "localhost"
-    for s in INTERNAL_SUFFIXES:
-        inside = inside | host.endswith(s)
-    return F.coalesce((url_scheme(url) == "https") & (host != "") & ~is_ip(host) & ~inside, F.lit(False))
+
+    def public(host: Column) -> Column:
+        inside = host == "localhost"
+        for s in INTERNAL_SUFFIXES:
+            inside = inside | host.endswith(s)
+        return (host != "") & ~is_ip(host) & ~inside
+
+    return F.coalesce((url_scheme(url) == "https") & bound(F.regexp_replace(url_host(url), r"\.$", ""), public), F.lit(False))
 
 
 def allowed_hosts(setting: Column) -> Column:

@@ -41,14 +41,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def dealt(df: DataFrame, least: int = 4) -> DataFrame:
+    """``df`` over as many partitions as the session's shuffles have, so that files written of it are no larger when there are more rows."""
+    return df.repartition(max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def fitted(spark: SparkSession, path: str) -> None:
     """Sizes the session's shuffles and splits by the table at ``path``, so that a task's share stays the same however large the table is.
 
     The number of shuffle partitions is only raised and the size of splits only lowered; adaptive execution joins what turns out small.
     """
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    if (n := -(-size // SHARE)) > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if (n := -(-size_of(spark, path) // SHARE)) > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
     conf = spark._jsparkSession.sessionState().conf()
     if conf.filesMaxPartitionBytes() > SPLIT:

@@ -15,12 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 from assetweave.functions import jobs as J
 from assetweave.functions import names as N
 from assetweave.operators import control as C
-from assetweave.session import shared_folder
+from assetweave.session import dealt, shared_folder, size_of
 
 SCHEMA = "job_id long, ts timestamp, entity_id long, lods boolean, force boolean, iss boolean, event_type string, value double"
 JOB_SCHEMA = SCHEMA + ", servers array<string>, lod_urls array<string>"
 HANDED = JOB_SCHEMA + ", lane string"
 HOSTS = "peer.example.org"
+#: Bytes of job files that a batch takes at least.
+BATCH = 1 << 30
 
 
 class PublishError(Exception):
@@ -31,8 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_folder(spark, "stream")
 
 
-def jobs(spark: SparkSession, folder: str, schema: str = SCHEMA) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(folder)
+def batch_bytes(spark: SparkSession, facts: str) -> int:
+    """Each batch is joined with all facts: where it is no smaller than they are, all batches together read no more of them than jobs."""
+    return max(BATCH, size_of(spark, facts))
+
+
+def jobs(spark: SparkSession, folder: str, schema: str = SCHEMA, batch: int = BATCH) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch).parquet(folder)
 
 
 def _probed(df: DataFrame, facts: DataFrame) -> DataFrame:
@@ -40,7 +47,9 @@ def _probed(df: DataFrame, facts: DataFrame) -> DataFrame:
     no = F.lit(False)
     is_lod = F.coalesce("lods", no)
     lod_urls = F.when(is_lod, F.col("lod_urls"))
-    reason = J.reject_reason(F.col("entity_id").cast("string"), F.col("servers"), lod_urls, J.allowed_hosts(F.lit(HOSTS)))
+    # The setting is read once, not for each address of each job.
+    hosts = F.lit(df.sparkSession.range(1).select(J.allowed_hosts(F.lit(HOSTS))).first()[0])
+    reason = J.reject_reason(F.col("entity_id").cast("string"), F.col("servers"), lod_urls, hosts)
     x = df.withColumns({"reason": reason, "is_lod": is_lod}).join(facts, "entity_id", "left")
     x = x.withColumns({"target": F.coalesce("target", F.lit(N.TARGETS[0]))} | {c: F.coalesce(c, no) for c in ("converted", "fetched", "digest_ok", "probe_ok")})
     outcome = C.outcome_of_facts(F.coalesce("force", no), F.coalesce("iss", no))
@@ -88,7 +97,7 @@ def start_triage(stream: DataFrame, facts: DataFrame, out: str, checkpoint: str,
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def start_conversion(spark: SparkSession, facts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def start_conversion(spark: SparkSession, facts: DataFrame, out: str, checkpoint: str, batch: int = BATCH) -> StreamingQuery:
     """The second stream: reads the queue that triage writes."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/queue")
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
@@ -96,7 +105,7 @@ def start_conversion(spark: SparkSession, facts: DataFrame, out: str, checkpoint
     def write(batch: DataFrame, n: int) -> None:
         convert(batch.drop("batch"), facts).sort(F.col("lane") == "standard", "ts", "job_id").write.mode("overwrite").parquet(f"{out}/converted/queue-{n}")
 
-    return jobs(spark, f"{out}/queue", HANDED + ", batch long").writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return jobs(spark, f"{out}/queue", HANDED + ", batch long", batch).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def addressed(df: DataFrame) -> DataFrame:
@@ -110,9 +119,10 @@ def run(spark: SparkSession, rows: DataFrame, facts: DataFrame, at: str, publish
     """Both streams over what is there: the routed jobs, and the converted ones."""
     facts.write.parquet(f"{at}/facts")
     found = spark.read.parquet(f"{at}/facts")
-    rows.repartition(4).write.parquet(f"{at}/jobs")
-    start_triage(jobs(spark, f"{at}/jobs", JOB_SCHEMA), found, at, f"{at}/checkpoint-triage", publish).awaitTermination()
-    start_conversion(spark, found, at, f"{at}/checkpoint-conversion").awaitTermination()
+    dealt(rows).write.parquet(f"{at}/jobs")
+    size = batch_bytes(spark, f"{at}/facts")
+    start_triage(jobs(spark, f"{at}/jobs", JOB_SCHEMA, size), found, at, f"{at}/checkpoint-triage", publish).awaitTermination()
+    start_conversion(spark, found, at, f"{at}/checkpoint-conversion", size).awaitTermination()
     done = spark.read.schema("job_id long, ts timestamp, entity_id long, lane string, outcome string, exit_code int").option("recursiveFileLookup", "true")
     return spark.read.option("basePath", f"{at}/routed").parquet(f"{at}/routed/*"), done.parquet(f"{at}/converted")
 

@@ -16,7 +16,7 @@ from assetweave.plans import catalogue
 from assetweave.plans.views import Views
 from assetweave.session import SPLIT
 from assetweave.sources import gltf
-from assetweave.streaming import changes, ttl
+from assetweave.streaming import changes, triage, ttl
 
 
 def folder_of(at, **tables):
@@ -149,3 +149,28 @@ def test_reference_lists_share_keys_of_state_and_end_one_by_one(spark, tmp_path)
         serve(12, "new", "h7")
     assert got == [dict.fromkeys(many, (1, 1)), {"new": (0, 1)}, {"new": (1, 0), "h7": (0, 1)}]
     assert max(rows) < 100
+
+
+def many_jobs(spark):
+    cols = [F.col("id").alias("job_id"), F.lit(None).cast("timestamp").alias("ts"), (F.col("id") % 9).alias("entity_id"), F.lit(False).alias("lods"), (F.col("id") % 5 == 0).alias("force"), F.lit(False).alias("iss"), F.lit("x").alias("event_type"), F.lit(0.0).alias("value")]
+    return triage.addressed(spark.range(3, 600).select(*cols)).where("size(servers) > 0")
+
+
+FACTS = "entity_id long, kind string, target string, converted boolean, fetched boolean, digest_ok boolean, probe_ok boolean, probes long, n_missing long"
+
+
+@pytest.fixture
+def twelve(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    yield spark.createDataFrame([(i, "scene", "windows", False, True, True, True, 3, i % 2) for i in range(9)], FACTS)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_jobs_are_dealt_by_the_shuffles_and_many_files_are_one_batch(spark, tmp_path, twelve):
+    df = many_jobs(spark)
+    routed, converted = triage.run(spark, df, twelve, f"file://{tmp_path}")
+    assert routed.count() == df.count() and converted.count() == routed.where("route = 'conversion'").count() > 100
+    parquet = lambda at: [f for f in os.listdir(tmp_path / at) if f.endswith(".parquet")]
+    # Each batch is joined with all facts, so files must not make batches.
+    assert len(parquet("jobs")) >= 12 and os.listdir(tmp_path / "routed") == ["batch=0"] and os.listdir(tmp_path / "converted") == ["queue-0"]
