@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from assetweave.operators import control as C
 from assetweave.operators.sinks import queue_messages
+from assetweave.session import dealt
 from assetweave.streaming import triage as T
 
 STANDARD, PRIORITY = "standard", "priority"
@@ -29,7 +30,7 @@ def publish(jobs: DataFrame, prioritize: Column, queues: str, batch: str, lanes:
     rows = queue_messages(jobs, F.struct(*jobs.columns), prioritize, STANDARD, PRIORITY if lanes else None)
     rows = rows.observe(seen, F.count("*").alias("published"), F.count_if(F.col("queue") == PRIORITY).alias("prioritized"))
     out = rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy("queue", "batch").text(queues)
+    out.option("compression", "gzip").partitionBy("queue", "batch").text(queues)
     return seen.get
 
 
@@ -47,12 +48,12 @@ def opened(messages: DataFrame, schema: str) -> DataFrame:
     return messages.select(parsed.alias("job")).select("job.*", F.col("job").isNull().alias("malformed"))
 
 
-def take_round(spark: SparkSession, queues: str, checkpoint: str, handle: Handle, schema: str = T.JOB_SCHEMA, files_per_batch: int = 8, lanes: bool = True) -> int:
-    """All that is in the queues: first the priority queue, and it again before each batch of ``files_per_batch`` files of the standard one.
+def take_round(spark: SparkSession, queues: str, checkpoint: str, handle: Handle, schema: str = T.JOB_SCHEMA, files_per_batch: int = 8, lanes: bool = True, batch_bytes: int | None = None) -> int:
+    """All that is in the queues: first the priority queue, and it again before each batch of ``files_per_batch`` files of the standard one, or of ``batch_bytes``.
 
     ``handle`` gets the jobs of a batch (``opened``), its queue and a name that stays the same when the batch is made again.  Returns the number of batches.
     """
-    done = 0
+    done, limit = 0, ("maxBytesPerTrigger", batch_bytes) if batch_bytes else ("maxFilesPerTrigger", files_per_batch)
     for lane in (PRIORITY, STANDARD):
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{queues}/queue={lane}")
         p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
@@ -64,7 +65,7 @@ def take_round(spark: SparkSession, queues: str, checkpoint: str, handle: Handle
             handle(opened(batch, schema), lane, f"{lane}-{n}")
             done += 1
 
-        stream = spark.readStream.schema("value string, batch string").option("maxFilesPerTrigger", files_per_batch).text(f"{queues}/queue={lane}")
+        stream = spark.readStream.schema("value string, batch string").option(*limit).text(f"{queues}/queue={lane}")
         stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{lane}").trigger(availableNow=True).start().awaitTermination()
 
     first = (lambda: drain(PRIORITY, lambda: None)) if lanes else (lambda: None)
@@ -170,8 +171,8 @@ def run_metrics(spark: SparkSession, jobs: DataFrame, facts: DataFrame) -> DataF
     at = T.shared_dir(spark)
     facts.write.parquet(f"{at}/facts")
     found = spark.read.parquet(f"{at}/facts")
-    sent = publish(jobs.repartition(4), F.col("force"), f"{at}/queues", "all")
+    sent, size = publish(dealt(jobs), F.col("force"), f"{at}/queues", "all"), T.batch_bytes(spark, f"{at}/facts")
     _count(spark, at, "published", [("job_queue_enqueue_total", "triage", sent["published"])])
-    take_round(spark, f"{at}/queues", f"{at}/triage", triage_handler(found, at))
-    take_round(spark, f"{at}/conversion", f"{at}/converting", conversion_handler(found, at))
+    take_round(spark, f"{at}/queues", f"{at}/triage", triage_handler(found, at), batch_bytes=size)
+    take_round(spark, f"{at}/conversion", f"{at}/converting", conversion_handler(found, at), batch_bytes=size)
     return metrics(spark, at)

@@ -16,7 +16,7 @@ from assetweave.plans import catalogue
 from assetweave.plans.views import Views
 from assetweave.session import SPLIT
 from assetweave.sources import gltf
-from assetweave.streaming import changes, triage, ttl
+from assetweave.streaming import changes, lanes, triage, ttl
 
 
 def folder_of(at, **tables):
@@ -174,3 +174,14 @@ def test_jobs_are_dealt_by_the_shuffles_and_many_files_are_one_batch(spark, tmp_
     parquet = lambda at: [f for f in os.listdir(tmp_path / at) if f.endswith(".parquet")]
     # Each batch is joined with all facts, so files must not make batches.
     assert len(parquet("jobs")) >= 12 and os.listdir(tmp_path / "routed") == ["batch=0"] and os.listdir(tmp_path / "converted") == ["queue-0"]
+
+
+def test_messages_are_dealt_and_compressed_and_many_files_are_one_batch(spark, tmp_path, monkeypatch, twelve):
+    monkeypatch.setattr(triage, "shared_dir", lambda _: f"file://{tmp_path}")
+    df = many_jobs(spark)
+    got = {(r["metric"], r["label"]): r["value"] for r in lanes.run_metrics(spark, df, twelve).collect()}
+    assert got["job_queue_enqueue_total", "triage"] == df.count() == spark.read.parquet(f"file://{tmp_path}/routed/*").count()
+    assert got["job_queue_enqueue_total", "conversion"] == spark.read.parquet(f"file://{tmp_path}/converted/*").count()
+    files = [f for f in os.listdir(tmp_path / "queues/queue=standard/batch=all") if not f.startswith((".", "_"))]
+    assert len(files) >= 12 and all(f.endswith(".txt.gz") for f in files)
+    assert sorted(os.listdir(tmp_path / "routed")) == ["batch=priority-0", "batch=standard-0"]
