@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .byte_pairs import rank_encoder
 from .common import make_folder, materialise, new_path
 from .token_counts import load
 
@@ -115,10 +116,24 @@ class ByteLevelEncoder:
         return b"".join(self.learn(new))
 
 
+class FileEncoder:
+    """Ids by ranks, as bytes; texts that the rank library might cut differently go to the file's own library, in parts."""
+
+    def __init__(self, path: str):
+        self.ranks, self.parts = rank_encoder(path), ByteLevelEncoder(path)
+        self.type = self.parts.type
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        by_rank = self.ranks.by_rank
+        doubtful = [i for i, t in enumerate(texts) if by_rank is None or self.ranks.is_doubtful(t)]
+        out = dict(zip(doubtful, self.parts.encode([texts[i] for i in doubtful])))
+        return [out[i] if i in out else by_rank.encode_to_numpy(t, disallowed_special=()).astype(self.type).tobytes() for i, t in enumerate(texts)]
+
+
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> ByteLevelEncoder:
+def encoder_of(path: str) -> FileEncoder:
     """The worker's encoder: its bounded caches serve all tasks of that worker."""
-    return ByteLevelEncoder(path)
+    return FileEncoder(path)
 
 
 class ShardWriter:

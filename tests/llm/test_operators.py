@@ -306,6 +306,16 @@ def test_byte_level_encoder_equals_library():
         assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_token_files_take_ids_by_ranks_and_only_doubtful_texts_in_parts(monkeypatch):
+    path = tokenizer("byte_bpe_50k.json")
+    e, library = token_output.encoder_of(path), token_output.load(path)
+    texts = ["Word, word. it's 'tis\n\n  a", "\u0416\u0416 a", "\u00e9t\u00e9  \u20ac5", "a<|endoftext|>, b", "", " " * 30_000 + "x", "\u4e2d, \U0001f600"]
+    seen, encode = [], e.parts.encode
+    monkeypatch.setattr(e.parts, "encode", lambda some: seen.extend(some) or encode(some))
+    assert [np.frombuffer(x, e.type).tolist() for x in e.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert seen == [texts[i] for i in (1, 3, 5, 6)]
+
+
 def test_worker_lengths_equal_library_and_stay_bounded():
     path = tokenizer("word_bpe_49k.json")
     w, library = token_counts.WorkerLengths(path, ("the of", bytes([1, 1]))), token_counts.load(path)
