@@ -14,7 +14,7 @@ from assetweave.functions import names
 from assetweave.operators import backfill, containers, control
 from assetweave.plans import catalogue
 from assetweave.plans.views import Views
-from assetweave.session import SPLIT
+from assetweave.session import SHARE, SPLIT
 from assetweave.sources import gltf
 from assetweave.streaming import changes, lanes, triage, ttl
 
@@ -185,3 +185,26 @@ def test_messages_are_dealt_and_compressed_and_many_files_are_one_batch(spark, t
     files = [f for f in os.listdir(tmp_path / "queues/queue=standard/batch=all") if not f.startswith((".", "_"))]
     assert len(files) >= 12 and all(f.endswith(".txt.gz") for f in files)
     assert sorted(os.listdir(tmp_path / "routed")) == ["batch=priority-0", "batch=standard-0"]
+
+
+@pytest.mark.parametrize("name", ["migration_stats"])
+def test_tasks_keep_their_share_of_a_larger_table(spark, tmp_path, name):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    ids = list(range(60))
+    at = folder_of(tmp_path, part={"p_partkey": ids, "p_size": [i % 50 for i in ids]})
+    for t, columns in {
+        "orders": {"o_orderkey": ids, "o_custkey": ids, "o_orderdate": ids, "o_orderstatus": ["F"] * 60},
+        "lineitem": {"l_orderkey": [i // 6 for i in range(360)], "l_partkey": [i * 7 % 60 for i in range(360)]},
+    }.items():
+        (tmp_path / f"{t}.parquet").mkdir()
+        pq.write_table(pa.table(columns), f"{at}/{t}.parquet/a.parquet")
+    # Spark passes over this file, which makes the table as large as one that needs ten partitions.
+    with open(f"{at}/lineitem.parquet/_more", "wb") as f:
+        f.truncate(9 * SHARE)
+    try:
+        plan = catalogue.queries()[name](spark, f"file://{at}")._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"Exchange hashpartitioning\(.*, (\d+)\)", plan)) == {"10"}
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
