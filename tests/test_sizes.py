@@ -187,7 +187,7 @@ def test_messages_are_dealt_and_compressed_and_many_files_are_one_batch(spark, t
     assert sorted(os.listdir(tmp_path / "routed")) == ["batch=priority-0", "batch=standard-0"]
 
 
-@pytest.mark.parametrize("name", ["migration_stats", "drop_set", "migration_plan", "skip_counts"])
+@pytest.mark.parametrize("name", ["migration_stats", "drop_set", "migration_plan", "skip_counts", "manifest_merge"])
 def test_tasks_keep_their_share_of_a_larger_table(spark, tmp_path, name):
     names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     before = {n: spark.conf.get(n) for n in names}
