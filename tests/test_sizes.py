@@ -1,6 +1,8 @@
 """What shows on larger tables only, on small ones that hold the case."""
 
+import functools
 import os
+import pathlib
 import re
 import time
 
@@ -102,6 +104,33 @@ def test_a_task_reads_many_small_manifests(spark, tmp_path):
             spark.conf.set(n, v) if v else spark.conf.unset(n)
 
 
+@pytest.fixture
+def deployments(tmp_path):
+    """Tables of 40 bases with two deployments each, of which the second has a manifest."""
+    ids = list(range(80))
+    return folder_of(
+        tmp_path,
+        orders={"o_orderkey": ids, "o_custkey": [i % 40 for i in ids], "o_orderdate": ids, "o_orderstatus": ["F"] * 80},
+        lineitem={"l_orderkey": [i // 6 for i in range(480)], "l_partkey": [i * 7 % 60 for i in range(480)]},
+        part={"p_partkey": ids[:60], "p_size": [i % 50 for i in ids[:60]]},
+    )
+
+
+def test_backfill_stats_has_some_manifest_files_at_a_time(spark, deployments, monkeypatch):
+    there, read = [], backfill.read_manifests
+
+    def counted(spark, bucket, *rest):
+        made = pathlib.Path(bucket.removeprefix("file://")).parent
+        there.append((len(list(made.glob("*/manifest/*_*.json"))), made))
+        return read(spark, bucket, *rest)
+
+    monkeypatch.setattr(backfill, "read_manifests", counted)
+    monkeypatch.setattr(backfill, "read_in_pieces", functools.partial(backfill.read_in_pieces, piece=7, at_once=1))
+    assert same_as_twin(spark, deployments, "backfill_stats")[0][0] == 40
+    assert sum(n for n, _ in there) == 40 and max(n for n, _ in there) < 20
+    assert not any(f.is_file() for _, made in there for f in made.rglob("*"))
+
+
 def test_digests_group_by_entity_and_hash_after_one_shuffle(spark):
     scene = spark.createDataFrame([("e", 1, "m/a.glb", "a"), ("e", 2, "m/T.png", "t"), ("e", 3, "m/t.PNG", "u")], "entity_id string, pos long, file string, hash string")
     parsed = spark.createDataFrame([("a", ["t.png"], None)], "hash string, uris array<string>, error string")
