@@ -131,6 +131,18 @@ def test_backfill_stats_has_some_manifest_files_at_a_time(spark, deployments, mo
     assert not any(f.is_file() for _, made in there for f in made.rglob("*"))
 
 
+def test_backfill_plan_digests_only_entities_with_a_manifest(spark, deployments, monkeypatch):
+    asked, digests = [], containers.container_digests
+
+    def noted(content, parsed):
+        asked.append({r[0] for r in content.select("entity_id").distinct().collect()})
+        return digests(content, parsed)
+
+    monkeypatch.setattr(containers, "container_digests", noted)
+    assert same_as_twin(spark, deployments, "backfill_plan")
+    assert len(asked) == 1 and asked[0] and min(asked[0]) >= 40
+
+
 def test_digests_group_by_entity_and_hash_after_one_shuffle(spark):
     scene = spark.createDataFrame([("e", 1, "m/a.glb", "a"), ("e", 2, "m/T.png", "t"), ("e", 3, "m/t.PNG", "u")], "entity_id string, pos long, file string, hash string")
     parsed = spark.createDataFrame([("a", ["t.png"], None)], "hash string, uris array<string>, error string")
