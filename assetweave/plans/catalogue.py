@@ -601,22 +601,32 @@ def scene_height(v):
     return v.orders.groupBy(F.col("o_custkey").alias("scene")).agg(F.count("*").alias("parcels")).withColumn("height", F.round(G.scene_height(F.col("parcels")), 6))
 
 
+#: Pairs of a task, and the longest lists of parts and suppliers that are placed together.
+PAIRS, PARTS, SUPPLIERS = 1 << 26, 512, 256
+
+
 @query("""select p_partkey, s_suppkey, coalesce(round(cast(s_nationkey + p_size * 2.0 as double), 6), 0) x, coalesce(round(cast(0.0 - p_size as double), 6), 0) y, coalesce(round(cast(1.0 * s_nationkey * 3 as double), 6), 1) sx from {part} p left join {supplier} s on s_suppkey % 50 = p_partkey % 60""")
 def placement(v):
     vec = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
     zero, one = F.lit(0.0), F.lit(1.0)
-    # Suppliers of one nation place a part alike: a pair costs no more than its row.
-    s = v.supplier.groupBy((F.col("s_suppkey") % 50).alias("k"), "s_nationkey").agg(F.collect_list("s_suppkey").alias("suppliers"))
-    s = s.groupBy("k").agg(F.collect_list(F.struct("s_nationkey", "suppliers")).alias("nations"))
-    p = v.part.select("p_partkey", "p_size", (F.col("p_partkey") % 60).alias("k"))
-    n_parts = max(int(v.spark.conf.get("spark.sql.shuffle.partitions")), 64)
-    j = p.repartition(n_parts, "p_partkey").join(F.broadcast(s), "k", "left").select("p_partkey", "p_size", F.explode_outer("nations").alias("n")).select("p_partkey", "p_size", "n.s_nationkey", "n.suppliers")
+    lists = lambda c, most: F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / most).cast("int")), lambda i: F.slice(c, i * most + 1, most))
+    k_s, k_p = (F.col("s_suppkey") % 50).alias("k"), (F.col("p_partkey") % 60).alias("k")
+    # Suppliers of one nation place parts of one size alike: a list of each is placed at once, and a pair costs no more than its row.
+    s = v.supplier.groupBy(k_s, "s_nationkey").agg(F.sort_array(F.collect_list("s_suppkey")).alias("all")).select("k", "s_nationkey", F.explode(lists("all", SUPPLIERS)).alias("suppliers"))
+    s = s.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("s_nationkey", "suppliers"))).alias("nations"))
+    p = v.part.groupBy(k_p, "p_size").agg(F.sort_array(F.collect_list(F.struct("p_partkey"))).alias("all")).select("k", "p_size", F.posexplode(lists("all", PARTS)).alias("n", "parts"))
+    # Tasks grow with the pairs, which are the square of the input.  Each has its own few keys, and lists one after the other: the same suppliers again and again, which files hold as next to nothing.
+    pairs = v.part.groupBy(k_p).agg(F.count("*").alias("a")).join(v.supplier.groupBy(k_s).agg(F.count("*").alias("b")), "k").agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+    n_parts = max(int(v.spark.conf.get("spark.sql.shuffle.partitions")), 64, -(-pairs // PAIRS))
+    # A stage holds all rows that come of one of its own before it hands them on, so each of the three steps is one, which coalesce() without effect sees to.
+    step = lambda df: df.coalesce(n_parts)
+    j = p.repartitionByRange(n_parts, "k", "p_size", "n").join(F.broadcast(s), "k", "left").select("parts", "p_size", F.explode_outer("nations").alias("n")).select("parts", "p_size", "n.s_nationkey", "n.suppliers")
     quarter = F.struct(zero.alias("x"), zero.alias("y"), F.lit(-(0.5**0.5)).alias("z"), F.lit(0.5**0.5).alias("w"))
     rest = F.struct(zero.alias("x"), zero.alias("y"), zero.alias("z"), one.alias("w"))
     n = F.col("s_nationkey").cast("double")
     t = G.place(vec(n, zero, zero), quarter, vec(n, n, n), vec(F.col("p_size").cast("double"), F.col("p_size") * 2.0, zero), rest, vec(F.lit(3.0), one, one))
-    placed = j.select("p_partkey", "suppliers", t.alias("t")).select("p_partkey", "suppliers", *[F.coalesce(F.round(c, 6), F.lit(d)).alias(n) for c, d, n in (("t.position.x", 0.0, "x"), ("t.position.y", 0.0, "y"), ("t.scale.x", 1.0, "sx"))])
-    return placed.select("p_partkey", F.explode_outer("suppliers").alias("s_suppkey"), "x", "y", "sx")
+    placed = step(j).select("parts", "suppliers", t.alias("t")).select("suppliers", F.explode("parts").alias("part"), *[F.coalesce(F.round(c, 6), F.lit(d)).alias(n) for c, d, n in (("t.position.x", 0.0, "x"), ("t.position.y", 0.0, "y"), ("t.scale.x", 1.0, "sx"))])
+    return step(placed).select("part.p_partkey", F.explode_outer("suppliers").alias("s_suppkey"), "x", "y", "sx")
 
 
 PIXELS = "select vec_id image, label, embedding from {embeddings}"

@@ -70,6 +70,23 @@ def test_placement_spreads_parts_and_places_a_part_once_a_nation(spark, tmp_path
     assert catalogue.queries()["placement"](spark, at).rdd.getNumPartitions() >= 64
 
 
+def test_placement_lists_the_same_suppliers_again_and_again(spark, tmp_path):
+    parts, suppliers = range(6000), range(20_000)
+    at = folder_of(tmp_path, part={"p_partkey": parts, "p_size": [i // 60 % 5 for i in parts]}, supplier={"s_suppkey": suppliers, "s_nationkey": [i // 50 % 5 for i in suppliers]})
+    catalogue.queries()["placement"](spark, at).write.parquet(f"file://{at}/out")
+    assert spark.read.parquet(f"file://{at}/out").count() == 2_001_000
+    assert sum(f.stat().st_size for f in pathlib.Path(at, "out").glob("*.parquet")) < 1_000_000
+
+
+def test_placement_of_lists_that_are_cut_and_of_missing_fields(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "PARTS", 2)
+    monkeypatch.setattr(catalogue, "SUPPLIERS", 3)
+    monkeypatch.setattr(catalogue, "PAIRS", 5)
+    parts, suppliers = [1, 1, 61, 121, 181, 2, 55, None, None], [1, 1, 51, 101, 151, 201, 251, 2, 52, None]
+    at = folder_of(tmp_path, part={"p_partkey": parts, "p_size": [4, 4, 4, 4, 4, None, 5, 4, None]}, supplier={"s_suppkey": suppliers, "s_nationkey": [3, 3, 3, 3, 3, 3, 0, None, 1, 2]})
+    assert len(same_as_twin(spark, at, "placement")) == 5 * 7 + 2 + 3
+
+
 def test_shuffles_and_splits_are_sized_by_the_table(spark, tmp_path):
     names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     before = {n: spark.conf.get(n) for n in names}
