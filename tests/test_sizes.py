@@ -133,8 +133,14 @@ def deployments(tmp_path):
     )
 
 
-def test_backfill_stats_has_some_manifest_files_at_a_time(spark, deployments, monkeypatch):
-    there, read = [], backfill.read_manifests
+def test_backfill_stats_has_some_manifest_files_at_a_time(spark, deployments, monkeypatch, twelve):
+    there, read, tasks, write = [], backfill.read_manifests, [], backfill.write_files
+
+    def noted(files, *rest):
+        tasks.append(files.rdd.getNumPartitions())
+        write(files, *rest)
+
+    monkeypatch.setattr(backfill, "write_files", noted)
 
     def counted(spark, bucket, *rest):
         made = pathlib.Path(bucket.removeprefix("file://")).parent
@@ -146,6 +152,8 @@ def test_backfill_stats_has_some_manifest_files_at_a_time(spark, deployments, mo
     assert same_as_twin(spark, deployments, "backfill_stats")[0][0] == 40
     assert sum(n for n, _ in there) == 40 and max(n for n, _ in there) < 20
     assert not any(f.is_file() for _, made in there for f in made.rglob("*"))
+    # A piece is as small in larger tables, whatever their shuffles are.
+    assert max(tasks) <= spark.sparkContext.defaultParallelism < 12
 
 
 def test_backfill_plan_digests_only_entities_with_a_manifest(spark, deployments, monkeypatch):
